@@ -80,7 +80,8 @@ class Split:
 
 
 def split(df: DataFrame, keys: list[str], order: Order,
-          rows_per_group: int = ROWS_PER_GROUP, max_slices: int = MAX_SLICES) -> Split:
+          rows_per_group: int = ROWS_PER_GROUP, max_slices: int = MAX_SLICES,
+          keep_cuts: bool = False) -> Split:
     """Measure the groups and cut the hot ones. A table no larger than one group needs one count
     (answered from file footers where possible) and nothing else."""
     keys = list(keys)
@@ -108,7 +109,7 @@ def split(df: DataFrame, keys: list[str], order: Order,
         marked = df.withColumn("__lo", F.lit(lo)).withColumn("__width", F.lit(width))
     cutdf = (marked.withColumn(SLICE, slice_no.cast("long"))
              .withColumn("__is_hot", F.col("__width").isNotNull())
-             .drop("__lo", "__width", *[f"__hot_{k}" for k in keys]))
+             .drop(*([] if keep_cuts else ["__lo", "__width"]), *[f"__hot_{k}" for k in keys]))
     return Split(cutdf, tuple(keys), order, True)
 
 
@@ -239,3 +240,23 @@ def trailing_sums(df: DataFrame, keys: list[str], order: Order, sums: dict[str,
         *[(F.coalesce(F.col(f"__run_{n}"), F.lit(0)) - F.coalesce(F.col(f"__old_{n}"), F.lit(0))).alias(n)
           for n in sums],
         F.least(F.col("__rn"), F.lit(rows + 1)).alias("__frame_rows"))
+
+
+def trailing_range(df: DataFrame, keys: list[str], order: Order, aggs: dict[str, Column], span: float,
+                   rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
+    """Aggregates over the rows at most ``span`` (microseconds for times) before the current row and
+    up to its peers: a RANGE frame. In a hot group each row is also lent to the later slices whose
+    frames reach back to it, and dropped there after the window."""
+    parts = split(df, keys, order, rows_per_group, keep_cuts=True)
+    if not parts.sliced:
+        base = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+        w = base.orderBy(order.position(df)).rangeBetween(-span, 0)
+        return df.select("*", *[a.over(w).alias(n) for n, a in aggs.items()])
+    pos = order.position(df)
+    reach = F.when(F.col("__width") > 0, F.floor((pos + span - F.col("__lo")) / F.col("__width")))
+    upto = F.least(F.greatest(F.coalesce(reach, F.col(SLICE)), F.col(SLICE)), F.lit(MAX_SLICES).cast("long"))
+    lent = (parts.df.withColumn("__home", F.col(SLICE))
+            .withColumn(SLICE, F.explode(F.sequence(F.col("__home"), F.greatest(upto, F.col("__home"))))))
+    w = Window.partitionBy(*parts.group()).orderBy(pos).rangeBetween(-span, 0)
+    framed = lent.select("*", *[a.over(w).alias(n) for n, a in aggs.items()])
+    return framed.where(F.col(SLICE) == F.col("__home")).select(*df.columns, *aggs)
