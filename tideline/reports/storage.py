@@ -2,7 +2,6 @@
 into the shared folder first."""
 
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..session import fresh_dir
 from ..sources import declared, delimited, envelope, kv, sinks, topics
@@ -52,22 +51,22 @@ def envelope_lines(t):
         F.struct(F.col("value").alias("logValue"), F.lit("status").alias("metric")).alias("entityMata"),
         F.lit(999).alias("status"), F.col("event_id").alias("traceId")))
     header = F.concat(F.lit("ANALYSIS,"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(",2,"))
-    return t.events.select(F.when(F.col("value") > 400, F.lit("no envelope")).otherwise(F.concat(header, document)).alias("value"))
+    return t.events.select(F.when(F.col("value") > 100, F.lit("no envelope")).otherwise(F.concat(header, document)).alias("value"))
 
 
-ENVELOPE = StructType.fromDDL("mail STRING, guid STRING, status INT, metric STRING, logValue DOUBLE, traceId BIGINT, time STRING")
+ENVELOPE = "mail STRING, guid STRING, status INT, metric STRING, logValue DOUBLE, traceId BIGINT, time STRING"
 
 
 @report("envelope_read", """
 SELECT event_type || '@"x".org' AS mail, CAST(user_id AS VARCHAR) AS guid, CAST(props->>'$.k' AS INTEGER) AS status,
   'status' AS metric, value AS "logValue", event_id AS "traceId", strftime(ts, '%Y-%m-%d %H:%M:%S') AS time
-FROM events WHERE value <= 400""")
+FROM events WHERE value <= 100""")
 def _(t):
     return envelope.read_envelope(envelope_lines(t), ENVELOPE, on_error="drop")
 
 
 @report("envelope_read_corrupt", """
-SELECT count(*) AS n, count(*) FILTER (value > 400) AS bad FROM events""")
+SELECT count(*) AS n, count(*) FILTER (value > 100) AS bad FROM events""")
 def _(t):
     kept = envelope.read_envelope(envelope_lines(t), ENVELOPE, on_error="keep")
     return kept.agg(F.count(F.lit(1)).alias("n"), F.count("_corrupt").alias("bad"))

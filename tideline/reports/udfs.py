@@ -39,7 +39,7 @@ def _(t):
 
 
 @report("split_function", """
-SELECT p_partkey, unnest(list_filter(regexp_split_to_array(p_name, '[ e]'), x -> x <> '')[2:]) AS piece FROM part""")
+SELECT p_partkey, unnest(list_filter(regexp_split_to_array(p_name, '[ e]'), lambda x: x <> '')[2:]) AS piece FROM part""")
 def _(t):
     return t.part.select("p_partkey", udfs.split_text("p_name", " e", 1).alias("piece"))
 

@@ -38,13 +38,14 @@ def _typed(raw: Column, kind: str) -> Column:
     return F.lit(None).cast(kind)
 
 
-def read_envelope(lines: DataFrame, schema: StructType, value: str = "value", on_error: str = "fail") -> DataFrame:
+def read_envelope(lines: DataFrame, schema: StructType | str, value: str = "value", on_error: str = "fail") -> DataFrame:
     """Parse a text column. The column named ``time`` is the header's second field.
 
     on_error: fail stops the job, drop leaves bad rows out, keep adds ``_corrupt`` with the bad text.
     A row is bad without a brace or second header field, with a broken document, and when a column is
     missing or holds an object or array.
     """
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     if on_error not in ("fail", "drop", "keep"):
         raise ValueError("on_error is fail, drop or keep")
     text = F.col(value).cast("string")
