@@ -33,7 +33,9 @@ def purchase_paths(events: DataFrame, config: DataFrame, rows_per_group: int = R
              .where(F.col("purchase_time").isNotNull()))
     steered = asof_join(paths, config, ["channel"], "purchase_time", "ts",
                         {"__channel": "channel", "__times": "history_purchase_times",
-                         "__longest": "max_purchase_path_length"}, tie="event_id", rows_per_group=rows_per_group)
+                         "__longest": "max_purchase_path_length"}, tie="event_id", rows_per_group=rows_per_group,
+                        left_sizes=events.where("event_type = 'PURCHASE'").select(
+                            "channel", F.col("ts").alias("purchase_time")))
     times = F.coalesce("__times", F.lit(DEFAULT_CONFIG["history_purchase_times"]))
     longest = F.coalesce("__longest", F.lit(DEFAULT_CONFIG["max_purchase_path_length"]))
     return (steered.where((times < PURCHASE_LIMIT) & (F.col("purchase_path_length") > longest))

@@ -31,7 +31,7 @@ def ranks(df: DataFrame, keys: list[str], order: Order, tiles: int | None = None
     numbered = running(df, keys, order, [Running("row_number", "count")], rows_per_group)
     ranked = running(numbered, keys, main, [
         Running("rank", "rank"), Running("dense_rank", "dense_rank"), Running("__n", "total_count")],
-        rows_per_group)
+        rows_per_group, sizes_from=df)
     n = F.col("__n")
     out = ranked.withColumn("percent_rank", F.when(n > 1, (F.col("rank") - 1) / (n - 1)).otherwise(F.lit(0.0)))
     equals = out.groupBy(*keys, order.column).agg(F.count(F.lit(1)).alias("__ties"))
@@ -85,4 +85,5 @@ def running_distinct(df: DataFrame, keys: list[str], order: Order, value: str,
     """distinct_so_far: COUNT(DISTINCT value) OVER (PARTITION BY keys ORDER BY order)."""
     seen = running(df, [*keys, value], order, [Running("__nth", "count")], rows_per_group)
     new = F.when((F.col("__nth") == 1) & F.col(value).isNotNull(), 1).otherwise(0)
-    return running(seen, keys, order, [Running("distinct_so_far", "sum", new)], rows_per_group).drop("__nth")
+    return running(seen, keys, order, [Running("distinct_so_far", "sum", new)], rows_per_group,
+                   sizes_from=df).drop("__nth")

@@ -11,11 +11,12 @@ from ..plans.slices import Order, Running, running
 
 def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: str, right_time: str,
               columns: dict[str, Column | str], how: str = "left", tie: str | None = None,
-              rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
+              rows_per_group: int = ROWS_PER_GROUP, left_sizes: DataFrame | None = None) -> DataFrame:
     """Attach ``columns`` of the latest right row with right_time <= left_time and equal keys.
 
     Both sides are laid on one time line and the last version is carried forward: one shuffle, no
     pairs. ``keys=[]`` takes the latest version over all keys. ``tie`` orders right rows of equal time.
+    ``left_sizes``: a cheaper frame with the left keys and time, where ``left`` is costly to compute.
     """
     values = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in columns.items()])
     lefts = left.select(*keys, F.col(left_time).alias("__t"), F.lit(1).alias("__side"),
@@ -27,8 +28,10 @@ def asof_join(left: DataFrame, right: DataFrame, keys: list[str], left_time: str
                            (F.col(tie).cast("long") if tie else F.lit(None).cast("long")).alias("__tie"),
                            values.alias("__version"))
     line = lefts.unionByName(rights, allowMissingColumns=True)
+    sizes = (lefts if left_sizes is None else left_sizes.select(*keys, F.col(left_time).alias("__t"))).select(
+        *keys, "__t").unionByName(rights.select(*keys, "__t"))
     seen = running(line, keys, Order("__t", ("__side", "__tie")),
-                   [Running("__seen", "last", F.col("__version"))], rows_per_group)
+                   [Running("__seen", "last", F.col("__version"))], rows_per_group, sizes_from=sizes)
     got = seen.where(F.col("__row").isNotNull())
     if how == "inner":
         got = got.where(F.col("__seen").isNotNull())
@@ -75,7 +78,8 @@ def retry_lookup_join(facts: DataFrame, dim: DataFrame, key: str, fact_time: str
     probed = (known.withColumn("attempt", F.when(F.col("__first").isNotNull() & (wait <= last), wait))
               .withColumn("__probe", instant(at(fact_time) + F.coalesce("attempt", F.lit(last)) * step, kind))
               .drop("__first"))
-    got = asof_join(probed, dim, [key], "__probe", available_at, columns, "left", tie, rows_per_group)
+    got = asof_join(probed, dim, [key], "__probe", available_at, columns, "left", tie, rows_per_group,
+                    left_sizes=facts.select(key, F.col(fact_time).alias("__probe")))
     if how == "inner":
         got = got.where(F.col("attempt").isNotNull())
     elif how != "left":

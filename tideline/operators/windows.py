@@ -89,7 +89,7 @@ def sliding_count_windows(df: DataFrame, keys: list[str], order: Order, size: in
                           sums: dict[str, Column], rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
     """Every ``slide`` rows per key, sums over the last ``size`` rows (fewer at the beginning)."""
     numbered = running(df, keys, order, [Running("arrivals", "count")], rows_per_group)
-    framed = trailing_sums(numbered, keys, order, sums, size - 1, rows_per_group)
+    framed = trailing_sums(numbered, keys, order, sums, size - 1, rows_per_group, sizes_from=df)
     return (framed.where(F.col("arrivals") % slide == 0)
             .select(*keys, "arrivals", F.col("__frame_rows").alias("rows_in_window"), *sums))
 

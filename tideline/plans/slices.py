@@ -81,15 +81,21 @@ class Split:
 
 def split(df: DataFrame, keys: list[str], order: Order,
           rows_per_group: int = ROWS_PER_GROUP, max_slices: int = MAX_SLICES,
-          keep_cuts: bool = False) -> Split:
+          keep_cuts: bool = False, sizes_from: DataFrame | None = None) -> Split:
     """Measure the groups and cut the hot ones. A table no larger than one group needs one count
-    (answered from file footers where possible) and nothing else."""
+    (answered from file footers where possible) and nothing else.
+
+    ``sizes_from`` is a cheaper frame with the key and order columns of about the same rows, such as
+    the table ``df`` was joined from. It only decides where cuts lie; any cut gives the same result.
+    """
     keys = list(keys)
-    if df.count() <= rows_per_group:
+    measured = df if sizes_from is None else sizes_from
+    if measured.count() <= rows_per_group:
         return Split(df, tuple(keys), order, False)
     pos = order.position(df)
-    sizes = (df.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("__n"), F.min(pos).alias("__lo"), F.max(pos).alias("__hi"))
+    spot = order.position(measured)
+    sizes = (measured.groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("__n"), F.min(spot).alias("__lo"), F.max(spot).alias("__hi"))
              .where(F.col("__n") > rows_per_group)
              .withColumn("__cuts", F.least(F.ceil(F.col("__n") / rows_per_group) * 2, F.lit(max_slices)))
              .withColumn("__width", (F.col("__hi") - F.col("__lo")) / F.col("__cuts")))
@@ -149,9 +155,11 @@ def _summary(spec: Running, order: Order) -> Column:
 
 
 def running(df: DataFrame, keys: list[str], order: Order, specs: list[Running],
-            rows_per_group: int = ROWS_PER_GROUP, max_slices: int = MAX_SLICES) -> DataFrame:
-    """Add running values per key in the given order. ``expr`` columns refer to ``df`` by name."""
-    parts = split(df, keys, order, rows_per_group, max_slices)
+            rows_per_group: int = ROWS_PER_GROUP, max_slices: int = MAX_SLICES,
+            parts: Split | None = None, sizes_from: DataFrame | None = None) -> DataFrame:
+    """Add running values per key in the given order. ``expr`` columns refer to ``df`` by name.
+    ``parts`` reuses a split of the same frame; ``sizes_from`` as in ``split``."""
+    parts = parts or split(df, keys, order, rows_per_group, max_slices, sizes_from=sizes_from)
     if not parts.sliced:
         return df.select("*", *[_plain(s, parts) for s in specs])
     detail = parts.df.select("*", *[_local(s, parts).alias(f"__l_{s.name}") for s in specs])
@@ -197,20 +205,20 @@ def _plain(spec: Running, parts: Split) -> Column:
 
 
 def shifted(df: DataFrame, keys: list[str], order: Order, values: dict[str, tuple[str, int]],
-            rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
+            rows_per_group: int = ROWS_PER_GROUP, sizes_from: DataFrame | None = None) -> DataFrame:
     """Values of the row ``offset`` places later (negative: earlier): LEAD and LAG.
 
     ``values`` maps a new column to (existing column, offset). Groups without a hot key use the
     built-in window functions. Otherwise rows are numbered in slices and meet their neighbour by an
     equality join on (key, number), which spreads evenly whatever the key's size.
     """
-    parts = split(df, keys, order, rows_per_group)
+    parts = split(df, keys, order, rows_per_group, sizes_from=sizes_from)
     if not parts.sliced:
         w = parts.window()
         return df.select("*", *[
             (F.lead(src, off) if off >= 0 else F.lag(src, -off)).over(w).alias(name)
             for name, (src, off) in values.items()])
-    numbered = running(df, keys, order, [Running("__rn", "count")], rows_per_group)
+    numbered = running(df, keys, order, [Running("__rn", "count")], parts=parts)
     out = numbered
     for name, (src, off) in values.items():
         other = numbered.select(*[F.col(k).alias(f"__o_{k}") for k in keys],
@@ -221,16 +229,16 @@ def shifted(df: DataFrame, keys: list[str], order: Order, values: dict[str, tupl
 
 
 def trailing_sums(df: DataFrame, keys: list[str], order: Order, sums: dict[str, Column], rows: int,
-                  rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
+                  rows_per_group: int = ROWS_PER_GROUP, sizes_from: DataFrame | None = None) -> DataFrame:
     """Sums over the current row and the ``rows`` rows before it, and ``__frame_rows``, the number
     of rows in that frame. Hot groups subtract two running sums (give exact types: decimal or long)."""
-    parts = split(df, keys, order, rows_per_group)
+    parts = split(df, keys, order, rows_per_group, sizes_from=sizes_from)
     if not parts.sliced:
         w = parts.window().rowsBetween(-rows, 0)
         return df.select("*", *[F.sum(e).over(w).alias(n) for n, e in sums.items()],
                          F.count(F.lit(1)).over(w).alias("__frame_rows"))
     specs = [Running("__rn", "count")] + [Running(f"__run_{n}", "sum", e) for n, e in sums.items()]
-    base = running(df, keys, order, specs, rows_per_group)
+    base = running(df, keys, order, specs, parts=parts)
     old = base.select(*[F.col(k).alias(f"__o_{k}") for k in keys],
                       (F.col("__rn") + rows + 1).alias("__o_rn"),
                       *[F.col(f"__run_{n}").alias(f"__old_{n}") for n in sums])

@@ -7,7 +7,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from tideline.reports import registry
 
 module = sys.argv[1]
-for other in ("joins", "windows", "aggregates", "sql", "streams", "storage", "udfs"):
+for other in ("joins", "windows", "aggregates", "sql", "streams", "storage", "udfs", "patterns"):
     if other == module:
         before = set(registry.QUERIES)
     try:
