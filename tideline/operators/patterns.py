@@ -1,8 +1,8 @@
 """Row pattern matching: sequences of rows per key described by a regular expression over symbols.
 
-Every match must fit into ``within``. That bound is what makes the work parallel: time is cut into
-cells, each cell also sees the following ``within`` of rows, and a start row is tried in its own cell
-only. A key with most of the rows is therefore matched by as many tasks as it covers cells.
+Two cuts make the work parallel inside a key. Rows that meet no symbol's condition end every match, so
+they split the key into parts. And every match must fit into ``within``: time is cut into cells, each
+cell also sees the following ``within`` of rows, and a start row is tried in its own cell only.
 """
 
 from __future__ import annotations
@@ -55,9 +55,9 @@ def _compile(pattern: str, symbols: list[str]):
 
 def _finder(pattern: str, symbols: list[str], keys: list[str], measures: dict[str, Measure], within: int,
             resume_symbol: str | None, resume_last: bool):
-    """Matcher over Arrow batches sorted by (keys, cell, time): whole groups are matched together, the
+    """Matcher over Arrow batches sorted by (keys, part, cell, time): whole groups are matched together, the
     last, perhaps unfinished group of a batch waits for the next one."""
-    group_columns = [*keys, "__cell"]
+    group_columns = [*keys, "__part", "__cell"]
     names = [*keys, "__start", "__start_id", "__end", "__end_id", "n_rows", "__resume", "__resume_id", "row_ids",
              "classifiers", *measures]
 
@@ -166,6 +166,10 @@ def match_rows(df: DataFrame, keys: list[str], time: str, row_id: str, pattern:
     width = max(micros(cell) if cell else within_us, within_us, 1)
     placed = rows.select(*keys, at(time).alias("__at"), F.col(row_id).cast("long").alias("__id"),
                          bits.alias("__set"), *[F.col(c).cast("double").alias(c) for c in needed if c not in keys])
+    # a row no symbol takes ends every match before it: such rows cut their key into parts and go
+    breaks = F.when(F.col("__set") == 0, 1).otherwise(0)
+    placed = running(placed, keys, Order("__at", ("__id",)), [Running("__part", "sum", breaks)], rows_per_group,
+                     sizes_from=df.select(*keys, at(time).alias("__at"))).where("__set <> 0")
     own = F.floor(F.col("__at") / width)
     lent = F.floor((F.col("__at") - within_us) / width)
     spread = (placed.withColumn("__home", own)
@@ -176,7 +180,8 @@ def match_rows(df: DataFrame, keys: list[str], time: str, row_id: str, pattern:
               "__resume_id BIGINT, row_ids ARRAY<BIGINT>, classifiers ARRAY<STRING>"
               + "".join(f", `{m}` DOUBLE" for m in measures))
     find = _finder(pattern, symbols, keys, measures, within_us, target, words[1] == "last")
-    found = (spread.repartition(*keys, "__cell").sortWithinPartitions(*keys, "__cell", "__at", "__id")
+    chunk = [*keys, "__part", "__cell"]
+    found = (spread.repartition(*chunk).sortWithinPartitions(*chunk, "__at", "__id")
              .mapInPandas(find, schema))
     found = staged(found, "matches")
     kept = found if skip == "to next row" else _without_overlaps(found, keys, rows_per_group)

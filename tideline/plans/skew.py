@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 ROWS_PER_GROUP = 1_000_000
 SALT = "__salt"
+BROADCAST_KEYS = 100_000
 
 
 def meets(keys: list[str], prefix: str, also: Column | None = None, null_safe: bool = True) -> Column:
@@ -29,7 +30,7 @@ def hot_keys(df: DataFrame, keys: list[str], rows_per_group: int = ROWS_PER_GROU
 
 def salted_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "left",
                 rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
-    """Hash join in which hot fact keys are spread over several tasks.
+    """Hash join in which hot fact keys are spread over several tasks. Without hot keys, a plain join.
 
     Rows of a hot key get a salt 0..n-1 with n from the key's own row count; the matching dimension
     rows are repeated n times. Rows of other keys keep salt 0 and are never repeated.
@@ -37,10 +38,16 @@ def salted_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "l
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a salted join cannot be {how}")
-    known = facts.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    hot = hot_keys(known, keys, rows_per_group).select(
-        *[F.col(k).alias(f"__hot_{k}") for k in keys],
-        F.ceil(F.col("__n") / rows_per_group).cast("int").alias("__copies"))
+    known = facts.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])).select(*keys)
+    if known.count() <= rows_per_group:
+        return facts.join(dim, keys, how)
+    sizes = hot_keys(known, keys, rows_per_group)
+    n_hot = sizes.count()
+    if n_hot == 0:
+        return facts.join(dim, keys, how)
+    hot = sizes.select(*[F.col(k).alias(f"__hot_{k}") for k in keys],
+                       F.ceil(F.col("__n") / rows_per_group).cast("int").alias("__copies"))
+    hot = F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot
     on_hot = meets(keys, "__hot_", null_safe=False)
     drop = ["__copies", *[f"__hot_{k}" for k in keys]]
     spread = (facts.join(hot, on_hot, "left")

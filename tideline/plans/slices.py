@@ -16,11 +16,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .skew import ROWS_PER_GROUP, meets
+from .skew import BROADCAST_KEYS, ROWS_PER_GROUP, meets
 
 SLICE = "__slice"
 MAX_SLICES = 65_536
-BROADCAST_KEYS = 100_000
 
 
 @dataclass(frozen=True)

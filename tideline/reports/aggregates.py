@@ -7,9 +7,7 @@ from ..operators import aggregates, changelog, incremental, paths, ranking
 from ..plans.slices import Order
 from .joins import of_type, prop_k
 from .registry import report
-from .windows import money
-
-DEC = lambda c: F.col(c).cast("decimal(18,2)")
+from .windows import cents, money
 
 
 @report("incremental_window", """
@@ -24,9 +22,9 @@ FROM f JOIN s ON s.event_type = f.event_type AND s.w = f.w AND s.ts < f.fire GRO
 def _(t):
     got = incremental.incremental_window(
         t.events, "ts", "1 day", "3 hours", ["event_type"],
-        sums={"pv": F.count(F.lit(1)), "total": F.sum(DEC("value"))}, minimums={"low": F.min("value")},
+        sums={"pv": F.count(F.lit(1)), "total": F.sum(cents("value"))}, minimums={"low": F.min("value")},
         maximums={"high": F.max("value")}, distinct={"uv": "user_id"})
-    return got.withColumn("total", F.col("total").cast("double"))
+    return got.withColumn("total", F.col("total") / 100)
 
 
 @report("incremental_pv_uv", """
@@ -360,8 +358,8 @@ SELECT event_id, CASE WHEN count(*) OVER w = 5 THEN CAST(sum(CAST(value AS DECIM
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS 4 PRECEDING)""")
 def _(t):
     got = ranking.full_frames_only(t.events.select("event_id", "user_id", "value"), ["user_id"], Order("event_id"),
-                                   {"total": DEC("value")}, 4)
-    return got.select("event_id", F.col("total").cast("double").alias("total"))
+                                   {"total": cents("value")}, 4)
+    return got.select("event_id", (F.col("total") / 100).alias("total"))
 
 
 DISTINCT_SQL = """

@@ -8,6 +8,7 @@ from ..plans.durations import micros
 from ..plans.slices import Order, trailing_range
 from ..sources.declared import extended
 from .registry import report
+from .windows import cents
 
 
 def same(name, spark_text, duck_text=None):
@@ -23,9 +24,9 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL
 
 def range_report(t, **limits):
     got = trailing_range(t.events.select("event_id", "user_id", "ts", "value"), ["user_id"], Order("ts"), {
-        "n": F.count(F.lit(1)), "total": F.sum(F.col("value").cast("decimal(18,2)")), "top": F.max("value")},
+        "n": F.count(F.lit(1)), "total": F.sum(cents("value")), "top": F.max("value")},
         micros("1 day"), **limits)
-    return got.select("event_id", "n", F.col("total").cast("double").alias("total"), "top")
+    return got.select("event_id", "n", (F.col("total") / 100).alias("total"), "top")
 
 
 @report("range_frame", RANGE_SQL)

@@ -7,6 +7,7 @@ the key stands in the text, so a regular expression finds it without walking the
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
@@ -17,7 +18,7 @@ TIME = "time"
 def _raw(document: Column, name: str) -> Column:
     """Text of the value behind the first key of this name; '{' or '[' for objects and arrays."""
     key = re.escape(name)
-    pattern = rf'(?<!\\)"{key}"\s*:\s*("(?:[^"\\]|\\.)*"|[\[{{]|[^,\s}}\]]+)'
+    pattern = rf'(?<!\\)"{key}"\s*+:\s*+("[^"\\]*+(?:\\.[^"\\]*+)*+"|[\[{{]|[^,\s}}\]]++)'
     return F.regexp_extract(document, pattern, 1)
 
 
@@ -55,17 +56,19 @@ def read_envelope(lines: DataFrame, schema: StructType | str, value: str = "valu
     document = F.substring(text, brace, F.length(text))
     bad = (text.isNull() | (brace == 0) | (F.size(header) < 2) | F.try_parse_json(document).isNull())
     names = [f.name for f in schema.fields if f.name != TIME]
-    staged = lines.select(
-        text.alias("__text"), bad.alias("__bad"), F.get(header, F.lit(1)).alias("__time"),
-        *[_raw(document, n).alias(f"__raw_{i}") for i, n in enumerate(names)])
-    for i in range(len(names)):
-        staged = staged.withColumn("__bad", F.col("__bad") | F.col(f"__raw_{i}").isin("", "{", "["))
+    # inline() of a one-row array keeps the optimizer from repeating these expressions for every column
+    row = F.struct(text.alias("__text"), bad.alias("__broken"), F.get(header, F.lit(1)).alias("__time"),
+                   *[_raw(document, n).alias(f"__raw_{i}") for i, n in enumerate(names)])
+    staged = lines.select(F.inline(F.array(row)))
+    missing = [F.col(f"__raw_{i}").isin("", "{", "[") for i in range(len(names))]
+    staged = staged.withColumn("__bad", reduce(lambda x, y: x | y, missing, F.col("__broken")))
     spot = {n: F.col(f"__raw_{i}") for i, n in enumerate(names)}
     ok = ~F.col("__bad")
-    out = [F.when(ok, F.col("__time") if f.name == TIME else _typed(spot[f.name], f.dataType.simpleString())).alias(f.name)
-           for f in schema.fields]
+    plain = [(F.col("__time") if f.name == TIME else _typed(spot[f.name], f.dataType.simpleString())).alias(f.name)
+             for f in schema.fields]
     if on_error == "drop":
-        return staged.where(ok).select(*out)
+        return staged.where(ok).select(*plain)
+    out = [F.when(ok, c).alias(f.name) for c, f in zip(plain, schema.fields)]
     if on_error == "keep":
         return staged.select(*out, F.when(F.col("__bad"), F.col("__text")).alias("_corrupt"))
     message = F.concat(F.lit("bad envelope row: "), F.coalesce("__text", F.lit("null")))

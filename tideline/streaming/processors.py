@@ -6,6 +6,7 @@ files or partitions arrive. Times travel as microseconds, timers fire in millise
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,56 +30,55 @@ class VersionedLookup(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.versions = handle.getMapState("versions", "at_us bigint, id bigint", "payload string")
-        self.waiting = handle.getMapState("waiting", "probe_us bigint, id bigint", "payload string, attempt int")
+        self.versions = handle.getListState("versions", "at_us bigint, id bigint, payload string")
+        self.waiting = handle.getListState("waiting", "probe_us bigint, id bigint, payload string, attempt int")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first = None
+        versions, facts = [], []
         for batch in rows:
             for side, at, rid, payload in zip(batch["side"], batch["at_us"], batch["id"], batch["payload"]):
                 if side == 0:
-                    self.versions.updateValue((int(at), int(rid)), (payload,))
+                    versions.append((int(at), int(rid), payload))
                 else:
-                    self.waiting.updateValue((int(at), int(rid)), (payload, 0))
-                    first = int(at) if first is None else min(first, int(at))
-        if first is not None:
-            self.handle.registerTimer(max(_due_ms(first), timerValues.getCurrentWatermarkInMs() + 1))
+                    facts.append((int(at), int(rid), payload, 0))
+        if versions:
+            self.versions.appendList(versions)
+        if facts:
+            self.waiting.appendList(facts)
+            self.handle.registerTimer(max(_due_ms(min(facts)[0]), timerValues.getCurrentWatermarkInMs() + 1))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        known = sorted((k[0], k[1], v[0]) for k, v in self.versions.iterator())
-        out, later = [], None
-        for (probe, rid), (payload, attempt) in list(self.waiting.iterator()):
-            start = probe
-            while True:
-                if _due_ms(probe) > watermark:
-                    if probe != start:
-                        self.waiting.removeKey((start, rid))
-                        self.waiting.updateValue((probe, rid), (payload, attempt))
-                    later = probe if later is None else min(later, probe)
-                    break
-                found = None
-                for at, _, version in known:
-                    if at > probe:
-                        break
-                    found = (version,)
-                if found is None and attempt < self.probes:
+        waiting = list(self.waiting.get()) if self.waiting.exists() else []
+        if not any(_due_ms(w[0]) <= watermark for w in waiting):
+            return
+        known = sorted(self.versions.get()) if self.versions.exists() else []
+        times = [v[0] for v in known]
+        out, rest = [], []
+        for probe, rid, payload, attempt in waiting:
+            while _due_ms(probe) <= watermark:
+                found = bisect_right(times, probe)
+                if found:
+                    out.append((rid, payload, known[found - 1][2], attempt))
+                elif attempt < self.probes:
                     probe, attempt = probe + self.step_us, attempt + 1
                     continue
-                self.waiting.removeKey((start, rid))
-                if found is not None:
-                    out.append((rid, payload, found[0], attempt))
                 elif self.keep_misses:
                     out.append((rid, payload, None, None))
                 break
-        # a later probe may still fall before `later`'s version, so only the newest passed one stays
-        floor_us = watermark * 1000 if later is None else min(watermark * 1000, later)
-        passed = [v for v in known if v[0] <= floor_us]
-        for at, vid, _ in passed[:-1]:
-            self.versions.removeKey((at, vid))
-        if later is not None:
-            self.handle.registerTimer(_due_ms(later))
+            else:
+                rest.append((probe, rid, payload, attempt))
+        if rest:
+            self.waiting.put(rest)
+            self.handle.registerTimer(_due_ms(min(rest)[0]))
+        else:
+            self.waiting.clear()
+        # no row still to come or waiting probes before this moment, so only the newest version then stays
+        floor_us = min([watermark * 1000, *[w[0] for w in rest]])
+        passed = bisect_right(times, floor_us)
+        if passed > 1:
+            self.versions.put(known[passed - 1:])
         if out:
             frame = pd.DataFrame(out, columns=["id", "payload", "version", "attempt"])
             frame["attempt"] = frame["attempt"].astype("Int32")
@@ -198,39 +198,41 @@ class PathCollector(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.waiting = handle.getMapState("waiting", "at_us bigint, id bigint", "event_type string")
+        self.waiting = handle.getListState("waiting", "at_us bigint, id bigint, event_type string")
         self.counts = handle.getMapState("counts", "event_type string", "n bigint")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        first = None
-        for batch in rows:
-            for kind, at, rid in zip(batch["event_type"], batch["at_us"], batch["id"]):
-                self.waiting.updateValue((int(at), int(rid)), (kind,))
-                first = int(at) if first is None else min(first, int(at))
-        if first is not None:
-            self.handle.registerTimer(max(_due_ms(first), timerValues.getCurrentWatermarkInMs() + 1))
+        arrived = [(int(at), int(rid), kind) for batch in rows
+                   for kind, at, rid in zip(batch["event_type"], batch["at_us"], batch["id"])]
+        if arrived:
+            self.waiting.appendList(arrived)
+            self.handle.registerTimer(max(_due_ms(min(arrived)[0]), timerValues.getCurrentWatermarkInMs() + 1))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
+        waiting = sorted(self.waiting.get()) if self.waiting.exists() else []
+        ready = [w for w in waiting if _due_ms(w[0]) <= watermark]
+        if not ready:
+            return
         counts = {k[0]: v[0] for k, v in self.counts.iterator()}
-        before, out, later = dict(counts), [], None
-        for (at, rid), (kind,) in sorted(self.waiting.iterator()):
-            if _due_ms(at) > watermark:
-                later = at
-                break
+        before, out = dict(counts), []
+        for at, rid, kind in ready:
             counts[kind] = counts.get(kind, 0) + 1
-            self.waiting.removeKey((at, rid))
             if kind == self.closing_type:
                 out.append((at, rid, sum(counts.values()), counts))
                 counts = {}
+        rest = waiting[len(ready):]
+        if rest:
+            self.waiting.put(rest)
+            self.handle.registerTimer(_due_ms(rest[0][0]))
+        else:
+            self.waiting.clear()
         for kind in before.keys() - counts.keys():
             self.counts.removeKey((kind,))
         for kind, n in counts.items():
             if before.get(kind) != n:
                 self.counts.updateValue((kind,), (n,))
-        if later is not None:
-            self.handle.registerTimer(_due_ms(later))
         if out:
             frame = pd.DataFrame(out, columns=["purchase_us", "id", "length", "counts"])
             for i, name in enumerate(self.key_columns):
