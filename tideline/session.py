@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # a commit writes the changes of the micro-batch instead of a full snapshot of the state
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
