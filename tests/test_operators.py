@@ -260,4 +260,5 @@ def test_type_matrix_round_trip(spark, tmp_path, kind, required):
     df = spark.createDataFrame([], f"v {kind}{required}")
     df.write.parquet(str(tmp_path / "t"))
     back = spark.read.schema(df.schema).parquet(str(tmp_path / "t"))
-    assert back.schema[0].dataType == df.schema[0].dataType and back.count() == 0
+    # parquet reads make nested fields nullable
+    assert back.dtypes == df.dtypes and back.count() == 0
