@@ -24,7 +24,9 @@ def _raw(document: Column, name: str) -> Column:
 
 def _typed(raw: Column, kind: str) -> Column:
     """Lenient conversion: text that is no number is 0, text other than true is false."""
-    text = F.when(raw.startswith('"'), F.get_json_object(F.concat(F.lit('{"v":'), raw, F.lit("}")), "$.v")).otherwise(raw)
+    unescaped = F.get_json_object(F.concat(F.lit('{"v":'), raw, F.lit("}")), "$.v")
+    text = (F.when(~raw.startswith('"'), raw).when(F.contains(raw, F.lit("\\")), unescaped)
+            .otherwise(F.substring(raw, F.lit(2), F.length(raw) - 2)))
     number = F.coalesce(text.try_cast("double"), F.when(text == "true", F.lit(1.0)), F.lit(0.0))
     if kind == "string" or kind.startswith(("varchar", "char")):
         return text
