@@ -31,12 +31,12 @@ TEMPLATES = (
 )
 WINDOW, STRIDE = 8, 4
 PIECE = WINDOW - STRIDE + 1
-BANDS = 11
+BANDS = 12
 BLOCK = 2048
 LIMIT = 0.8
 GAPS = " \t\n\x0b\x0c\r,.;:!?()\"'*#"
-#: fixed odd-looking masks; the i-th band orders shingle hashes by their value XOR the i-th mask
-MASKS = tuple(((0x9E3779B97F4A7C15 * (i + 1)) & ((1 << 63) - 1)) for i in range(BANDS))
+#: The i-th band orders shingle hashes by their bits from bit TURN * i on, so bands depend on different bits.
+TURN = 5
 
 
 def words_of(text: Column) -> Column:
@@ -44,6 +44,11 @@ def words_of(text: Column) -> Column:
     return F.split(F.lower(F.coalesce(text, F.lit(""))), "[" + GAPS.replace("\"", "\\\"") + "]+")
 
 
+def _turned(h: Column, band: int) -> Column:
+    """The hash rotated for a band."""
+    return h if band == 0 else F.shiftleft(h, TURN * band).bitwiseOR(F.shiftrightunsigned(h, 64 - TURN * band))
+
+
 def _pair_hashes(words: str) -> Column:
     """A hash for each pair of neighbouring words, in order."""
     return F.when(F.size(words) > 1, F.zip_with(
@@ -62,13 +67,13 @@ def _keys(table: DataFrame) -> list[list[tuple[int, int]]]:
     n = PIECE - 1
     piece = F.transform(F.sequence(F.lit(1), F.greatest(F.size("own") - (n - 1), F.lit(1))), lambda at: F.slice("own", at, n))
     cut = table.select("template", F.explode(piece).alias("piece"))
-    keys = cut.select("template", *[F.array_min(F.transform("piece", lambda h: h.bitwiseXOR(F.lit(MASKS[i])))).alias(f"k{i}") for i in range(BANDS)]).collect()
+    keys = cut.select("template", *[F.array_min(F.transform("piece", lambda h: _turned(h, i))).alias(f"k{i}") for i in range(BANDS)]).collect()
     return [sorted({(row[f"k{i}"], row["template"]) for row in keys}) for i in range(BANDS)]
 
 
 def found(docs: DataFrame, rows=TEMPLATES, limit: float = LIMIT) -> DataFrame:
-    """(doc_id, license, containment, places): the best containment of any template of the license in a
-    document, and how many windows confirmed it. Documents without a license give no row.
+    """(doc_id, license, containment): the best containment of any template of the license in a document.
+    Documents without a license give no row.
 
     Null and empty texts hold none. Repeated rows of one doc_id are taken together; a null doc_id is one
     document. Templates need two words. Other columns are ignored; an empty table gives no rows."""
@@ -92,7 +97,7 @@ def found(docs: DataFrame, rows=TEMPLATES, limit: float = LIMIT) -> DataFrame:
     value = lambda a, j: F.get("h", a + j)
     windows = hashed.select("doc_id", "h", F.inline(F.transform(at, lambda a: F.struct(
         a.alias("at"), *[value(a, j).alias(f"x{j}") for j in range(WINDOW - 1)]))))
-    lowest = [F.least(*[F.col(f"x{j}").bitwiseXOR(F.lit(mask)) for j in range(WINDOW - 1)]) for mask in MASKS]
+    lowest = [F.least(*[_turned(F.col(f"x{j}"), i) for j in range(WINDOW - 1)]) for i in range(BANDS)]
     met = F.lit(False)
     for i in range(BANDS):
         met = met | lowest[i].isin([k for k, _ in keys[i]])
@@ -102,4 +107,4 @@ def found(docs: DataFrame, rows=TEMPLATES, limit: float = LIMIT) -> DataFrame:
     candidates = windows.join(F.broadcast(known.join(F.broadcast(table), "template")), ["band", "key"])  # bounded by the templates
     share = F.size(F.array_intersect("own", "around")) / F.size(F.array_distinct("own"))
     return (candidates.select("doc_id", "license", "around", share.alias("share")).where(F.col("share") >= limit)
-            .groupBy("doc_id", "license").agg(F.max("share").alias("containment"), F.count_distinct(F.xxhash64("around")).alias("places")))
+            .groupBy("doc_id", "license").agg(F.max("share").alias("containment")))

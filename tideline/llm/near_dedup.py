@@ -5,11 +5,12 @@
 2. Inverted lists: classes by retained value. A list of more than ``long_list`` classes is long. Every
    class enters its short lists; a class with LONG_SHARE of its sketch in long lists also enters the
    PREFIX least frequent of those, so that very common shingles never pair unrelated texts.
-3. Short lists give pairs that share ``OVERLAPS`` values (one, for sets below K). Long lists give pairs with
-   hubs only, linear in the list. The sketch of the union estimates the similarity; pairs far below go.
-4. Exact Jaccard on the full sets decides: first one partner for each class, then, after components are
-   known, only pairs that would still join two components. At last the members of long lists that hubs left
-   in different components are compared with each other.
+3. First every class meets a few hubs of its lists (the smallest id, the most central classes), linear in
+   the list. Then classes of short lists that share ``OVERLAPS`` values (one, for sets below K) and are still in
+   different components meet each other, and last the classes of long lists that hubs left in
+   different components and whose shared shingles allow a link at all.
+4. The sketch of the union estimates the similarity; pairs far below the limit go. Exact Jaccard on the full
+   sets decides: first the most similar partner of each class, then only pairs that would still join two components.
 
 Nothing is left to chance for sets below K, whose sketches are complete: at Jaccard 0.8 at most a fifth of
 either set is not shared, so a class with less than LONG_SHARE in long lists shares a short one, and else
@@ -103,7 +104,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFram
     return (full.select("a", "b", complete.alias("known"), shared.alias("shared"), F.size(union).alias("of"))
             .where(F.when(F.col("known"), 100 * F.col("shared") >= threshold * F.col("of"))
                    .otherwise(F.col("shared") >= (threshold / 100 - MARGIN) * F.col("of")))
-            .select("a", "b", "known"))
+            .select("a", "b", "known", (F.col("shared") / F.col("of")).alias("estimate")))
 
 
 def _lists(classes: DataFrame, long_list: int) -> DataFrame:
@@ -118,8 +119,36 @@ def _lists(classes: DataFrame, long_list: int) -> DataFrame:
     long_ = F.filter("held", lambda x: x["rank"] > 0)
     mostly_long = F.size(long_) >= LONG_SHARE * F.least("n", F.lit(K))
     entered = F.when(mostly_long, F.concat(short, F.slice(long_, 1, PREFIX))).otherwise(short)
-    return (mine.select("id", "n", F.explode(entered).alias("x"))
-            .select("id", "n", F.col("x.v").alias("v"), F.col("x.n_list").alias("n_list")))
+    # a text that others were copied from holds more of what they share than any copy does
+    central = F.struct(F.size("held").alias("many"), F.aggregate("held", F.lit(0).cast("long"), lambda total, x: total + x["n_list"]).alias("sum"))
+    return (mine.select("id", "n", central.alias("central"), F.explode(entered).alias("x"))
+            .select("id", "n", "central", F.col("x.v").alias("v"), F.col("x.n_list").alias("n_list")))
+
+
+def _spokes(lists: DataFrame, long_list: int) -> DataFrame:
+    """(a, b): every class with a few hubs of each list it is in; linear in the list."""
+    hubs = lists.groupBy("v").agg(F.min("id").alias("h1"), F.max_by("id", F.struct("central", "id")).alias("h2"),
+                                  F.max_by("id", F.struct("central.many", F.xxhash64("id", "v"))).alias("h3"))
+    rows = lists.join(hubs, "v").select("id", "n", (F.col("n_list") > long_list).alias("long"), F.explode(F.array_distinct(F.array("h1", "h2", "h3"))).alias("h"))
+    return (rows.where("id != h").groupBy(F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b"))
+            .agg(F.count(F.lit(1)).alias("overlaps"), F.min("n").alias("n"), F.max("long").alias("long"))
+            .where((F.col("overlaps") >= OVERLAPS) | (F.col("n") * 4 < K * 5) | F.col("long")).select("a", "b"))
+
+
+def _can_link(members: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
+    """(id, shared): how many shingles of a class stand in another class of ``members`` at all. A pair of
+    sizes n and m with the similarity t shares t / (1 + t) * (n + m), so this bounds what a class can link with."""
+    def run(batches):
+        for batch in batches:
+            for p in pieces(batch.column("text"), lower=True):
+                held = list(shingle_sets(p, word_hashes(p), size))
+                ids = batch.column("id").slice(p.first, len(p))
+                yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.repeat(np.arange(len(p)), [len(s) for s in held]))),
+                                                  pa.array(np.concatenate(held))], names=["id", "s"])
+    rows = texts.join(members.select("id").distinct(), "id", "left_semi").mapInArrow(run, "id long, s long")
+    often = rows.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("id"))
+    alone = often.where("c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
+    return members.join(alone, "id", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
 
 
 def linked(docs: DataFrame, size: int = 2, threshold: int = 80, long_list: int = LONG_LIST) -> tuple[DataFrame, DataFrame]:
@@ -132,54 +161,60 @@ def linked(docs: DataFrame, size: int = 2, threshold: int = 80, long_list: int =
                      .agg(F.min("doc_id").alias("id"), F.first("sketch").alias("sketch")), "classes")
     lists = staged(_lists(classes, long_list), "lists")
 
-    # pairs from short lists, hub pairs from long ones
-    short = lists.where(F.col("n_list") <= long_list)
-    one = short.select("v", F.col("id").alias("a"), F.col("n").alias("n_a"))
-    two = short.select("v", F.col("id").alias("b"), F.col("n").alias("n_b"))
-    near = (one.join(two, "v").where((F.col("a") < F.col("b")) & _fits(threshold))
-            .groupBy("a", "b", F.least("n_a", "n_b").alias("n")).agg(F.count(F.lit(1)).alias("overlaps"))
-            .where(F.col("overlaps") >= F.when(F.col("n") < K, 1).otherwise(OVERLAPS)).select("a", "b"))
-    long_ = lists.where(F.col("n_list") > long_list)
-    hubs = long_.groupBy("v").agg(F.min("id").alias("h1"), F.min_by("id", F.xxhash64("id", "v")).alias("h2"),
-                                  F.min_by("id", F.xxhash64("v", "id")).alias("h3"))
-    spokes = (long_.join(hubs, "v").select("id", F.explode(F.array("h1", "h2", "h3")).alias("h")).where("id != h")
-              .select(F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b")).distinct())
-    pairs = staged(_estimated(near.unionByName(spokes).distinct(), classes, threshold), "pairs")
-    sure = pairs.where("known").select("a", "b")
-    open_ = pairs.where("not known").select("a", "b")
-
-    involved = staged(open_.select(F.explode(F.array("a", "b")).alias("id"))
-                      .unionByName(long_.select("id")).distinct(), "involved")
-    few = involved.count() <= BROADCAST_IDS
-    ids = F.broadcast(involved) if few else involved
-    texts = base.select(F.col("doc_id").alias("id"), "text").join(ids, "id", "left_semi")
-    texts = staged(texts.groupBy("id").agg(F.min("text").alias("text")) if _repeated(sketched) else texts, "texts")
-
-    # one partner for each class, then only what still joins two components
-    best = open_.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    found = staged(sure.unionByName(_similar(best, texts, size, threshold)), "links")
-    comps = components(found)
-    rest = _apart(open_.join(best, ["a", "b"], "left_anti"), comps)
-    more = staged(_similar(rest, texts, size, threshold), "links")
-    if not more.isEmpty():
-        found = found.unionByName(more)
+    def texts_of(ids: DataFrame) -> DataFrame:
+        ids = staged(ids.distinct(), "involved")
+        few = ids.count() <= BROADCAST_IDS
+        texts = base.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(ids) if few else ids, "id", "left_semi")
+        return staged(texts.groupBy("id").agg(F.min("text").alias("text")) if repeated else texts, "texts")
+
+    def settled(pairs: DataFrame, found: DataFrame | None, comps: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        """Links and components with the similar ones of ``pairs``: first each class with its most similar partner,
+        then only the pairs that would still join two components."""
+        texts = texts_of(pairs.where("not known").select(F.explode(F.array("a", "b")).alias("id")))
+        best = (pairs.where("not known").groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")).select("a", "b"))
+        new = staged(pairs.where("known").select("a", "b").unionByName(_similar(best, texts, size, threshold)), "links")
+        found = new if found is None else found.unionByName(new)
         comps = components(found)
-
-    # long lists whose members hubs have left in several components
-    marked = _labelled(long_, comps)
-    split = marked.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("v")
-    marked = staged(marked.join(split, "v"), "unresolved")
-    if not marked.isEmpty():
-        one = marked.select("v", F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
-        two = marked.select("v", F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"))
-        cross = (one.join(two, "v").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _fits(threshold))
-                 .select("a", "b").distinct().join(pairs.select("a", "b"), ["a", "b"], "left_anti"))
-        cross = staged(_estimated(cross, classes, threshold), "cross")
-        last = staged(cross.where("known").select("a", "b").unionByName(
-            _similar(cross.where("not known"), texts, size, threshold)), "links")
-        if not last.isEmpty():
-            found = found.unionByName(last)
-            comps = components(found)
+        rest = _apart(pairs.where("not known").select("a", "b").join(best, ["a", "b"], "left_anti"), comps)
+        more = staged(_similar(rest, texts, size, threshold), "links")
+        if more.isEmpty():
+            return found, comps
+        found = found.unionByName(more)
+        return found, components(found)
+
+    repeated = _repeated(sketched)
+    # every class with the hubs of its lists
+    tried = staged(_estimated(_spokes(lists, long_list), classes, threshold), "pairs")
+    found, comps = settled(tried, None, None)
+
+    # short lists: all pairs whose classes are still apart
+    marked = staged(_labelled(lists.drop("central"), comps), "marked")
+    split = marked.groupBy("v", "n_list").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("v", "n_list")
+    short = marked.join(split.where(F.col("n_list") <= long_list).select("v"), "v")
+    near = (_meeting(short, short, threshold).groupBy("a", "b", F.least("n_a", "n_b").alias("n")).agg(F.count(F.lit(1)).alias("overlaps"))
+            .where(F.col("overlaps") >= F.when(F.col("n") < K, 1).otherwise(OVERLAPS)).select("a", "b")
+            .join(tried.select("a", "b"), ["a", "b"], "left_anti"))
+    near = staged(_estimated(near, classes, threshold), "pairs")
+    if not near.isEmpty():
+        found, comps = settled(near, found, comps)
+
+    # long lists that hubs left in several components: only classes that can link, against the whole list
+    far = _labelled(lists.where(F.col("n_list") > long_list).select("id", "n", "v"), comps)
+    split = far.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n").alias("least")).where("lo < hi").select("v", "least")
+    far = staged(far.join(split, "v"), "unresolved")
+    if not far.isEmpty():
+        texts = texts_of(far.select("id"))
+        able = _can_link(far, texts, size, threshold).where((100 + threshold) * F.col("shared") >= threshold * (F.col("n") + F.col("least")))
+        able = staged(able, "unresolved")
+        # the largest component of a list has found its hub; the others meet it and each other
+        largest = able.groupBy("v", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("v").agg(
+            F.max_by("component", F.struct("c", "component")).alias("largest"))
+        able = able.join(largest, "v")
+        cross = _meeting(able.where("component != largest"), able, threshold).select("a", "b").distinct()
+        cross = cross.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        cross = staged(_estimated(cross, classes, threshold), "pairs")
+        if not cross.isEmpty():
+            found, comps = settled(cross, found, comps)
 
     of_class = (_labelled(classes.select(*key, "id"), comps))
     rows = sketched.select("doc_id", *key).join(of_class, key, "left").select(
@@ -187,6 +222,20 @@ def linked(docs: DataFrame, size: int = 2, threshold: int = 80, long_list: int =
     return rows, found
 
 
+def _meeting(some: DataFrame, all_: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a < b) of a row of ``some`` and a row of ``all_`` in one list, of different components, that their
+    sizes and, where known, their shared shingles allow."""
+    shared = "shared" in some.columns
+    cols = lambda x: [F.col("id").alias(f"id_{x}"), F.col("n").alias(f"n_{x}"), F.col("component").alias(f"c_{x}")] + (
+        [F.col("shared").alias(f"shared_{x}")] if shared else [])
+    able = F.lit(True)
+    if shared:
+        able = (100 + threshold) * F.least("shared_a", "shared_b") >= threshold * (F.col("n_a") + F.col("n_b"))
+    pairs = some.select("v", *cols("a")).join(all_.select("v", *cols("b")), "v").where(
+        (F.col("c_a") != F.col("c_b")) & (F.lit(shared) | (F.col("id_a") < F.col("id_b"))) & _fits(threshold) & able)
+    return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"), "n_a", "n_b")
+
+
 def _repeated(sketched: DataFrame) -> bool:
     """Whether a doc_id stands in several rows."""
     seen = sketched.agg(F.count("doc_id").alias("rows"), F.count_distinct("doc_id").alias("ids")).first()

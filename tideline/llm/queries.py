@@ -8,8 +8,9 @@ from ..session import Tables
 from . import (chat_format, decontamination, license_scan, mixing, near_dedup, quality_classifier, quality_rules, sharding,
                toxicity, url_filter)
 from .fit import in_fold_zero
+from .oracles import ORACLES  # noqa: F401
 
-QUERIES, ORACLES = {}, {}
+QUERIES = {}
 
 
 def query(name: str):

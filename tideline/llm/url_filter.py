@@ -81,6 +81,11 @@ def _model(training: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.select("gram", (F.log(probability("a")) - F.log(probability("b"))).alias("ratio"))
 
 
+def _held(s: Column) -> Column:
+    """URLs that calibrate the limit and are not counted in the models."""
+    return F.conv(F.substring(F.md5(s), 1, 8), 16, 10).cast("long") % HELD_OUT == 0
+
+
 def judged(pages: DataFrame, rules=RULES, missed: float = MISSED) -> DataFrame:
     """page_id, host, path, rule, verdict and score (the model's; null where the URL has no character).
 
@@ -94,13 +99,13 @@ def judged(pages: DataFrame, rules=RULES, missed: float = MISSED) -> DataFrame:
                               _characters(F.col("host"), F.col("path")).alias("s")), "urls")
     # equal strings are counted once
     urls = rows.groupBy("s", "says").agg(F.count(F.lit(1)).alias("n"))
-    held = F.pmod(F.crc32(F.encode("s", "utf-8")), F.lit(HELD_OUT)) == 0
+    held = _held(F.col("s"))
     grams = staged(_grams(urls.withColumn("says", F.when(~held, F.col("says"))), "says", "n")
                    .groupBy("gram", "says").agg(F.sum("n").alias("n")), "grams")
     model = staged(_model(grams.where("says is not null"), grams.select("gram").distinct()), "model")
     scored = (_grams(rows.select("s").distinct(), "s").join(broadcast_if_small(model, 32 << 20), "gram")
               .groupBy("s").agg(F.round(F.avg("ratio"), 6).alias("score")))
-    scored = staged(rows.join(scored, "s", "left").drop("s").withColumn("held", held_of(F.col("host"), F.col("path"))), "scored")
+    scored = staged(rows.join(scored, "s", "left").withColumn("held", _held(F.col("s"))).drop("s"), "scored")
     # how many held-out accepted URLs lie at each rounded score: bounded by the bins, not by the URLs
     bins = (scored.where("held and says = 'allow' and score is not null").groupBy(F.round("score", 3).alias("bin")).agg(F.count(F.lit(1)).alias("n")))
     along = Window.partitionBy(F.lit(0)).orderBy("bin")
@@ -110,7 +115,3 @@ def judged(pages: DataFrame, rules=RULES, missed: float = MISSED) -> DataFrame:
     judge = F.when((F.col("score") >= F.col("limit")) | F.col("score").isNull() | F.col("limit").isNull() | (F.col("blocked") == 0), "allow").otherwise("block")
     full = scored.crossJoin(F.broadcast(limit)).crossJoin(F.broadcast(known))  # one row each: global aggregates
     return full.select("page_id", "host", "path", "rule", F.coalesce("says", judge).alias("verdict"), "score")
-
-
-def held_of(host: Column, path: Column) -> Column:
-    return F.pmod(F.crc32(F.encode(_characters(host, path), "utf-8")), F.lit(HELD_OUT)) == 0
