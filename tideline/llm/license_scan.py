@@ -8,7 +8,7 @@ pieces of at most WINDOW - STRIDE + 1 words, one at every word, so a whole piece
     similarity of that window and a piece of m words >= (m - 1) / (WINDOW - 1)
 
 BANDS bands of one row each then meet with probability 1 - (1 - s) ** BANDS: above 0.9999 for pieces of
-5 words, the shortest template here. The band keys of the templates are few and sit in the plan as literals.
+5 words, the shortest template here. The band keys of the templates are few and are broadcast.
 A window that meets a band is only a candidate: it counts if the words around it contain LIMIT of the
 template's shingles.
 """
@@ -97,14 +97,14 @@ def found(docs: DataFrame, rows=TEMPLATES, limit: float = LIMIT) -> DataFrame:
     value = lambda a, j: F.get("h", a + j)
     windows = hashed.select("doc_id", "h", F.inline(F.transform(at, lambda a: F.struct(
         a.alias("at"), *[value(a, j).alias(f"x{j}") for j in range(WINDOW - 1)]))))
-    lowest = [F.least(*[_turned(F.col(f"x{j}"), i) for j in range(WINDOW - 1)]) for i in range(BANDS)]
-    met = F.lit(False)
-    for i in range(BANDS):
-        met = met | lowest[i].isin([k for k, _ in keys[i]])
+    turned = [F.expr(f"shiftleft(x{j}, {TURN} * band) | shiftrightunsigned(x{j}, 64 - {TURN} * band)") for j in range(WINDOW - 1)]
+    banded = (windows.select("*", F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band"))
+              .select("doc_id", "h", "at", "band", F.least(*turned).alias("key")))
+    known = spark.createDataFrame([(i, k, t) for i in range(BANDS) for k, t in keys[i]], "on_band int, key long, template int")
     around = F.slice("h", F.greatest(F.col("at") + 2 - longest, F.lit(1)), longest + F.least(F.col("at") + 1, F.lit(longest - 1)) + WINDOW)
-    windows = windows.where(met).select("doc_id", around.alias("around"), F.posexplode(F.array(*lowest)).alias("band", "key"))
-    known = spark.createDataFrame([(i, k, t) for i in range(BANDS) for k, t in keys[i]], "band int, key long, template int")
-    candidates = windows.join(F.broadcast(known.join(F.broadcast(table), "template")), ["band", "key"])  # bounded by the templates
+    # the join's table is bounded by the templates
+    candidates = (banded.join(F.broadcast(known.join(F.broadcast(table), "template")), "key").where("band = on_band")
+                  .select("doc_id", "license", "own", around.alias("around")))
     share = F.size(F.array_intersect("own", "around")) / F.size(F.array_distinct("own"))
     return (candidates.select("doc_id", "license", "around", share.alias("share")).where(F.col("share") >= limit)
             .groupBy("doc_id", "license").agg(F.max("share").alias("containment")))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 21
+PIECE = 1 << 20
 BASE = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
 _powers: dict[str, np.ndarray] = {}
 
