@@ -262,3 +262,20 @@ def test_type_matrix_round_trip(spark, tmp_path, kind, required):
     back = spark.read.schema(df.schema).parquet(str(tmp_path / "t"))
     # parquet reads make nested fields nullable
     assert back.dtypes == df.dtypes and back.count() == 0
+
+
+def test_pattern_null_and_large_keys(spark):
+    """A NULL key is one key, and integers beyond 2**53 stay exact beside it."""
+    big = 2 ** 60 + 1
+    df = spark.createDataFrame([(k, i, 100 * n + i) for n, k in enumerate((7, None, big)) for i in range(6)], "k long, t long, id long").withColumn(
+        "t", F.timestamp_seconds("t"))
+    got = match_rows(df, ["k"], "t", "id", "A A", {"A": F.lit(True)}, "1 hour")
+    assert rows(got, "k", "match_number", "row_ids") == sorted(
+        [(k, m + 1, [100 * n + 2 * m, 100 * n + 2 * m + 1]) for n, k in enumerate((7, None, big)) for m in range(3)], key=repr)
+
+
+def test_pattern_with_many_symbols(spark):
+    df = spark.createDataFrame([(1, i, i) for i in range(24)], "k int, t long, id long").withColumn("t", F.timestamp_seconds("t"))
+    define = {f"S{j}": F.col("id") % 12 == j for j in range(12)}
+    got = match_rows(df, ["k"], "t", "id", " ".join(define), define, "1 hour").collect()
+    assert [(r.start_id, r.end_id, r.classifiers) for r in got] == [(0, 11, list(define)), (12, 23, list(define))] 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tideline.operators.ranking import ranks
 from tideline.plans.skew import salted_join
 from tideline.plans.slices import Order, Running, running, shifted, split, trailing_range, trailing_sums
 
@@ -62,6 +63,46 @@ def test_running(table, limit, keys):
     assert rows(ranks, "id", "n", "s", "before", "lo", "hi", "last", "rank", "dense", "all", "total") == naive_running(data, bool(keys))
 
 
+def test_peers_across_slices(spark):
+    """Runs of equal order values longer than a slice, NULLs among them."""
+    values = [None] * 40 + [1] * 3 + [2] * 90 + [3, 4, 4, 5] + [6] * 50
+    df = spark.createDataFrame([(i, 1, v) for i, v in enumerate(values)] + [(1000, 2, 7)], "id int, k int, t int")
+    wanted = [Running("rank", "rank"), Running("dense", "dense_rank"), Running("upto", "upto")]
+    for descending in (False, True):
+        plain, cut = (running(df, ["k"], Order("t", descending=descending), wanted, rows_per_group=n) for n in (10_000, 15))
+        assert rows(cut) == rows(plain) and cut.dtypes == plain.dtypes
+
+
+@pytest.mark.parametrize("times", [
+    [1] + [10 ** 15 + i for i in range(2999)],            # one wrong clock
+    [5] * 2500 + list(range(500)),                        # a burst
+    [None] * 3000,
+    [2 ** (i % 60) for i in range(3000)]])                # a heavy tail
+def test_slices_hold_about_equal_rows(spark, times):
+    df = spark.createDataFrame(list(enumerate(times)), "id long, t long").withColumn("k", F.lit(1))
+    parts = split(df, ["k"], Order("t"), 100)
+    sizes = [r["count"] for r in parts.df.groupBy("__slice").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 400 and len(sizes) >= 15
+
+
+def test_both_plans_have_the_same_types_and_nulls(table):
+    _, df = table
+    df = df.withColumn("d", F.col("v").cast("decimal(18,2)")).where("v IS NULL OR k = 2 OR k = 1")
+    order = Order("t", ("id",))
+    wanted = [*specs(), Running("dec", "sum", F.col("d")), Running("rank", "rank"), Running("dense", "dense_rank"), Running("upto", "upto")]
+    for fn in (lambda n: running(df, ["k"], order, wanted, rows_per_group=n),
+               lambda n: trailing_sums(df, ["k"], order, {"s": F.col("v"), "dec": F.col("d")}, 1, rows_per_group=n),
+               lambda n: shifted(df, ["k"], order, {"a": ("v", 1), "b": ("d", -3)}, rows_per_group=n)):
+        small, cut = fn(10_000), fn(12)
+        assert small.dtypes == cut.dtypes and rows(small) == rows(cut)
+
+
+def test_sliced_plan_is_short(table):
+    _, df = table
+    plan = ranks(df, ["k"], Order("t", ("id",)), 3, rows_per_group=15)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 4 and plan.count("Exchange hash") <= 6
+
+
 def test_split_finds_hot_groups(table):
     _, df = table
     assert not split(df, ["k"], Order("t"), 10_000).sliced

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.skew import ROWS_PER_GROUP
 from ..plans.slices import Order, Running, running
+from ..plans.staging import staged
 
 
 def hourly_pv_uv(df: DataFrame, time: str, user: str) -> DataFrame:
@@ -37,8 +38,8 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, fractions: dic
                       rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
     """Interpolated percentiles per key without holding a group in memory: equal values are counted
     first, a running count places them, and only the few rows at the wanted places are kept."""
-    counts = (df.where(F.col(value).isNotNull()).groupBy(*keys, value)
-              .agg(F.count(F.lit(1)).alias("__c")))
+    counts = staged(df.where(F.col(value).isNotNull()).groupBy(*keys, value)
+                    .agg(F.count(F.lit(1)).alias("__c")), "value-counts")
     placed = running(counts, keys, Order(value), [
         Running("__upto", "sum", F.col("__c")), Running("__n", "total_sum", F.col("__c"))], rows_per_group)
     holds = lambda place: (place >= F.col("__upto") - F.col("__c")) & (place < F.col("__upto"))

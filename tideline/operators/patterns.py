@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.durations import at, micros
@@ -20,7 +20,9 @@ from ..plans.skew import ROWS_PER_GROUP
 from ..plans.slices import Order, Running, running, shifted
 from ..plans.staging import staged
 
-MAX_SYMBOLS = 8
+#: a row's symbols are the bits of one long
+MAX_SYMBOLS = 62
+FIRST = 0x10000
 
 
 @dataclass(frozen=True)
@@ -32,14 +34,14 @@ class Measure:
     symbol: str | None = None
 
 
-def _compile(pattern: str, symbols: list[str]):
+def _compile(pattern: str, symbols: list[str], sets: tuple[int, ...] = ()):
     """A row is one character that stands for the set of symbols whose condition it meets, so a row
-    may meet several conditions. A symbol becomes the class of all sets that hold it."""
+    may meet several conditions. A symbol becomes the class of all of ``sets`` that hold it."""
     import regex
     classes = {}
     for bit, name in enumerate(symbols):
-        members = "".join(f"\\u{0x100 + s:04x}" for s in range(1 << len(symbols)) if s >> bit & 1)
-        classes[name] = f"(?P<{name}>[{members}])"
+        members = "".join(chr(FIRST + i) for i, s in enumerate(sets) if s >> bit & 1)
+        classes[name] = f"(?P<{name}>[{members or chr(FIRST - 1)}])"
     out = []
     for token in re.findall(r"[A-Za-z_]\w*|\{[\d,\s]*\}|\S", pattern):
         if token[0].isalpha() or token[0] == "_":
@@ -57,19 +59,21 @@ def _finder(pattern: str, symbols: list[str], keys: list[str], measures: dict[st
             resume_symbol: str | None, resume_last: bool):
     """Matcher over Arrow batches sorted by (keys, part, cell, time): whole groups are matched together, the
     last, perhaps unfinished group of a batch waits for the next one."""
-    group_columns = [*keys, "__part", "__cell"]
-    names = [*keys, "__start", "__start_id", "__end", "__end_id", "n_rows", "__resume", "__resume_id", "row_ids",
-             "classifiers", *measures]
-
-    def group_numbers(rows: pd.DataFrame) -> np.ndarray:
-        change = np.zeros(len(rows), dtype=bool)
-        for name in group_columns:
-            codes = pd.factorize(rows[name], use_na_sentinel=False)[0]
+    names = ["__start", "__start_id", "__end", "__end_id", "n_rows", "__resume", "__resume_id", "row_ids", "classifiers", *measures]
+    kinds = [*[pa.int64()] * 4, pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), *[pa.float64()] * len(measures)]
+    programs: dict[tuple, object] = {}
+
+    def group_numbers(rows: pa.Table) -> np.ndarray:
+        """Keys stay Arrow values: a NULL among them makes no other key inexact and equals itself."""
+        change = np.zeros(rows.num_rows, dtype=bool)
+        for name in [*keys, "__part", "__cell"]:
+            codes = rows.column(name).combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
             change[1:] |= codes[1:] != codes[:-1]
         return np.cumsum(change)
 
-    def match(rows: pd.DataFrame, groups: np.ndarray, compiled) -> pd.DataFrame:
-        at_us, ids = rows["__at"].to_numpy(), rows["__id"].to_numpy()
+    def match(rows: pa.Table, groups: np.ndarray) -> pa.RecordBatch:
+        column = lambda name: rows.column(name).to_numpy()
+        at_us, ids = column("__at"), column("__id")
         first = np.flatnonzero(np.r_[True, groups[1:] != groups[:-1]])
         passed = at_us - at_us[first][groups - groups[0]]
         # one rising time line for all groups, far enough apart that no frame reaches the next group
@@ -78,14 +82,18 @@ def _finder(pattern: str, symbols: list[str], keys: list[str], measures: dict[st
             line = passed + number * apart
             ends = np.searchsorted(line, line + within, side="right")
         else:
-            stops = np.r_[first[1:], len(rows)]
+            stops = np.r_[first[1:], rows.num_rows]
             ends = np.concatenate([lo + np.searchsorted(passed[lo:hi], passed[lo:hi] + within, side="right")
                                    for lo, hi in zip(first, stops)])
-        text = "".join(map(chr, (rows["__set"].to_numpy() + 0x100).tolist()))
-        values = {m.column: rows[m.column].to_numpy() for m in measures.values() if m.column}
-        key_values = [rows[k].to_numpy() for k in keys]
-        out = []
-        for i in np.flatnonzero(rows["__own"].to_numpy()).tolist():
+        sets, codes = np.unique(column("__set"), return_inverse=True)
+        text = "".join(map(chr, (codes + FIRST).tolist()))
+        known = tuple(sets.tolist())
+        if known not in programs:
+            programs[known] = _compile(pattern, symbols, known)
+        compiled = programs[known]
+        values = {m.column: column(f"__m_{m.column}") for m in measures.values() if m.column}
+        out, starts = [], []
+        for i in np.flatnonzero(column("__own")).tolist():
             m = compiled.match(text, i, int(ends[i]))
             if not m or m.end() == i:
                 continue
@@ -95,37 +103,40 @@ def _finder(pattern: str, symbols: list[str], keys: list[str], measures: dict[st
             resume = None
             if resume_symbol and spots.get(resume_symbol):
                 resume = spots[resume_symbol][-1 if resume_last else 0]
-            row = [*[k[i] for k in key_values], at_us[i], ids[i], at_us[last], ids[last], m.end() - i,
+            row = [at_us[i], ids[i], at_us[last], ids[last], m.end() - i,
                    None if resume is None else at_us[resume], None if resume is None else ids[resume],
-                   ids[i:m.end()].tolist(), [label[p] for p in range(i, m.end())]]
+                   ids[i:m.end()], [label[p] for p in range(i, m.end())]]
             for spec in measures.values():
                 picked = spots.get(spec.symbol, []) if spec.symbol else list(range(i, m.end()))
                 row.append(_measure(spec, values, picked))
+            starts.append(i)
             out.append(row)
-        frame = pd.DataFrame(out, columns=names)
-        for name in ("__resume", "__resume_id"):
-            frame[name] = frame[name].astype("Int64")
-        return frame
-
-    def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        compiled, waiting = _compile(pattern, symbols), []
+        held = rows.select(keys).take(pa.array(starts, pa.int64())).combine_chunks()
+        columns = list(zip(*out)) if out else [()] * len(names)
+        return pa.RecordBatch.from_arrays(
+            [*[c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in held.columns],
+             *[pa.array(list(c), kind) for c, kind in zip(columns, kinds)]], names=[*keys, *names])
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting = []
         for batch in batches:
-            if batch.empty:
+            if batch.num_rows == 0:
                 continue
+            batch = pa.Table.from_batches([batch])
             if waiting:
-                edge = pd.concat([waiting[-1].tail(1), batch])
+                edge = pa.concat_tables([waiting[-1].slice(waiting[-1].num_rows - 1), batch])
                 if group_numbers(edge)[-1] == 0:
                     waiting.append(batch)
                     continue
-            rows = pd.concat([*waiting, batch], ignore_index=True)
+            rows = pa.concat_tables([*waiting, batch])
             groups = group_numbers(rows)
             cut = int(np.searchsorted(groups, groups[-1]))
             if cut:
-                yield match(rows.iloc[:cut], groups[:cut], compiled)
-            waiting = [rows.iloc[cut:]]
+                yield match(rows.slice(0, cut), groups[:cut])
+            waiting = [rows.slice(cut)]
         if waiting:
-            rows = pd.concat(waiting, ignore_index=True)
-            yield match(rows, group_numbers(rows), compiled)
+            rows = pa.concat_tables(waiting)
+            yield match(rows, group_numbers(rows))
     return find
 
 
@@ -160,12 +171,12 @@ def match_rows(df: DataFrame, keys: list[str], time: str, row_id: str, pattern:
     target = words[2] if len(words) == 3 and words[1] in ("first", "last") and words[2] in define else None
     order = Order(time, (row_id,))
     rows = shifted(df, keys, order, neighbours, rows_per_group) if neighbours else df
-    bits = sum((F.when(cond, 1 << i).otherwise(0) for i, cond in enumerate(define.values())), F.lit(0))
+    bits = sum((F.when(cond, F.lit(1 << i).cast("long")).otherwise(0) for i, cond in enumerate(define.values())), F.lit(0).cast("long"))
     needed = list(dict.fromkeys(m.column for m in measures.values() if m.column))
     within_us = micros(within)
     width = max(micros(cell) if cell else within_us, within_us, 1)
     placed = rows.select(*keys, at(time).alias("__at"), F.col(row_id).cast("long").alias("__id"),
-                         bits.alias("__set"), *[F.col(c).cast("double").alias(c) for c in needed if c not in keys])
+                         bits.alias("__set"), *[F.col(c).cast("double").alias(f"__m_{c}") for c in needed])
     # a row no symbol takes ends every match before it: such rows cut their key into parts and go
     breaks = F.when(F.col("__set") == 0, 1).otherwise(0)
     placed = running(placed, keys, Order("__at", ("__id",)), [Running("__part", "sum", breaks)], rows_per_group,
@@ -182,7 +193,7 @@ def match_rows(df: DataFrame, keys: list[str], time: str, row_id: str, pattern:
     find = _finder(pattern, symbols, keys, measures, within_us, target, words[1] == "last")
     chunk = [*keys, "__part", "__cell"]
     found = (spread.repartition(*chunk).sortWithinPartitions(*chunk, "__at", "__id")
-             .mapInPandas(find, schema))
+             .mapInArrow(find, schema))
     found = staged(found, "matches")
     kept = found if skip == "to next row" else _without_overlaps(found, keys, rows_per_group)
     numbered = running(kept, keys, Order("__start", ("__start_id",)), [Running("match_number", "count")], rows_per_group,
@@ -202,26 +213,27 @@ def _without_overlaps(found: DataFrame, keys: list[str], rows_per_group: int) ->
         Running("__clump", "sum", F.col("__opens"))], rows_per_group, sizes_from=found).drop("__reach", "__opens")
     schema = clumps.schema
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, free, inclusive = None, None, False
         for batch in batches:
             keep = []
-            marks = zip(*[batch[k] for k in keys], batch["__clump"], batch["__start"], batch["__start_id"],
-                        batch["__end"], batch["__end_id"], batch["__resume"], batch["__resume_id"])
-            for mark in marks:
-                clump, (start, start_id, stop, stop_id, resume, resume_id) = mark[:len(keys) + 1], mark[len(keys) + 1:]
+            # Arrow's own values: exact integers, and None equals None
+            columns = [batch.column(c).to_pylist() for c in [*keys, "__clump", "__start", "__start_id", "__end", "__end_id", "__resume", "__resume_id"]]
+            for mark in zip(*columns):
+                clump = tuple("NaN" if v != v else v for v in mark[:len(keys) + 1])
+                start, start_id, stop, stop_id, resume, resume_id = mark[len(keys) + 1:]
                 spot = (start, start_id)
                 if clump != current:
                     current, free = clump, None
                 ok = free is None or spot > free or (inclusive and spot == free)
                 if ok:
-                    jumps = not pd.isna(resume) and (resume, resume_id) > spot
+                    jumps = resume is not None and (resume, resume_id) > spot
                     free, inclusive = ((resume, resume_id), True) if jumps else ((stop, stop_id), False)
                 keep.append(ok)
-            yield batch[np.array(keep, dtype=bool)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     parts = clumps.repartition(*keys, "__clump").sortWithinPartitions(*keys, "__clump", "__start", "__start_id")
-    return parts.mapInPandas(scan, schema).drop("__clump")
+    return parts.mapInArrow(scan, schema).drop("__clump")
 
 
 def all_rows(matches: DataFrame, keys: list[str]) -> DataFrame:

@@ -27,27 +27,19 @@ def ranks(df: DataFrame, keys: list[str], order: Order, tiles: int | None = None
     """row_number, rank, dense_rank, percent_rank, cume_dist and (with ``tiles``) ntile.
 
     The ties of ``order`` only settle row_number and ntile; the others compare the main column."""
-    main = Order(order.column, (), order.descending)
-    numbered = running(df, keys, order, [Running("row_number", "count")], rows_per_group)
-    ranked = running(numbered, keys, main, [
-        Running("rank", "rank"), Running("dense_rank", "dense_rank"), Running("__n", "total_count")],
-        rows_per_group, sizes_from=df)
+    out = running(df, keys, order, [
+        Running("row_number", "count"), Running("rank", "rank"), Running("dense_rank", "dense_rank"),
+        Running("__upto", "upto"), Running("__n", "total_count")], rows_per_group)
     n = F.col("__n")
-    out = ranked.withColumn("percent_rank", F.when(n > 1, (F.col("rank") - 1) / (n - 1)).otherwise(F.lit(0.0)))
-    equals = out.groupBy(*keys, order.column).agg(F.count(F.lit(1)).alias("__ties"))
-    named = equals.select(*[F.col(k).alias(f"__e_{k}") for k in [*keys, order.column]], "__ties")
-    cond = F.lit(True)
-    for k in [*keys, order.column]:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"__e_{k}"))
-    out = (out.join(named, cond).drop(*[f"__e_{k}" for k in [*keys, order.column]])
-           .withColumn("cume_dist", (F.col("rank") + F.col("__ties") - 1) / n))
+    out = (out.withColumn("percent_rank", F.when(n > 1, (F.col("rank") - 1) / (n - 1)).otherwise(F.lit(0.0)))
+           .withColumn("cume_dist", F.col("__upto") / n))
     if tiles:
         small, extra, rn = F.floor(n / tiles), n % tiles, F.col("row_number")
         cut = extra * (small + 1)
         out = out.withColumn("ntile", F.when(rn <= cut, F.floor((rn - 1) / (small + 1)) + 1)
                              .otherwise(extra + F.floor((rn - 1 - cut) / F.greatest(small, F.lit(1))) + 1)
                              .cast("int"))
-    return out.drop("__n", "__ties")
+    return out.drop("__n", "__upto")
 
 
 def neighbours(df, keys, order, values, rows_per_group=ROWS_PER_GROUP) -> DataFrame:

@@ -1,13 +1,15 @@
 """Ordered computations per key that stay parallel when one key holds most of the rows.
 
-A plain window puts all rows of a key into one task. Here groups larger than ``rows_per_group`` are
-cut along the order column into slices, and every computation runs in two levels:
+A plain window puts all rows of a key into one task. Here groups larger than ``rows_per_group`` are cut
+along their order into slices of about equally many rows, and every computation runs in two levels:
 
 1. inside (key, slice), with an ordinary window;
-2. over one summary row per (key, slice), which yields what each slice inherits from the earlier ones.
+2. over one summary row per (key, slice), which yields what each slice inherits from the others.
 
-The summary is pre-aggregated on the map side and has at most ``max_slices`` rows per hot key. Groups
-below the limit keep their single slice, so tables without hot keys get the plain window plan.
+Cuts come from one pass that samples the order values. A cut is a place in the full order: the order column,
+the columns that break its ties, and a random number for what those leave equal. Outliers, bursts, equal values
+and NULLs therefore cannot fill one slice. The rows are written once with their slice, so every use of a split
+sees the same rows in the same slices, also after a lost executor, and the input is not computed again. Tables without hot groups get the plain window plan; both plans give the same values, NULLs and types.
 """
 
 from __future__ import annotations
@@ -16,10 +18,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .skew import BROADCAST_KEYS, ROWS_PER_GROUP, meets
+from .sizes import broadcast_if_small
+from .skew import ROWS_PER_GROUP, meets
+from .staging import staged
 
 SLICE = "__slice"
-MAX_SLICES = 65_536
+CUTS = "__cuts"
+#: sampled rows per slice, and slices per rows_per_group
+PER_SLICE = 16
+FINE = 2
+#: summary rows that may be broadcast: one per slice of a hot group
+BROADCAST_SLICES = 500_000
 
 
 @dataclass(frozen=True)
@@ -33,9 +42,6 @@ class Order:
         turn = (lambda c: F.col(c).desc()) if self.descending else (lambda c: F.col(c).asc())
         return [turn(self.column), *[F.col(c).asc() for c in self.ties]]
 
-    def main(self) -> Column:
-        return self.columns()[0]
-
     def position(self, df: DataFrame) -> Column:
         """A number that never decreases along the order."""
         kind = df.schema[self.column].dataType
@@ -50,11 +56,32 @@ class Order:
             raise TypeError(f"cannot slice along {self.column} of type {kind.simpleString()}")
         return -number if self.descending else number
 
+    def main(self, df: DataFrame) -> Column:
+        """The order column as an exact value that sorts ascending, NULLs first (last when descending)."""
+        col, kind = F.col(self.column), df.schema[self.column].dataType
+        if not self.descending:
+            return F.struct(F.lit(False).alias("f"), col.alias("v"))
+        if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+            col = -F.unix_micros(col.cast("timestamp"))
+        elif isinstance(kind, T.DateType):
+            col = -F.unix_date(col)
+        elif isinstance(kind, T.NumericType):
+            col = -col
+        else:
+            raise TypeError(f"cannot sort {self.column} of type {kind.simpleString()} backwards in slices")
+        return F.struct(F.col(self.column).isNull().alias("f"), col.alias("v"))
+
+    def place(self, df: DataFrame) -> Column:
+        """The row's place in the full order. The random number only parts rows that the order itself does not."""
+        known = [c for c in self.ties if c in df.columns]
+        return F.struct(self.main(df).alias("m"), F.struct(*[F.col(c) for c in known], F.lit(0).alias("z")).alias("t"),
+                        F.rand(11).alias("r"))
+
 
 @dataclass(frozen=True)
 class Running:
-    """One running value. kind: count, sum, min, max, last (last non-null), rank, dense_rank,
-    total_count, total_sum (the last two over the whole group)."""
+    """One running value. kind: count, sum, min, max, last (last non-null), rank, dense_rank, upto (rows up to
+    the last peer), total_count, total_sum (the last two over the whole group)."""
     name: str
     kind: str
     expr: Column | None = None
@@ -63,73 +90,88 @@ class Running:
 
 @dataclass(frozen=True)
 class Split:
-    """Rows with their slice; ``sliced`` is False when no group is hot and no slice column exists."""
+    """Rows with their slice; ``slices`` is 0 when no group is hot and no slice column exists. A split can
+    serve any number of calls on the same frame."""
     df: DataFrame
     keys: tuple[str, ...]
     order: Order
-    sliced: bool
+    slices: int
+
+    @property
+    def sliced(self) -> bool:
+        return self.slices > 0
 
     def group(self) -> list[str]:
         return [*self.keys, SLICE] if self.sliced else list(self.keys)
 
-    def window(self):
+    def window(self, ties: bool = True):
         parts = self.group()
         base = Window.partitionBy(*parts) if parts else Window.partitionBy(F.lit(0))
-        return base.orderBy(*self.order.columns())
-
-
-def split(df: DataFrame, keys: list[str], order: Order,
-          rows_per_group: int = ROWS_PER_GROUP, max_slices: int = MAX_SLICES,
-          keep_cuts: bool = False, sizes_from: DataFrame | None = None) -> Split:
+        return base.orderBy(*self.order.columns()[:None if ties else 1])
+
+
+def _cuts(measured: DataFrame, keys: list[str], order: Order, rows_per_group: int) -> DataFrame:
+    """(keys, CUTS) of the groups large enough to be cut: every PER_SLICE-th of the sampled places, as blocks
+    of about equal length so that finding a slice costs two short searches."""
+    rate = min(1.0, FINE * PER_SLICE / rows_per_group)
+    sample = measured.select(*keys, order.place(measured).alias("__p")).where(F.rand(23) < rate)
+    every = max(1, round(PER_SLICE * min(1.0, rate * rows_per_group / (FINE * PER_SLICE))))
+    held = (sample.groupBy(*keys).agg(F.sort_array(F.collect_list("__p")).alias("__s"))
+            .where(F.size("__s") > rate * rows_per_group))
+    picked = F.filter("__s", lambda p, i: (i % every == 0) & (i > 0))
+    width = F.greatest(F.floor(F.sqrt(F.size("__c"))), F.lit(1)).cast("int")
+    return (held.select(*keys, picked.alias("__c")).where(F.size("__c") > 0)
+            .select(*keys, F.size("__c").alias("__many"), width.alias("__width"), "__c")
+            .select(*keys, "__many", "__width", F.transform(F.sequence(F.lit(0), F.floor((F.size("__c") - 1) / F.col("__width")).cast("int")),
+                    lambda b: F.slice("__c", b * F.col("__width") + 1, F.col("__width"))).alias(CUTS)))
+
+
+def split(df: DataFrame, keys: list[str], order: Order, rows_per_group: int = ROWS_PER_GROUP,
+          sizes_from: DataFrame | None = None, whole_peers: bool = False) -> Split:
     """Measure the groups and cut the hot ones. A table no larger than one group needs one count
     (answered from file footers where possible) and nothing else.
 
     ``sizes_from`` is a cheaper frame with the key and order columns of about the same rows, such as
     the table ``df`` was joined from. It only decides where cuts lie; any cut gives the same result.
+    ``whole_peers`` keeps rows of one order value in one slice.
     """
     keys = list(keys)
     measured = df if sizes_from is None else sizes_from
     if measured.count() <= rows_per_group:
-        return Split(df, tuple(keys), order, False)
-    pos = order.position(df)
-    spot = order.position(measured)
-    sizes = (measured.groupBy(*keys)
-             .agg(F.count(F.lit(1)).alias("__n"), F.min(spot).alias("__lo"), F.max(spot).alias("__hi"))
-             .where(F.col("__n") > rows_per_group)
-             .withColumn("__cuts", F.least(F.ceil(F.col("__n") / rows_per_group) * 2, F.lit(max_slices)))
-             .withColumn("__width", (F.col("__hi") - F.col("__lo")) / F.col("__cuts")))
-    n_hot = sizes.count()
-    if n_hot == 0:
-        return Split(df, tuple(keys), order, False)
-    # null order values sort first (last when descending) and share that one slice
-    nulls = F.lit(max_slices + 1 if order.descending else -1)
-    cut = F.when(F.col("__width") > 0, F.floor((pos - F.col("__lo")) / F.col("__width"))).otherwise(F.lit(0))
-    slice_no = F.when(F.col("__width").isNull(), F.lit(0)).when(pos.isNull(), nulls).otherwise(cut)
-    hot = sizes.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], "__lo", "__width")
-    if keys:
-        # at most rows / rows_per_group hot keys, and counted just now
-        marked = df.join(F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot, meets(keys, "__hot_"), "left")
-    else:
-        lo, width = hot.first()
-        marked = df.withColumn("__lo", F.lit(lo)).withColumn("__width", F.lit(width))
-    cutdf = (marked.withColumn(SLICE, slice_no.cast("long"))
-             .withColumn("__is_hot", F.col("__width").isNotNull())
-             .drop(*([] if keep_cuts else ["__lo", "__width"]), *[f"__hot_{k}" for k in keys]))
-    return Split(cutdf, tuple(keys), order, True)
+        return Split(df, tuple(keys), order, 0)
+    known = [c for c in order.ties if c in measured.columns]
+    if known != list(order.ties):  # places must compare the same columns
+        measured = measured.select("*", *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in order.ties if c not in known])
+    cuts = staged(_cuts(measured, keys, order, rows_per_group), "cuts")
+    slices = cuts.agg(F.sum(F.col("__many") + 1)).first()[0]
+    if not slices:
+        return Split(df, tuple(keys), order, 0)
+    hot = cuts.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], "__width", CUTS)
+    placed = df.withColumn("__place", order.place(df))
+    # one row per hot group, with all its cuts
+    marked = placed.join(broadcast_if_small(hot, 8 << 20), meets(keys, "__hot_") if keys else F.lit(True), "left")
+    reached = lambda c: c["m"] <= F.col("__place.m") if whole_peers else c <= F.col("__place")
+    block = F.size(F.filter(F.transform(CUTS, lambda b: b[0]), reached))
+    within = F.size(F.filter(F.get(CUTS, block - 1), reached))
+    number = F.when(F.col(CUTS).isNull() | (block == 0), 0).otherwise((block - 1) * F.col("__width") + within)
+    cut = staged(marked.withColumn(SLICE, number.cast("long")).withColumn("__is_hot", F.col(CUTS).isNotNull())
+                 .drop("__place", CUTS, "__width", *[f"__hot_{k}" for k in keys]), "slices")
+    return Split(cut, tuple(keys), order, int(slices))
 
 
 def _local(spec: Running, parts: Split) -> Column:
-    w = parts.window()
     if spec.kind == "rank":
-        return F.rank().over(w)
+        return F.rank().over(parts.window(ties=False))
     if spec.kind == "dense_rank":
-        return F.dense_rank().over(w)
+        return F.dense_rank().over(parts.window(ties=False))
+    if spec.kind == "upto":
+        return F.count(F.lit(1)).over(parts.window(ties=False).rangeBetween(Window.unboundedPreceding, 0))
     if spec.kind.startswith("total_"):
         cols = parts.group()
         whole = Window.partitionBy(*cols) if cols else Window.partitionBy(F.lit(0))
         agg = F.count(F.lit(1)) if spec.kind == "total_count" else F.sum(spec.expr)
         return agg.over(whole)
-    frame = w.rowsBetween(Window.unboundedPreceding, -1 if spec.exclusive else 0)
+    frame = parts.window().rowsBetween(Window.unboundedPreceding, -1 if spec.exclusive else 0)
     if spec.kind == "count":
         return F.count(F.lit(1) if spec.expr is None else spec.expr).over(frame)
     if spec.kind == "last":
@@ -137,11 +179,12 @@ def _local(spec: Running, parts: Split) -> Column:
     return {"sum": F.sum, "min": F.min, "max": F.max}[spec.kind](spec.expr).over(frame)
 
 
+PEERS = ("rank", "dense_rank", "upto")
+
+
 def _summary(spec: Running, order: Order) -> Column:
-    if spec.kind in ("count", "rank", "total_count"):
+    if spec.kind in ("count", "total_count"):
         return F.count(F.lit(1) if spec.expr is None else spec.expr)
-    if spec.kind == "dense_rank":
-        return F.count_distinct(F.coalesce(F.col(order.column).cast("string"), F.lit("\0null")))
     if spec.kind in ("sum", "total_sum"):
         return F.sum(spec.expr)
     if spec.kind in ("min", "max"):
@@ -153,39 +196,85 @@ def _summary(spec: Running, order: Order) -> Column:
     return chooser(F.struct(spec.expr.alias("v")), F.when(spec.expr.isNotNull(), at))
 
 
-def running(df: DataFrame, keys: list[str], order: Order, specs: list[Running],
-            rows_per_group: int = ROWS_PER_GROUP, max_slices: int = MAX_SLICES,
+def _inherited(spec: Running, across, before) -> Column:
+    got = F.col(f"__s_{spec.name}")
+    if spec.kind.startswith("total_"):
+        return F.sum(got).over(across)
+    if spec.kind == "last":
+        return F.last(got, ignorenulls=True).over(before)["v"]
+    if spec.kind in ("min", "max"):
+        return {"min": F.min, "max": F.max}[spec.kind](got).over(before)
+    return F.sum(got).over(before)
+
+
+def _peers(summary: DataFrame, across, before) -> DataFrame:
+    """What slices pass on about equal order values, which may reach over several of them: the rank of a slice's
+    first value, the distinct values before it, and the rows up to the last peer of its last value."""
+    along = across.orderBy(SLICE)
+    after = along.rowsBetween(1, Window.unboundedFollowing)
+    return (summary
+            .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+            .withColumn("__joined", F.coalesce(F.lag("__hi").over(along) == F.col("__lo"), F.lit(False)))
+            .withColumn("__goes_on", F.coalesce(F.lead("__lo").over(along) == F.col("__hi"), F.lit(False)))
+            .withColumn("__single", F.col("__lo") == F.col("__hi"))
+            # where the run of the slice's last value began, unless it began in an earlier slice
+            .withColumn("__began", F.when(~(F.col("__single") & F.col("__joined")), F.col("__before") + F.col("__n") - F.col("__n_hi") + 1))
+            .withColumn("__head", F.when(F.col("__joined"), F.last("__began", True).over(before)).otherwise(F.col("__before") + 1))
+            .withColumn("__fewer", F.coalesce(F.sum("__d").over(before), F.lit(0)) - F.sum(F.col("__joined").cast("long")).over(along))
+            # where a run that enters from the left ends, unless it leaves on the right
+            .withColumn("__ends", F.when(~(F.col("__single") & F.col("__goes_on")), F.col("__before") + F.col("__n_lo")))
+            .withColumn("__tail", F.when(F.col("__goes_on"), F.first("__ends", True).over(after)).otherwise(F.col("__before") + F.col("__n"))))
+
+
+def running(df: DataFrame, keys: list[str], order: Order, specs: list[Running], rows_per_group: int = ROWS_PER_GROUP,
             parts: Split | None = None, sizes_from: DataFrame | None = None) -> DataFrame:
     """Add running values per key in the given order. ``expr`` columns refer to ``df`` by name.
-    ``parts`` reuses a split of the same frame; ``sizes_from`` as in ``split``."""
-    parts = parts or split(df, keys, order, rows_per_group, max_slices, sizes_from=sizes_from)
+    ``parts`` reuses a split of the same frame; ``sizes_from`` as in ``split``. Types are those of the plain
+    window functions, whichever plan runs."""
+    parts = parts or split(df, keys, order, rows_per_group, sizes_from=sizes_from)
+    plain = df.select(*[_local(s, Split(df, tuple(keys), order, 0)).alias(s.name) for s in specs]).schema
     if not parts.sliced:
-        return df.select("*", *[_plain(s, parts) for s in specs])
-    detail = parts.df.select("*", *[_local(s, parts).alias(f"__l_{s.name}") for s in specs])
-    summary = (parts.df.where("__is_hot").groupBy(*parts.group())
-               .agg(*[_summary(s, order).alias(f"__s_{s.name}") for s in specs]))
+        return df.select("*", *[_local(s, parts).alias(s.name) for s in specs])
+    keys = list(parts.keys)
+    peers = any(s.kind in PEERS for s in specs)
+    main = order.main(parts.df)
+    detail = parts.df.select("*", *[_local(s, parts).alias(f"__l_{s.name}") for s in specs], *([main.alias("__main")] if peers else []))
+    hot = parts.df.where("__is_hot")
+    sums = [_summary(s, order).alias(f"__s_{s.name}") for s in specs if s.kind not in PEERS]
     across = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     before = across.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    inherited = []
-    for s in specs:
-        got = F.col(f"__s_{s.name}")
-        if s.kind.startswith("total_"):
-            col = F.sum(got).over(across)
-        elif s.kind == "last":
-            col = F.last(got, ignorenulls=True).over(before)["v"]
-        elif s.kind in ("min", "max"):
-            col = {"min": F.min, "max": F.max}[s.kind](got).over(before)
-        else:
-            col = F.sum(got).over(before)
-        inherited.append(col.alias(f"__p_{s.name}"))
-    carried = summary.select(*[F.col(k).alias(f"__k_{k}") for k in parts.group()], *inherited)
-    joined = detail.join(carried, meets(parts.group(), "__k_"), "left")
+    if peers:
+        # first by value, so that runs of equal values are counted before anything else
+        values = hot.groupBy(*parts.group(), main.alias("__main")).agg(F.count(F.lit(1)).alias("__n"))
+        runs = values.groupBy(*parts.group()).agg(
+            F.sum("__n").alias("__n"), F.count(F.lit(1)).alias("__d"), F.min("__main").alias("__lo"), F.max("__main").alias("__hi"),
+            F.min_by("__n", "__main").alias("__n_lo"), F.max_by("__n", "__main").alias("__n_hi"))
+        summary = runs
+        if sums:
+            other = hot.groupBy(*parts.group()).agg(*sums)
+            named = other.select(*[F.col(k).alias(f"__o_{k}") for k in parts.group()], *[F.col(f"__s_{s.name}") for s in specs if s.kind not in PEERS])
+            summary = runs.join(named, meets(parts.group(), "__o_")).drop(*[f"__o_{k}" for k in parts.group()])
+        summary = _peers(summary, across, before)
+    else:
+        summary = hot.groupBy(*parts.group()).agg(*sums)
+    carried = summary.select(*[F.col(k).alias(f"__k_{k}") for k in parts.group()],
+                             *[_inherited(s, across, before).alias(f"__p_{s.name}") for s in specs if s.kind not in PEERS],
+                             *(["__lo", "__hi", "__before", "__head", "__fewer", "__tail"] if peers else []))
+    # a row per slice of a hot group, and the split has counted those
+    joined = detail.join(F.broadcast(carried) if parts.slices <= BROADCAST_SLICES else carried, meets(parts.group(), "__k_"), "left")
     out = [F.col(c) for c in df.columns]
     for s in specs:
         local, past = F.col(f"__l_{s.name}"), F.col(f"__p_{s.name}")
-        if s.kind.startswith("total_") or s.kind == "last":
-            first, second = (past, local) if s.kind.startswith("total_") else (local, past)
-            col = F.coalesce(first, second)
+        if s.kind == "rank":
+            col = F.when(F.col("__main") == F.col("__lo"), F.col("__head")).otherwise(local + F.coalesce("__before", F.lit(0)))
+        elif s.kind == "dense_rank":
+            col = local + F.coalesce("__fewer", F.lit(0))
+        elif s.kind == "upto":
+            col = F.when(F.col("__main") == F.col("__hi"), F.col("__tail")).otherwise(local + F.coalesce("__before", F.lit(0)))
+        elif s.kind.startswith("total_"):
+            col = F.coalesce(past, local)
+        elif s.kind == "last":
+            col = F.coalesce(local, past)
         elif s.kind == "min":
             col = F.least(local, past)
         elif s.kind == "max":
@@ -195,75 +284,75 @@ def running(df: DataFrame, keys: list[str], order: Order, specs: list[Running],
                 F.coalesce(local, F.lit(0)) + F.coalesce(past, F.lit(0)))
         else:
             col = local + F.coalesce(past, F.lit(0))
-        out.append(col.alias(s.name))
+        out.append(col.cast(plain[s.name].dataType).alias(s.name))
     return joined.select(*out)
 
 
-def _plain(spec: Running, parts: Split) -> Column:
-    return _local(spec, parts).alias(spec.name)
+def _blocks(df: DataFrame, keys: list[str], order: Order, back: int, ahead: int, rows_per_group: int,
+            sizes_from: DataFrame | None) -> tuple[DataFrame, list[str]] | None:
+    """Rows numbered per key and laid out in blocks of equally many rows. Rows within ``back`` before or ``ahead``
+    after another block are lent to it as well, so a window inside a block sees every row it needs."""
+    parts = split(df, keys, order, rows_per_group, sizes_from=sizes_from)
+    if not parts.sliced:
+        return None
+    size = max(rows_per_group, back, ahead, 1)
+    numbered = running(df, keys, order, [Running("__rn", "count")], parts=parts)
+    home = F.floor((F.col("__rn") - 1) / size)
+    first, last = F.floor((F.col("__rn") - 1 - ahead) / size), F.floor((F.col("__rn") - 1 + back) / size)
+    lent = (numbered.withColumn("__home", home)
+            .withColumn("__block", F.explode(F.sequence(F.greatest(first, F.lit(0)), last))))
+    return lent, [*keys, "__block"]
 
 
 def shifted(df: DataFrame, keys: list[str], order: Order, values: dict[str, tuple[str, int]],
             rows_per_group: int = ROWS_PER_GROUP, sizes_from: DataFrame | None = None) -> DataFrame:
     """Values of the row ``offset`` places later (negative: earlier): LEAD and LAG.
 
-    ``values`` maps a new column to (existing column, offset). Groups without a hot key use the
-    built-in window functions. Otherwise rows are numbered in slices and meet their neighbour by an
-    equality join on (key, number), which spreads evenly whatever the key's size.
-    """
-    parts = split(df, keys, order, rows_per_group, sizes_from=sizes_from)
-    if not parts.sliced:
-        w = parts.window()
-        return df.select("*", *[
-            (F.lead(src, off) if off >= 0 else F.lag(src, -off)).over(w).alias(name)
-            for name, (src, off) in values.items()])
-    numbered = running(df, keys, order, [Running("__rn", "count")], parts=parts)
-    out = numbered
-    for name, (src, off) in values.items():
-        other = numbered.select(*[F.col(k).alias(f"__o_{k}") for k in keys],
-                                (F.col("__rn") - off).alias("__o_rn"), F.col(src).alias(name))
-        cond = meets(keys, "__o_", F.col("__rn") == F.col("__o_rn"))
-        out = out.join(other, cond, "left").drop("__o_rn", *[f"__o_{k}" for k in keys])
-    return out.drop("__rn")
+    ``values`` maps a new column to (existing column, offset). Groups without a hot key use the built-in
+    window functions as they are; otherwise they run in blocks with their neighbours' border rows."""
+    shift = lambda w: [(F.lead(src, off) if off >= 0 else F.lag(src, -off)).over(w).alias(name) for name, (src, off) in values.items()]
+    offsets = [off for _, off in values.values()]
+    blocks = _blocks(df, keys, order, max(0, *[-o for o in offsets], 0), max(0, *offsets, 0), rows_per_group, sizes_from)
+    if blocks is None:
+        return df.select("*", *shift(Split(df, tuple(keys), order, 0).window()))
+    lent, parts = blocks
+    w = Window.partitionBy(*parts).orderBy("__rn")
+    return lent.select("*", *shift(w)).where("__block = __home").select(*df.columns, *values)
 
 
 def trailing_sums(df: DataFrame, keys: list[str], order: Order, sums: dict[str, Column], rows: int,
                   rows_per_group: int = ROWS_PER_GROUP, sizes_from: DataFrame | None = None) -> DataFrame:
     """Sums over the current row and the ``rows`` rows before it, and ``__frame_rows``, the number
-    of rows in that frame. Hot groups subtract two running sums (give exact types: decimal or long)."""
-    parts = split(df, keys, order, rows_per_group, sizes_from=sizes_from)
-    if not parts.sliced:
-        w = parts.window().rowsBetween(-rows, 0)
-        return df.select("*", *[F.sum(e).over(w).alias(n) for n, e in sums.items()],
-                         F.count(F.lit(1)).over(w).alias("__frame_rows"))
-    specs = [Running("__rn", "count")] + [Running(f"__run_{n}", "sum", e) for n, e in sums.items()]
-    base = running(df, keys, order, specs, parts=parts)
-    old = base.select(*[F.col(k).alias(f"__o_{k}") for k in keys],
-                      (F.col("__rn") + rows + 1).alias("__o_rn"),
-                      *[F.col(f"__run_{n}").alias(f"__old_{n}") for n in sums])
-    joined = base.join(old, meets(keys, "__o_", F.col("__rn") == F.col("__o_rn")), "left")
-    return joined.select(
-        *[F.col(c) for c in df.columns],
-        *[(F.coalesce(F.col(f"__run_{n}"), F.lit(0)) - F.coalesce(F.col(f"__old_{n}"), F.lit(0))).alias(n)
-          for n in sums],
-        F.least(F.col("__rn"), F.lit(rows + 1)).alias("__frame_rows"))
+    of rows in that frame. Hot groups run in blocks that are lent the ``rows`` rows before them."""
+    framed = lambda w: [*[F.sum(e).over(w).alias(n) for n, e in sums.items()], F.count(F.lit(1)).over(w).alias("__frame_rows")]
+    blocks = _blocks(df, keys, order, rows, 0, rows_per_group, sizes_from)
+    if blocks is None:
+        return df.select("*", *framed(Split(df, tuple(keys), order, 0).window().rowsBetween(-rows, 0)))
+    lent, parts = blocks
+    w = Window.partitionBy(*parts).orderBy("__rn").rowsBetween(-rows, 0)
+    return lent.select("*", *framed(w)).where("__block = __home").select(*df.columns, *sums, "__frame_rows")
 
 
 def trailing_range(df: DataFrame, keys: list[str], order: Order, aggs: dict[str, Column], span: float,
                    rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
     """Aggregates over the rows at most ``span`` (microseconds for times) before the current row and
     up to its peers: a RANGE frame. In a hot group each row is also lent to the later slices whose
-    frames reach back to it, and dropped there after the window."""
-    parts = split(df, keys, order, rows_per_group, keep_cuts=True)
+    frames reach back to it, and dropped there after the window. Peers stay in one slice here."""
+    parts = split(df, keys, order, rows_per_group, whole_peers=True)
+    pos = order.position(df)
     if not parts.sliced:
         base = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-        w = base.orderBy(order.position(df)).rangeBetween(-span, 0)
+        w = base.orderBy(pos).rangeBetween(-span, 0)
         return df.select("*", *[a.over(w).alias(n) for n, a in aggs.items()])
-    pos = order.position(df)
-    reach = F.when(F.col("__width") > 0, F.floor((pos + span - F.col("__lo")) / F.col("__width")))
-    upto = F.least(F.greatest(F.coalesce(reach, F.col(SLICE)), F.col(SLICE)), F.lit(MAX_SLICES).cast("long"))
-    lent = (parts.df.withColumn("__home", F.col(SLICE))
-            .withColumn(SLICE, F.explode(F.sequence(F.col("__home"), F.greatest(upto, F.col("__home"))))))
-    w = Window.partitionBy(*parts.group()).orderBy(pos).rangeBetween(-span, 0)
+    starts = (parts.df.where("__is_hot").groupBy(*keys, SLICE).agg(F.min(pos).alias("__lo")).groupBy(*keys)
+              .agg(F.collect_list(F.struct("__lo", SLICE)).alias("__starts")))
+    named = starts.select(*[F.col(k).alias(f"__o_{k}") for k in keys], "__starts")
+    named = F.broadcast(named) if parts.slices <= BROADCAST_SLICES else named
+    held = parts.df.join(named, meets(keys, "__o_") if keys else F.lit(True), "left").withColumn("__pos", pos)
+    reach = F.array_max(F.transform(F.filter("__starts", lambda s: s["__lo"] <= F.col("__pos") + span), lambda s: s[SLICE]))
+    lent = (held.withColumn("__home", F.col(SLICE))
+            .withColumn(SLICE, F.explode(F.sequence(F.col("__home"), F.greatest(F.coalesce(reach, F.col("__home")), F.col("__home")))))
+            .drop("__starts", *[f"__o_{k}" for k in keys]))
+    w = Window.partitionBy(*parts.group()).orderBy("__pos").rangeBetween(-span, 0)
     framed = lent.select("*", *[a.over(w).alias(n) for n, a in aggs.items()])
     return framed.where(F.col(SLICE) == F.col("__home")).select(*df.columns, *aggs)
