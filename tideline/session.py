@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows of any width: a batch handed to Python is bounded by its bytes, not only by its rows
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # a commit writes the changes of the micro-batch instead of a full snapshot of the state
