@@ -11,10 +11,17 @@ def _print(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
 
-def components(links: DataFrame) -> DataFrame:
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(node, root): the smallest node reachable from each node over the links (a, b). Nodes without
     links are not listed. Every step works on edges only; minima are combined before the shuffle, so a
-    node with many links is no single task, and every step is written to the shared folder."""
+    node with many links is no single task, and every step is written to the shared folder.
+
+    ``known`` are components of other links that hold as well: new links then join their roots only."""
+    if known is not None:
+        one = known.select(F.col("node").alias("a"), F.col("root").alias("r_a"))
+        two = known.select(F.col("node").alias("b"), F.col("root").alias("r_b"))
+        links = (links.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("r_a", "a").alias("a"), F.coalesce("r_b", "b").alias("b"))
+                 .unionByName(known.select(F.col("root").alias("a"), F.col("node").alias("b"))))
     edges = staged(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct(), "edges")
     before = _print(edges)
     while True:

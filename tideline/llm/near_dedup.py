@@ -167,25 +167,25 @@ def linked(docs: DataFrame, size: int = 2, threshold: int = 80, long_list: int =
         texts = base.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(ids) if few else ids, "id", "left_semi")
         return staged(texts.groupBy("id").agg(F.min("text").alias("text")) if repeated else texts, "texts")
 
-    def settled(pairs: DataFrame, found: DataFrame | None, comps: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-        """Links and components with the similar ones of ``pairs``: first each class with its most similar partner,
-        then only the pairs that would still join two components."""
-        texts = texts_of(pairs.where("not known").select(F.explode(F.array("a", "b")).alias("id")))
-        best = (pairs.where("not known").groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")).select("a", "b"))
-        new = staged(pairs.where("known").select("a", "b").unionByName(_similar(best, texts, size, threshold)), "links")
-        found = new if found is None else found.unionByName(new)
-        comps = components(found)
-        rest = _apart(pairs.where("not known").select("a", "b").join(best, ["a", "b"], "left_anti"), comps)
-        more = staged(_similar(rest, texts, size, threshold), "links")
-        if more.isEmpty():
-            return found, comps
-        found = found.unionByName(more)
-        return found, components(found)
+    def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+        return staged(pairs.where("known").select("a", "b").unionByName(
+            _similar(pairs.where("not known"), texts, size, threshold)), "links")
+
+    def open_texts(pairs: DataFrame) -> DataFrame:
+        return texts_of(pairs.where("not known").select(F.explode(F.array("a", "b")).alias("id")))
 
     repeated = _repeated(sketched)
     # every class with the hubs of its lists
     tried = staged(_estimated(_spokes(lists, long_list), classes, threshold), "pairs")
-    found, comps = settled(tried, None, None)
+    texts = open_texts(tried)
+    # first each class with its most similar partner, then only the pairs that would still join two components
+    best = tried.where("not known").groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")).select("a", "b")
+    found = verified(tried.where("known").select("a", "b", "known").unionByName(best.withColumn("known", F.lit(False))), texts)
+    comps = components(found)
+    rest = _apart(tried.where("not known").select("a", "b").join(best, ["a", "b"], "left_anti"), comps)
+    more = verified(rest.withColumn("known", F.lit(False)), texts)
+    if not more.isEmpty():
+        found, comps = found.unionByName(more), components(more, comps)
 
     # short lists: all pairs whose classes are still apart
     marked = staged(_labelled(lists.drop("central"), comps), "marked")
@@ -196,7 +196,8 @@ def linked(docs: DataFrame, size: int = 2, threshold: int = 80, long_list: int =
             .join(tried.select("a", "b"), ["a", "b"], "left_anti"))
     near = staged(_estimated(near, classes, threshold), "pairs")
     if not near.isEmpty():
-        found, comps = settled(near, found, comps)
+        more = verified(near, open_texts(near))
+        found, comps = found.unionByName(more), components(more, comps)
 
     # long lists that hubs left in several components: only classes that can link, against the whole list
     far = _labelled(lists.where(F.col("n_list") > long_list).select("id", "n", "v"), comps)
@@ -214,7 +215,8 @@ def linked(docs: DataFrame, size: int = 2, threshold: int = 80, long_list: int =
         cross = cross.join(tried.select("a", "b"), ["a", "b"], "left_anti")
         cross = staged(_estimated(cross, classes, threshold), "pairs")
         if not cross.isEmpty():
-            found, comps = settled(cross, found, comps)
+            more = verified(cross, texts)
+            found, comps = found.unionByName(more), components(more, comps)
 
     of_class = (_labelled(classes.select(*key, "id"), comps))
     rows = sketched.select("doc_id", *key).join(of_class, key, "left").select(
