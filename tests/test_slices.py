@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from tideline.operators.joins import interval_join
 from tideline.operators.ranking import ranks
+from tideline.operators.windows import sessions
 from tideline.plans.skew import salted_join
 from tideline.plans.slices import Order, Running, running, shifted, split, trailing_range, trailing_sums
 
@@ -153,3 +155,18 @@ def test_salted_join(table, spark, how, limit):
     got, plain = salted_join(df, dim, ["k"], how, rows_per_group=limit), df.join(dim, "k", how)
     assert set(got.columns) == set(plain.columns)
     assert rows(got, *plain.columns) == rows(plain)
+
+
+def test_sessions_without_a_key_are_cut(spark):
+    df = spark.range(400).select(F.timestamp_seconds(F.col("id") * 7 + F.floor(F.col("id") / 9) * 60).alias("ts"), F.col("id").alias("v"))
+    plain, cut = (sessions(df, [], "ts", "20 seconds", {"total": F.sum("v")}, rows_per_group=n) for n in (10_000, 20))
+    assert rows(cut) == rows(plain) and len(rows(plain)) == 45
+
+
+def test_interval_join_left_keeps_lonely_rows(spark):
+    left = spark.createDataFrame([(1, "a", 10), (2, "a", 1000), (3, None, 10), (4, "a", None)], "id int, k string, t long").withColumn("t", F.timestamp_seconds("t"))
+    right = spark.createDataFrame([("a", 11, 1), ("a", 12, 2), ("a", 14, 3)], "k string, u long, v int").withColumn("u", F.timestamp_seconds("u"))
+    got = interval_join(left, right, ["k"], "t", "u", 0, "2 seconds", "left", ["id"])
+    assert rows(got, "id", "v") == sorted([(1, 1), (1, 2), (2, None), (3, None), (4, None)], key=repr)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 1

@@ -184,3 +184,36 @@ def test_insert_keeps_other_partitions(spark, tmp_path):
     sinks.insert_partitions(spark.createDataFrame([(1, "a"), (2, "b")], "v int, c string"), path, ["c"])
     sinks.insert_partitions(spark.createDataFrame([(3,)], "v int"), path, ["c"], static={"c": "a"}, overwrite=True)
     assert rows(spark.read.parquet(path).select("v", "c")) == [(2, "b"), (3, "a")]
+
+
+def test_operators_run_until_stopped(spark, sliced, tmp_path):
+    """A trigger of one second over three file slices, through a failure, by the public operators."""
+    folder, events = sliced
+    failures = []
+
+    def lookup():
+        if len(failures) == 0:
+            failures.append(1)
+            raise RuntimeError("lost on purpose")
+        return spark.createDataFrame([("view", 1)], "event_type string, known int")
+
+    target = str(tmp_path / "m")
+    source = lambda: stream_parquet(spark, f"{folder}/*/*.parquet", "ts", None, 1).select("event_id", "event_type")
+    query = None
+
+    def begin():
+        nonlocal query
+        query = streams.mini_batch_lookup(source(), lookup, ["event_type"], folder=target, every="1 second")
+        query.processAllAvailable()
+        query.stop()
+        return query
+
+    assert run_with_restarts(begin, attempts=2, pause_seconds=0.1) == 1
+    got = spark.read.parquet(f"{target}/data")
+    assert got.count() == got.select("event_id").distinct().count() >= events.count()
+    assert got.where("event_type = 'view' and known is null").isEmpty()
+    sink = streams.statement_sink(source(), str(tmp_path / "s"), "event_type", 10, every="1 second")
+    sink.processAllAvailable()
+    assert sink.isActive
+    sink.stop()
+    assert spark.read.parquet(str(tmp_path / "s" / "data")).select("event_id").distinct().count() >= events.count()

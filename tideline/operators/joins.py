@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..plans.durations import at, micros
 from ..plans.sizes import BROADCAST_BYTES, broadcast_if_small, estimated_bytes
 from ..plans.skew import ROWS_PER_GROUP, meets, salted_join
 
 
+#: a table up to this size (as Catalyst estimates it) may be built into hash maps, one per shuffle partition
+HASHED_BYTES = 16 * BROADCAST_BYTES
+
+
 def lookup_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Probe a keyed table once per fact row: left pads a miss with nulls, inner drops it.
     The planner broadcasts the table where its size allows and splits skewed partitions otherwise."""
@@ -19,8 +23,10 @@ def lookup_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "l
 
 def keyed_lookup_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "left",
                       rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
-    """Lookup join with the facts hash-distributed on the key; hot keys are salted."""
-    return salted_join(facts, dim.hint("shuffle_hash"), keys, how, rows_per_group)
+    """Lookup join with the facts hash-distributed on the key; hot keys are salted. The table is hashed per task
+    where its size allows; a larger one is sorted, which spills."""
+    hint = "shuffle_hash" if estimated_bytes(dim) <= HASHED_BYTES else None
+    return salted_join(facts, dim, keys, how, rows_per_group, hint)
 
 
 def broadcast_lookup_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "left",
@@ -55,18 +61,22 @@ def interval_join(left: DataFrame, right: DataFrame, keys: list[str], left_time:
     width = max(high - low, 1)
     lt, rt = at(left_time), at(right_time)
     cell = lambda us: F.floor(us / width)
-    probes = left.withColumn("__cell", F.explode(F.sequence(cell(lt + low), cell(lt + high))))
+    if how not in ("inner", "left") or how == "left" and not row_id:
+        raise ValueError("how is inner, or left with row_id")
+    cells = F.sequence(cell(lt + low), cell(lt + high))
     target = (right.select(*[F.col(c).alias(f"__r_{c}" if c in keys else c) for c in right.columns])
               .withColumn("__rcell", cell(rt)))
-    cond = meets(keys, "__r_", null_safe=False) & (F.col("__cell") == F.col("__rcell"))
-    pairs = (probes.join(target, cond & (rt - lt).between(low, high))
-             .drop("__cell", "__rcell", *[f"__r_{k}" for k in keys]))
+    cond = meets(keys, "__r_", null_safe=False) & (F.col("__cell") == F.col("__rcell")) & (rt - lt).between(low, high)
+    extra = ["__cell", "__rcell", *[f"__r_{k}" for k in keys]]
     if how == "inner":
-        return pairs
-    if how != "left" or not row_id:
-        raise ValueError("how is inner, or left with row_id")
-    lonely = left.join(pairs.select(*row_id).distinct(), row_id, "left_anti")
-    return pairs.unionByName(lonely, allowMissingColumns=True)
+        return left.withColumn("__cell", F.explode(cells)).join(target, cond).drop(*extra)
+    # every cell of a left row looks for partners; of a row without any, the first cell's padding stays
+    probes = left.select("*", F.posexplode_outer(cells).alias("__nth", "__cell"))
+    tried = probes.join(target, cond, "left")
+    found = F.max(F.col("__rcell").isNotNull()).over(Window.partitionBy(*row_id))
+    return (tried.withColumn("__found", found)
+            .where(F.col("__rcell").isNotNull() | (~F.col("__found") & (F.coalesce("__nth", F.lit(0)) == 0)))
+            .drop("__nth", "__found", *extra))
 
 
 def theta_join(left: DataFrame, right: DataFrame, condition: Column, how: str = "inner") -> DataFrame:
@@ -84,30 +94,45 @@ def not_in(left: DataFrame, right: DataFrame, column: str, right_column: str) ->
     return left.where(F.col(column).isNotNull()).join(values, F.col(column) == F.col("__v"), "left_anti")
 
 
-def compare_any(left: DataFrame, column: str, op: str, right: DataFrame, right_column: str) -> DataFrame:
-    """``column <op> SOME (right)`` for < <= > >= =: one extreme of the right side decides."""
+def compare_any(left: DataFrame, column: str, op: str, right: DataFrame | list, right_column: str = "value") -> DataFrame:
+    """``column <op> SOME (right)`` for < <= > >= = <>: the extremes of the right side decide. ``right`` is a
+    table or a list of values."""
+    right = _values(left, column, right, right_column)
     if op == "=":
         return left.join(right.select(F.col(right_column).alias("__v")),
                          F.col(column) == F.col("__v"), "left_semi")
     return left.where(_against_extreme(right, right_column, column, op, any_of=True))
 
 
-def compare_all(left: DataFrame, column: str, op: str, right: DataFrame, right_column: str) -> DataFrame:
-    """``column <op> ALL (right)`` for < <= > >=. True on an empty right side, never true when the
+def compare_all(left: DataFrame, column: str, op: str, right: DataFrame | list, right_column: str = "value") -> DataFrame:
+    """``column <op> ALL (right)`` for < <= > >= = <>. True on an empty right side, never true when the
     right side holds a null."""
+    right = _values(left, column, right, right_column)
+    if op == "<>":
+        return not_in(left, right, column, right_column)
     return left.where(_against_extreme(right, right_column, column, op, any_of=False))
 
 
+def _values(left: DataFrame, column: str, right: DataFrame | list, name: str) -> DataFrame:
+    if isinstance(right, DataFrame):
+        return right
+    kind = left.schema[column].dataType.simpleString()
+    return left.sparkSession.createDataFrame([(v,) for v in right], f"`{name}` {kind}")
+
+
 def _against_extreme(right, right_column, column, op, any_of) -> Column:
-    smallest = (op in ("<", "<=")) != any_of
-    edge = (F.min if smallest else F.max)(right_column)
-    row = right.agg(edge.alias("edge"), F.count(F.lit(1)).alias("n"),
+    row = right.agg(F.min(right_column).alias("lo"), F.max(right_column).alias("hi"), F.count(F.lit(1)).alias("n"),
                     F.count(right_column).alias("known")).first()
     if row["n"] == 0:
         return F.lit(not any_of)
     if row["known"] == 0 or (not any_of and row["known"] < row["n"]):
         return F.lit(False)
-    col, bound = F.col(column), F.lit(row["edge"])
+    col, lo, hi = F.col(column), F.lit(row["lo"]), F.lit(row["hi"])
+    if op == "<>":  # some other value stands on the right
+        return (col != lo) | (col != hi)
+    if op == "=":   # all values are this one
+        return (col == lo) & (col == hi)
+    bound = lo if (op in ("<", "<=")) != any_of else hi
     return {"<": col < bound, "<=": col <= bound, ">": col > bound, ">=": col >= bound}[op]
 
 

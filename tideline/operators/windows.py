@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..plans.durations import at, instant, micros
 from ..plans.skew import ROWS_PER_GROUP
-from ..plans.slices import Order, Running, running, trailing_sums
+from ..plans.slices import Order, Running, Split, running, split, trailing_sums
+from ..plans.staging import staged
 
 
 def tumble(df: DataFrame, time: str, size: str, keys: list[str], aggs: list[Column],
@@ -52,7 +53,8 @@ def window_times(df: DataFrame) -> DataFrame:
     return df.withColumn("window_rowtime", F.col("window_end") - F.expr("INTERVAL '0.001' SECOND"))
 
 
-def sessions(df: DataFrame, keys: list[str], time: str, gap: str, sums: dict[str, Column] | None = None) -> DataFrame:
+def sessions(df: DataFrame, keys: list[str], time: str, gap: str, sums: dict[str, Column] | None = None,
+             rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
     """Session windows per key: a new session starts when more than ``gap`` has passed.
 
     Rows less than a gap apart always share a session, so rows are first merged per gap-wide cell
@@ -66,9 +68,19 @@ def sessions(df: DataFrame, keys: list[str], time: str, gap: str, sums: dict[str
              .groupBy(*keys, F.floor(at(time) / gap_us).alias("__cell"))
              .agg(F.min(at(time)).alias("__lo"), F.max(at(time)).alias("__hi"),
                   F.count(F.lit(1)).alias("n"), *[e.alias(n) for n, e in sums.items()]))
-    w = Window.partitionBy(*keys).orderBy("__cell")
-    opens = F.coalesce((F.col("__lo") - F.lag("__hi").over(w) > gap_us).cast("int"), F.lit(1))
-    numbered = cells.withColumn("__open", opens).withColumn("__session", F.sum("__open").over(w))
+    if keys:
+        w = Window.partitionBy(*keys).orderBy("__cell")
+        opens = F.coalesce((F.col("__lo") - F.lag("__hi").over(w) > gap_us).cast("int"), F.lit(1))
+        numbered = cells.withColumn("__open", opens).withColumn("__session", F.sum("__open").over(w))
+    else:
+        # all cells are one group: cut into slices where there are many
+        cells, order = staged(cells, "cells"), Order("__cell")
+        parts = split(cells, [], order, rows_per_group)
+        before = running(parts.df if parts.sliced else cells, [], order, [Running("__before", "max", F.col("__hi"), exclusive=True)], parts=parts)
+        opens = F.coalesce((F.col("__lo") - F.col("__before") > gap_us).cast("int"), F.lit(1))
+        opened = before.withColumn("__open", opens)
+        again = Split(opened, (), order, parts.slices)
+        numbered = running(opened, [], order, [Running("__session", "sum", F.col("__open"))], parts=again)
     merged = numbered.groupBy(*keys, "__session").agg(
         F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"), F.sum("n").alias("n"),
         *[F.sum(n).alias(n) for n in sums])

@@ -29,22 +29,24 @@ def hot_keys(df: DataFrame, keys: list[str], rows_per_group: int = ROWS_PER_GROU
 
 
 def salted_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "left",
-                rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
+                rows_per_group: int = ROWS_PER_GROUP, hint: str | None = None) -> DataFrame:
     """Hash join in which hot fact keys are spread over several tasks. Without hot keys, a plain join.
 
     Rows of a hot key get a salt 0..n-1 with n from the key's own row count; the matching dimension
     rows are repeated n times. Rows of other keys keep salt 0 and are never repeated.
     ``how`` is inner, left, left_semi or left_anti; the dimension side carries the equal key names.
+    ``hint`` is a join hint for the dimension side of whichever join runs.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"a salted join cannot be {how}")
+    hinted = lambda side: side.hint(hint) if hint else side
     known = facts.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])).select(*keys)
     if known.count() <= rows_per_group:
-        return facts.join(dim, keys, how)
+        return facts.join(hinted(dim), keys, how)
     sizes = hot_keys(known, keys, rows_per_group)
     n_hot = sizes.count()
     if n_hot == 0:
-        return facts.join(dim, keys, how)
+        return facts.join(hinted(dim), keys, how)
     hot = sizes.select(*[F.col(k).alias(f"__hot_{k}") for k in keys],
                        F.ceil(F.col("__n") / rows_per_group).cast("int").alias("__copies"))
     hot = F.broadcast(hot) if n_hot <= BROADCAST_KEYS else hot
@@ -57,4 +59,4 @@ def salted_join(facts: DataFrame, dim: DataFrame, keys: list[str], how: str = "l
     copies = (dim.join(hot, on_hot, "left")
               .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce("__copies", F.lit(1)) - 1)))
               .drop(*drop))
-    return spread.join(copies, [*keys, SALT], how).drop(SALT)
+    return spread.join(hinted(copies), [*keys, SALT], how).drop(SALT)

@@ -343,6 +343,26 @@ def _(t):
                              "c_nationkey").select("s_suppkey")
 
 
+@report("quantified_comparisons", """
+SELECT s_suppkey,
+  s_nationkey <> ANY (SELECT c_nationkey FROM customer WHERE c_acctbal > 9990) AS differs,
+  s_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_acctbal > 9900) AS none,
+  s_nationkey = ALL (SELECT n_nationkey FROM nation WHERE n_nationkey = 3) AS only_three,
+  s_nationkey >= ALL (SELECT unnest([5, 9])) AS from_nine, s_nationkey = ANY (SELECT unnest([1, 2, 3])) AS listed FROM supplier""")
+def _(t):
+    some, many = t.customer.where("c_acctbal > 9990"), t.customer.where("c_acctbal > 9900")
+    found = {
+        "differs": joins.compare_any(t.supplier, "s_nationkey", "<>", some, "c_nationkey"),
+        "none": joins.compare_all(t.supplier, "s_nationkey", "<>", many, "c_nationkey"),
+        "only_three": joins.compare_all(t.supplier, "s_nationkey", "=", t.nation.where("n_nationkey = 3"), "n_nationkey"),
+        "from_nine": joins.compare_all(t.supplier, "s_nationkey", ">=", [5, 9]),
+        "listed": joins.compare_any(t.supplier, "s_nationkey", "=", [1, 2, 3])}
+    out = t.supplier.select("s_suppkey")
+    for name, rows in found.items():
+        out = out.join(rows.select("s_suppkey", F.lit(True).alias(name)), "s_suppkey", "left")
+    return out.select("s_suppkey", *[F.coalesce(name, F.lit(False)).alias(name) for name in found])
+
+
 def session_sql(kind, gap_hours):
     return f"""(SELECT user_id, min(ts) AS s, max(ts) + INTERVAL '{gap_hours}' HOUR AS e FROM (
       SELECT *, sum(o) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS g FROM (

@@ -65,33 +65,24 @@ def fold_commands(log: DataFrame, rows_per_group: int = ROWS_PER_GROUP) -> DataF
     value, sets their members, sorted sets the last score of members not removed since, lists one row
     per element with its position. Lists stay rows, so no list has to fit into one task.
     """
-    of = lambda *ops: log.where(F.col("op").isin(*ops))
-    nothing = F.lit(None).cast("string")
-    last = lambda col: F.max_by(col, "seq")
-    out = lambda df, kind, field, value, position: df.select(
-        F.lit(kind).alias("kind"), "key", field.alias("field"), value.cast("string").alias("value"),
-        position.cast("long").alias("position"))
-    none_at = F.lit(None)
-    strings = of("SET").groupBy("key").agg(last("value").alias("v"))
-    hashes = of("HSET").groupBy("key", "field").agg(last("value").alias("v"))
-    members = of("SADD").groupBy("key", "value").agg(F.count(F.lit(1)).alias("__n"))
-    scores = (of("ZADD", "ZREM").groupBy("key", "value").agg(last(F.struct("op", "field")).alias("l"))
-              .where("l.op = 'ZADD'"))
-    pushes = of("LPUSH", "RPUSH")
+    op = F.col("op")
+    kind = (F.when(op == "SET", "string").when(op == "HSET", "hash").when(op == "SADD", "set").when(op.isin("ZADD", "ZREM"), "zset"))
+    member = F.when(op == "HSET", F.col("field")).when(op != "SET", F.col("value"))
+    # one pass and one shuffle: the last command decides about a string, a hash field, a member
+    last = (log.where(kind.isNotNull()).groupBy(kind.alias("kind"), "key", member.alias("field"))
+            .agg(F.max_by(F.struct("op", F.col("field").alias("score"), "value"), "seq").alias("l")).where("l.op <> 'ZREM'"))
+    value = F.when(F.col("kind").isin("string", "hash"), F.col("l.value")).when(F.col("kind") == "zset", F.col("l.score"))
+    folded = last.select("kind", "key", "field", value.cast("string").alias("value"), F.lit(None).cast("long").alias("position"))
+    pushes = log.where(op.isin("LPUSH", "RPUSH"))
     left = F.when(F.col("op") == "LPUSH", 1).otherwise(0)
     placed = running(pushes, ["key"], Order("seq"), [
         Running("__lefts", "sum", left), Running("__rows", "count"), Running("__all_lefts", "total_sum", left)],
         rows_per_group)
     spot = F.when(F.col("op") == "LPUSH", F.col("__all_lefts") - F.col("__lefts")).otherwise(
         F.col("__all_lefts") + F.col("__rows") - F.col("__lefts") - 1)
-    parts = [out(strings, "string", nothing, F.col("v"), none_at), out(hashes, "hash", F.col("field"), F.col("v"), none_at),
-             out(members, "set", F.col("value"), nothing, none_at),
-             out(scores, "zset", F.col("value"), F.col("l.field"), none_at),
-             out(placed, "list", nothing, F.col("value"), spot)]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    lists = placed.select(F.lit("list").alias("kind"), "key", F.lit(None).cast("string").alias("field"),
+                          F.col("value").cast("string").alias("value"), spot.cast("long").alias("position"))
+    return folded.unionByName(lists)
 
 
 def distinct_sketch(log: DataFrame, error: float = 0.01) -> DataFrame:

@@ -13,7 +13,7 @@ from ..operators.temporal import asof_join
 from ..plans.durations import at, floor_to, instant, micros
 from ..sources.sinks import write_routed
 from .processors import CountWindow, FirstSeen, GrowingWindow, PathCollector, VersionedLookup
-from .runner import drain, each_batch
+from .runner import each_batch, start
 
 
 def windowed_counts(df: DataFrame, time: str, size: str, keys: list[str], slide: str | None = None) -> DataFrame:
@@ -35,12 +35,13 @@ def pv_uv(df: DataFrame, time: str, user: str, size: str = "1 hour") -> DataFram
     return both.select(F.col("window.start").alias("window_start"), "pv", "uv")
 
 
-def hot_items(df: DataFrame, time: str, item: str, size: str, slide: str, n: int, label: str = "hot-items") -> DataFrame:
+def hot_items(df: DataFrame, time: str, item: str, size: str, slide: str, n: int, label: str = "hot-items",
+              folder: str | None = None, every: str | None = None) -> DataFrame:
     """Top-N per hopping window. Closed windows leave the stream whole in one micro-batch, where the
-    rank limit runs as a batch operator."""
+    rank limit runs as a batch operator. ``folder`` and ``every`` as in runner.each_batch."""
     counts = windowed_counts(df, time, size, [item], slide)
     return each_batch(counts, label, lambda batch, _: top_n(
-        batch, ["window_end"], [F.col("n").desc(), F.col(item).asc()], n))
+        batch, ["window_end"], [F.col("n").desc(), F.col(item).asc()], n), folder=folder, every=every)
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, upper: str,
@@ -111,7 +112,8 @@ def count_windows(df: DataFrame, key: str, row_id: str, amount: str, size: int)
     return got.select(key, "window_no", (F.col("total_cents") / 100).alias("total"))
 
 
-def purchase_paths(events: DataFrame, read_config: Callable[[], DataFrame], time: str = "ts", label: str = "paths") -> DataFrame:
+def purchase_paths(events: DataFrame, read_config: Callable[[], DataFrame], time: str = "ts", label: str = "paths",
+                   folder: str | None = None, every: str | None = None) -> DataFrame:
     """Paths closed by the stream, judged per micro-batch by the configuration in force at the purchase.
     ``read_config`` returns the configuration history (channel, ts, event_id and the two limits)."""
     rows = events.select("user_id", "channel", "event_type", at(time).alias("at_us"), F.col("event_id").alias("id"), time)
@@ -132,23 +134,25 @@ def purchase_paths(events: DataFrame, read_config: Callable[[], DataFrame], time
                 .select("user_id", F.coalesce("__channel", F.lit(DEFAULT_CONFIG["channel"])).alias("channel"), "purchase_time",
                         F.col("length").alias("purchase_path_length"), F.col("counts").alias("event_type_counts")))
 
-    return each_batch(closed, label, judge)
+    return each_batch(closed, label, judge, folder=folder, every=every)
 
 
-def first_seen(df: DataFrame, keys: list[str], ttl_ms: int) -> DataFrame:
-    """First row per key, forgetting keys that stay idle for ``ttl_ms``."""
+def first_seen(df: DataFrame, keys: list[str], ttl_ms: int, time: str | None = None) -> DataFrame:
+    """First row per key, forgetting keys that stay idle for ``ttl_ms``. Of the rows that arrive together the
+    earliest by ``time`` counts."""
     schema = df.schema
-    return df.groupBy(*keys).transformWithStateInPandas(FirstSeen(ttl_ms), schema, "Append", "ProcessingTime")
+    return df.groupBy(*keys).transformWithStateInPandas(FirstSeen(ttl_ms, time), schema, "Append", "ProcessingTime")
 
 
 def mini_batch_lookup(facts: DataFrame, read_dim: Callable[[], DataFrame], keys: list[str], how: str = "left",
-                      label: str = "mini-batch") -> DataFrame:
-    """Per micro-batch: probe the distinct keys once, then join the answers back to the rows."""
+                      label: str = "mini-batch", folder: str | None = None, every: str | None = None) -> DataFrame:
+    """Per micro-batch: probe the distinct keys once, then join the answers back to the rows. A batch ends after
+    ``every``, or before it with as many files as the source allows per trigger."""
     def probe(batch: DataFrame, _: int) -> DataFrame:
         answers = batch.select(*keys).distinct().join(read_dim(), keys)
         return batch.join(answers, keys, how)
 
-    return each_batch(facts, label, probe)
+    return each_batch(facts, label, probe, folder=folder, every=every)
 
 
 class RefreshedTable:
@@ -174,19 +178,29 @@ def jdbc_table(spark, url: str, table: str, partition_column: str, bounds: tuple
         numPartitions=partitions, **options).load()
 
 
-def route_stream(df: DataFrame, folder: str, tags: dict[str, Column]) -> None:
-    """Side outputs: every micro-batch is written once, one folder per tag and batch."""
+def _run(writer, folder: str, every: str | None):
+    query = start(writer, f"{folder}/checkpoint", every)
+    if every:
+        return query
+    query.awaitTermination()
+
+
+def route_stream(df: DataFrame, folder: str, tags: dict[str, Column], every: str | None = None):
+    """Side outputs: every micro-batch is written once, one folder per tag and batch. Drains the stream, or with
+    ``every`` returns the running query."""
     def write(batch: DataFrame, number: int) -> None:
         write_routed(batch, f"{folder}/data/batch={number}", tags, mode="overwrite")
 
-    drain(df.writeStream.foreachBatch(write), f"{folder}/checkpoint")
+    return _run(df.writeStream.foreachBatch(write), folder, every)
 
 
-def statement_sink(df: DataFrame, folder: str, statement: str, batch_rows: int, write: Callable | None = None) -> None:
+def statement_sink(df: DataFrame, folder: str, statement: str, batch_rows: int, write: Callable | None = None,
+                   every: str | None = None):
     """Batching sink: rows of a micro-batch grouped by statement, in files of at most ``batch_rows``
-    rows. ``write`` replaces the parquet target, e.g. by a JDBC writer with batchsize."""
+    rows. ``write`` replaces the parquet target, e.g. by a JDBC writer with batchsize. With ``every`` the sink
+    flushes after that interval or ``batch_rows`` rows, whichever comes first, and the running query is returned."""
     def parquet(batch: DataFrame, number: int) -> None:
         (batch.write.option("maxRecordsPerFile", batch_rows).partitionBy(statement).mode("overwrite")
          .parquet(f"{folder}/data/batch={number}"))
 
-    drain(df.writeStream.foreachBatch(write or parquet), f"{folder}/checkpoint")
+    return _run(df.writeStream.foreachBatch(write or parquet), folder, every)

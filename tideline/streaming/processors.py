@@ -247,8 +247,8 @@ class FirstSeen(StatefulProcessor):
     """Passes the first row per key and remembers the key for ``ttl_ms`` of processing time after it
     was last written, the counterpart of an idle state retention."""
 
-    def __init__(self, ttl_ms: int):
-        self.ttl_ms = ttl_ms
+    def __init__(self, ttl_ms: int, time: str | None = None):
+        self.ttl_ms, self.time = ttl_ms, time
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.seen = handle.getValueState("seen", "at bigint", ttlDurationMs=self.ttl_ms)
@@ -256,11 +256,15 @@ class FirstSeen(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         known = self.seen.exists()
         self.seen.update((timerValues.getCurrentProcessingTimeInMs(),))
-        if not known:
-            yield next(iter(rows)).head(1)
-        else:
-            for _ in rows:
-                pass
+        first = None
+        for batch in rows:
+            if known or batch.empty:
+                continue
+            row = batch.head(1) if self.time is None else batch.sort_values(self.time, kind="stable").head(1)
+            if first is None or self.time is not None and row[self.time].iloc[0] < first[self.time].iloc[0]:
+                first = row
+        if first is not None:
+            yield first
 
     def close(self) -> None:
         pass

@@ -6,7 +6,7 @@ import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from ..session import fresh_dir
 
@@ -27,33 +27,46 @@ def stream_parquet(spark: SparkSession, path: str, time_column: str | None = Non
     return df
 
 
-def drain(writer: DataStreamWriter, checkpoint: str, timeout: int = 3600) -> None:
-    """Process all that is available now and stop."""
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    if not query.awaitTermination(timeout):
-        query.stop()
-        raise TimeoutError("the stream did not drain in time")
+def start(writer: DataStreamWriter, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Start a stream: a micro-batch every ``every`` until it is stopped, or without it all that is available now."""
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def append_to_table(df: DataFrame, label: str, folder: str | None = None) -> DataFrame:
-    """Drain an append-mode stream into parquet (exactly once across restarts) and read it back."""
+def drain(writer: DataStreamWriter, checkpoint: str) -> None:
+    """Process all that is available now and stop, however long it takes."""
+    start(writer, checkpoint).awaitTermination()
+
+
+def append_to_table(df: DataFrame, label: str, folder: str | None = None, every: str | None = None) -> DataFrame | StreamingQuery:
+    """Write an append-mode stream into parquet under ``folder``/data (exactly once across restarts). Drains it
+    and reads the table back, or with ``every`` returns the running query."""
     spark = df.sparkSession
     folder = folder or fresh_dir(spark, label)
-    drain(df.writeStream.outputMode("append").format("parquet").option("path", f"{folder}/data"), f"{folder}/checkpoint")
+    query = start(df.writeStream.outputMode("append").format("parquet").option("path", f"{folder}/data"), f"{folder}/checkpoint", every)
+    if every:
+        return query
+    query.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{folder}/data")
 
 
 def each_batch(df: DataFrame, label: str, work: Callable[[DataFrame, int], DataFrame], mode: str = "append",
-               folder: str | None = None) -> DataFrame:
-    """Drain a stream through ``work`` per micro-batch. A batch is written under its own number, so a
-    batch that is replayed after a failure replaces its earlier attempt."""
+               folder: str | None = None, every: str | None = None) -> DataFrame | StreamingQuery:
+    """Send a stream through ``work`` per micro-batch. A batch is written under its own number, so a batch that is
+    replayed after a failure replaces its earlier attempt. Drains it and reads the result back, or with
+    ``every`` returns the running query."""
     spark = df.sparkSession
     folder = folder or fresh_dir(spark, label)
 
     def write(batch: DataFrame, number: int) -> None:
         work(batch, number).write.mode("overwrite").parquet(f"{folder}/data/batch={number}")
 
-    drain(df.writeStream.outputMode(mode).foreachBatch(write), f"{folder}/checkpoint")
+    query = start(df.writeStream.outputMode(mode).foreachBatch(write), f"{folder}/checkpoint", every)
+    if every:
+        return query
+    query.awaitTermination()
+    if not query.recentProgress:  # nothing was available, so no batch has left a schema
+        return work(spark.createDataFrame([], df.schema), -1).withColumn("batch", F.lit(None).cast("int")).where("false")
     return spark.read.parquet(f"{folder}/data")
 
 
