@@ -284,7 +284,9 @@ def running(df: DataFrame, keys: list[str], order: Order, specs: list[Running],
                 F.coalesce(local, F.lit(0)) + F.coalesce(past, F.lit(0)))
         else:
             col = local + F.coalesce(past, F.lit(0))
-        out.append(col.cast(plain[s.name].dataType).alias(s.name))
+        kind = plain[s.name].dataType
+        # sums and ranks widen; values that are carried as they are keep their type anyway
+        out.append((col if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)) else col.cast(kind)).alias(s.name))
     return joined.select(*out)
 
 
