@@ -278,4 +278,31 @@ def test_pattern_with_many_symbols(spark):
     df = spark.createDataFrame([(1, i, i) for i in range(24)], "k int, t long, id long").withColumn("t", F.timestamp_seconds("t"))
     define = {f"S{j}": F.col("id") % 12 == j for j in range(12)}
     got = match_rows(df, ["k"], "t", "id", " ".join(define), define, "1 hour").collect()
-    assert [(r.start_id, r.end_id, r.classifiers) for r in got] == [(0, 11, list(define)), (12, 23, list(define))] 
+    assert [(r.start_id, r.end_id, r.classifiers) for r in got] == [(0, 11, list(define)), (12, 23, list(define))]
+
+
+def test_json_clauses(spark):
+    df = spark.createDataFrame([(1, '{"a": 1, "b": [2]}', None), (2, '{"a": "x"}', "y")], "i int, t string, n string")
+    got = df.select("i", jsons.json_value("t", "$.b", on_error="wrong", on_empty="none").alias("v"),
+                    jsons.json_array("i", "n", F.lit(1.5), F.lit(True)).alias("a"), jsons.json_array("i", "n", absent_on_null=False).alias("all"))
+    assert rows(got) == [(1, "wrong", "[1,1.5,true]", "[1,null]"), (2, "none", '[2,"y",1.5,true]', '[2,"y"]')]
+    with pytest.raises(Exception, match="leads nowhere"):
+        df.select(jsons.json_value("t", "$.z", on_empty=jsons.ERROR)).collect()
+    both = df.agg(jsons.json_arrayagg("n", "i", absent_on_null=False).alias("a"), jsons.json_objectagg("i", "n", absent_on_null=True).alias("o")).first()
+    assert both.a.replace(" ", "") == '[null,"y"]' and both.o == '{"2":"y"}'
+
+
+def test_update_and_delete_by_condition(spark):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, 9)], "k int, v int")
+    assert rows(changelog.update_where(df, F.col("v") > 5, {"v": F.col("v") + F.col("k")})) == [(1, 5), (2, None), (3, 12)]
+    assert rows(changelog.delete_where(df, F.col("v") > 5)) == [(1, 5), (2, None)]
+
+
+def test_declared_primary_key_refuses_nulls(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b")], "k int, v string")
+    key = declared.Declaration(primary_key=("k",), unique=(("v",),))
+    assert rows(key.apply(df.where("k is not null"))) == [(1, "a")]
+    with pytest.raises(Exception, match="primary key column k"):
+        key.apply(df).collect()
+    with pytest.raises(ValueError):
+        declared.Declaration(primary_key=("z",)).apply(df)

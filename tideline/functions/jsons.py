@@ -4,6 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+#: as on_empty or on_error: the query fails instead of answering
+ERROR = object()
+
+
+def _answer(choice, what: str) -> Column:
+    return F.raise_error(F.lit(f"JSON {what}")).cast("string") if choice is ERROR else F.lit(choice)
+
 
 def json_exists(text: str, path: str) -> Column:
     """Also true where the path leads to a JSON null."""
@@ -12,17 +19,18 @@ def json_exists(text: str, path: str) -> Column:
 
 def json_value(text: str, path: str, returning: str = "string", on_empty=None, on_error=None) -> Column:
     """Scalar at the path. on_empty answers a missing path, on_error invalid text, an object, an array
-    or a value that cannot be cast."""
+    or a value that cannot be cast. Either may be ERROR."""
+    empty, wrong = (_answer(x, what).cast(returning) for x, what in ((on_empty, "path leads nowhere"), (on_error, "value is not the scalar asked for")))
     parsed = f"try_parse_json({text})"
     found = F.expr(f"try_variant_get({parsed}, '{path}', 'variant')")
     kind = F.schema_of_variant(found)
     scalar = F.expr(f"try_variant_get({parsed}, '{path}', '{returning}')")
     return (F.when(F.col(text).isNull(), F.lit(None))
-            .when(F.expr(f"{parsed} IS NULL"), F.lit(on_error))
-            .when(found.isNull(), F.lit(on_empty))
-            .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(on_error))
+            .when(F.expr(f"{parsed} IS NULL"), wrong)
+            .when(found.isNull(), empty)
+            .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), wrong)
             .when(kind == "VOID", F.lit(None))
-            .otherwise(F.coalesce(scalar, F.lit(on_error))))
+            .otherwise(F.coalesce(scalar, wrong)))
 
 
 def json_query(text: str, path: str, wrapper: str = "without") -> Column:
@@ -45,18 +53,21 @@ def json_object(absent_on_null: bool = False, **columns) -> Column:
 
 
 def json_array(*columns, absent_on_null: bool = True) -> Column:
-    """Array of values of one type. Nulls are left out unless asked for."""
-    items = F.array(*columns)
-    return F.to_json(F.filter(items, lambda x: x.isNotNull()) if absent_on_null else items)
+    """Array of values of any types. Nulls are left out unless asked for."""
+    texts = [F.to_json((F.col(c) if isinstance(c, str) else c).cast("variant")) for c in columns]
+    items = F.array(*[t if absent_on_null else F.coalesce(t, F.lit("null")) for t in texts])
+    return F.concat(F.lit("["), F.array_join(F.filter(items, lambda x: x.isNotNull()), ","), F.lit("]"))
 
 
-def json_objectagg(key: str, value: str) -> Column:
+def json_objectagg(key: str, value: str, absent_on_null: bool = False) -> Column:
     """Aggregate into one JSON object per group, keys in order. Give it groups of bounded size."""
-    pairs = F.array_sort(F.collect_list(F.struct(F.col(key).cast("string").alias("key"), F.col(value).alias("value"))))
+    pair = F.struct(F.col(key).cast("string").alias("key"), F.col(value).alias("value"))
+    pairs = F.array_sort(F.collect_list(F.when(F.col(value).isNotNull(), pair) if absent_on_null else pair))
     return F.to_json(F.map_from_entries(pairs))
 
 
-def json_arrayagg(value: str, order: str) -> Column:
-    """Aggregate into one JSON array per group in the given order, nulls left out."""
-    pairs = F.array_sort(F.collect_list(F.when(F.col(value).isNotNull(), F.struct(order, value))))
+def json_arrayagg(value: str, order: str, absent_on_null: bool = True) -> Column:
+    """Aggregate into one JSON array per group in the given order. Nulls are left out unless asked for."""
+    pair = F.struct(order, value)
+    pairs = F.array_sort(F.collect_list(F.when(F.col(value).isNotNull(), pair) if absent_on_null else pair))
     return F.to_json(F.transform(pairs, lambda p: p[value]))

@@ -15,6 +15,13 @@ def _zip(a, b, how) -> Column:
     return F.map_filter(merged, lambda k, n: n > 0)
 
 
+def multiset(*values) -> Column:
+    """MULTISET[value, ...]: each different value with its multiplicity."""
+    held = F.array(*[_col(v) for v in values])
+    count = lambda x: F.size(F.filter(held, lambda y: y.eqNullSafe(x))).cast("long")
+    return F.map_from_entries(F.transform(F.array_distinct(held), lambda x: F.struct(x, count(x))))
+
+
 def union_all(a, b) -> Column:
     return _zip(a, b, lambda x, y: x + y)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 COPIES_PER_TASK = 100_000
@@ -45,3 +45,15 @@ def merge_rows(target: DataFrame, source: DataFrame, keys: list[str], delete_fla
                       if c in source.columns else F.col(f"t.{c}"))
     return joined.select(*[F.coalesce(F.col(f"s.{c}"), F.col(f"t.{c}")).alias(c) if c in keys
                            else pick(c).alias(c) for c in target.columns])
+
+
+def update_where(target: DataFrame, condition: Column, assignments: dict[str, Column]) -> DataFrame:
+    """UPDATE SET ... WHERE: rows for which the condition is true take the new values, which see the old row."""
+    hit = F.coalesce(condition, F.lit(False))
+    return target.select(*[F.when(hit, assignments[c]).otherwise(F.col(c)).cast(target.schema[c].dataType).alias(c)
+                           if c in assignments else F.col(c) for c in target.columns])
+
+
+def delete_where(target: DataFrame, condition: Column) -> DataFrame:
+    """DELETE WHERE: rows for which the condition is true go; an unknown condition keeps its row."""
+    return target.where(~F.coalesce(condition, F.lit(False)))

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from ..functions import jsons, scalars
+from ..functions import jsons, multisets, scalars
 from ..operators.ranking import top_n
 from ..plans.durations import micros
 from ..plans.slices import Order, trailing_range
@@ -177,12 +177,12 @@ SELECT p_partkey, upper(p_name) AS a, lower(p_brand) AS b, substring(p_name, 2,
 
 
 @report("convert_charset", """
-SELECT doc_id, length(regexp_replace(text, '[^\\x00-\\x7F]', '?', 'g')) AS n,
-  md5(regexp_replace(text, '[^\\x00-\\x7F]', '?', 'g')) AS digest FROM documents""")
+SELECT doc_id, CAST(2 * length(text) AS BIGINT) + 2 * len(regexp_extract_all(text, '[\U00010000-\U0010FFFF]')) AS n, md5(text) AS digest
+FROM documents""")
 def _(t):
-    ascii_text = F.expr("regexp_replace(text, '[^\\\\x00-\\\\x7F]', '?')")
-    return t.documents.select("doc_id", F.length(scalars.convert_using(ascii_text, "US-ASCII")).cast("long").alias("n"),
-                              F.md5(scalars.convert_using(ascii_text, "US-ASCII")).alias("digest"))
+    # two bytes for most characters, four for the rest, and the same text back
+    return t.documents.select("doc_id", F.length(F.encode("text", "UTF-16BE")).cast("long").alias("n"),
+                              F.md5(scalars.convert_using("text", "UTF-16BE")).alias("digest"))
 
 
 @report("numeric_functions", """
@@ -278,6 +278,15 @@ def _(t):
         F.struct("o_orderkey", F.col("o_orderpriority").alias("p"))["p"].alias("d"))
 
 
+@report("multiset_constructor", """
+SELECT event_id, event_type AS only, 3::bigint AS total, CASE WHEN event_type = 'click' THEN 'a:1,click:2'
+  WHEN event_type < 'click' THEN 'a:1,' || event_type || ':1,click:1' ELSE 'a:1,click:1,' || event_type || ':1' END AS counted FROM events""")
+def _(t):
+    made = multisets.multiset(F.lit("a"), "event_type", F.lit("click"))
+    return t.events.select("event_id", multisets.element(multisets.multiset("event_type")).alias("only"),
+                           multisets.cardinality(made).alias("total"), multisets.as_text(made).alias("counted"))
+
+
 @report("context_functions", """
 SELECT o_orderstatus, true AS has_user, true AS has_catalog, count(*) AS n FROM orders GROUP BY o_orderstatus""")
 def _(t):

@@ -12,7 +12,8 @@ from pyspark.sql.types import StructField, StructType, _parse_datatype_string
 class Declaration:
     """``columns`` renames or selects (empty: all); ``computed`` holds SQL expressions over the
     columns; ``metadata`` maps new names to fields of Spark's file ``_metadata`` or of a topic row;
-    ``watermark`` is (column, delay), where the column may be computed or a nested field."""
+    ``watermark`` is (column, delay), where the column may be computed or a nested field. A NULL in a column of the
+    ``primary_key`` fails the query; ``unique`` keys may hold NULLs. Duplicates are found by ``key_report``."""
     columns: tuple[str, ...] = ()
     computed: dict[str, str] = field(default_factory=dict)
     metadata: dict[str, str] = field(default_factory=dict)
@@ -28,6 +29,12 @@ class Declaration:
         out = df.select(*base, *[F.col(src).alias(n) for n, src in self.metadata.items()])
         for name, text in self.computed.items():
             out = out.withColumn(name, F.expr(text))
+        unknown = {c for key in (self.primary_key, *self.unique) for c in key} - set(out.columns)
+        if unknown or len(set(self.primary_key)) < len(self.primary_key):
+            raise ValueError(f"key columns must be declared once: {sorted(unknown) or self.primary_key}")
+        for c in self.primary_key:
+            refuse = F.raise_error(F.lit(f"primary key column {c} is NULL")).cast(out.schema[c].dataType)
+            out = out.withColumn(c, F.coalesce(F.col(c), refuse))
         if self.watermark:
             column, delay = self.watermark
             name = column.replace(".", "_")
