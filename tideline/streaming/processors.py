@@ -9,6 +9,7 @@ from __future__ import annotations
 from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -41,18 +42,21 @@ class VersionedLookup(StatefulProcessor):
                     versions.append((int(at), int(rid), payload))
                 else:
                     facts.append((int(at), int(rid), payload, 0))
+        due = []
         if versions:
             self.versions.appendList(versions)
+            # also a key without facts forgets what its newest passed version has replaced
+            due.append(max(versions)[0])
         if facts:
             self.waiting.appendList(facts)
-            self.handle.registerTimer(max(_due_ms(min(facts)[0]), timerValues.getCurrentWatermarkInMs() + 1))
+            due.append(min(facts)[0])
+        for at in due:
+            self.handle.registerTimer(max(_due_ms(at), timerValues.getCurrentWatermarkInMs() + 1))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         watermark = timerValues.getCurrentWatermarkInMs()
         waiting = list(self.waiting.get()) if self.waiting.exists() else []
-        if not any(_due_ms(w[0]) <= watermark for w in waiting):
-            return
         known = sorted(self.versions.get()) if self.versions.exists() else []
         times = [v[0] for v in known]
         out, rest = [], []
@@ -69,11 +73,13 @@ class VersionedLookup(StatefulProcessor):
                 break
             else:
                 rest.append((probe, rid, payload, attempt))
+        if len(rest) < len(waiting) or rest != waiting:
+            if rest:
+                self.waiting.put(rest)
+            else:
+                self.waiting.clear()
         if rest:
-            self.waiting.put(rest)
             self.handle.registerTimer(_due_ms(min(rest)[0]))
-        else:
-            self.waiting.clear()
         # no row still to come or waiting probes before this moment, so only the newest version then stays
         floor_us = min([watermark * 1000, *[w[0] for w in rest]])
         passed = bisect_right(times, floor_us)
@@ -169,12 +175,11 @@ class CountWindow(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         number, n, total = self.open.get() if self.open.exists() else (0, 0, 0)
         arrived = pd.concat(list(rows)).sort_values("id")
-        out = []
-        for cents in arrived["cents"]:
-            n, total = n + 1, total + int(cents)
-            if n == self.size:
-                out.append((number, total))
-                number, n, total = number + 1, 0, 0
+        sums = total + np.cumsum(arrived["cents"].to_numpy(np.int64))
+        full = np.arange(self.size - n - 1, len(sums), self.size)  # the rows that fill a window
+        out = list(zip(range(number, number + len(full)), np.diff(sums[full], prepend=0).tolist()))
+        number, n = number + len(full), (n + len(sums)) % self.size
+        total = int(sums[-1] - (sums[full[-1]] if len(full) else 0))
         self.open.update((number, n, total))
         if out:
             frame = pd.DataFrame(out, columns=["window_no", "total_cents"])
