@@ -200,8 +200,12 @@ def test_pipeline(spark, data):
             kept = {r.doc_id for r in rows}
             assert kept <= {i for i, _, _ in before}
         if name == "toxicity":
-            gone = {i for i, _, _ in before} - kept
-            assert gone and len(gone & toxic) > 0.7 * len(toxic)
+            # exactly the documents that the model scores at the limit or above go; test_held_out_accuracy judges the
+            # model itself on sf0.1, as this table has 11 toxic labels only
+            model = toxicity.train(docs, spark.read.parquet(f"{data}/labels.parquet"))
+            scores = {r.doc_id: r.score for r in toxicity.score(docs, model).collect()}
+            assert kept == {i for i, x in scores.items() if x < 0.5}
+            assert len((set(scores) - kept) & toxic) >= 5
         elif name == "near-duplicates":
             roots = grouped([(i, t) for i, t, _ in sorted(before)], 5)
             assert kept == set(roots.values()) and len(rows) == len(kept)
