@@ -108,6 +108,27 @@ def test_edited_items_are_found(spark, documents):
     assert clean == {i for i, _, _ in rows} - {i for i, _ in expected}
 
 
+def test_lone_heavily_edited_copies_are_found(spark, documents):
+    """Every text whose alignment reaches the limit, however its words were edited; clean ones are not."""
+    draw = random.Random(9)
+    vocabulary = [f"v{i}" for i in range(60)]
+    items = [draw.choices(vocabulary, k=20) for _ in range(7)]
+    edited = [lambda w, i: "zz" if i % 6 == 2 else w, lambda w, i: "zz" if i % 3 == 2 else w, lambda w, i: f"{w} zz" if i < 19 else w,
+              lambda w, i: "" if i % 3 == 2 else w, lambda w, i: "zz" if i % 2 else w, lambda w, i: f"{w} zz" if i % 2 else w, lambda w, i: w]
+    prose = lambda n: " ".join(draw.choices(vocabulary, k=n))
+    texts = [f"{prose(40)} {' '.join(edit(w, i) for i, w in enumerate(item))} {prose(40)}" for item, edit in zip(items, edited)]
+    # an exact copy beside a lone edited one, and clean texts with common words
+    texts += [" ".join(items[0]), " ".join(items[1]), *(prose(60) for _ in range(12))]
+    rows = [(i, t, "a") for i, t in enumerate(texts)]
+    number = {w: i for i, w in enumerate([*vocabulary, "zz"])}
+    expected = {(d, k) for d, t in enumerate(texts) for k, item in enumerate(items)
+                if smith_waterman([number[w] for w in item], [number[w] for w in t.split()]) >= len(item)}
+    assert {(0, 0), (1, 1), (2, 2), (3, 3), (5, 5), (6, 6)} <= expected
+    benchmark = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(documents(rows), benchmark).collect()}
+    assert got == expected
+
+
 def test_items_in_blocks(spark, documents, monkeypatch):
     monkeypatch.setattr(decontamination, "BLOCK", 2)
     benchmark = spark.createDataFrame([(i, " ".join(f"q{i}x{j}" for j in range(9))) for i in range(5)], "item_id long, text string")

@@ -1,9 +1,15 @@
-"""Benchmark decontamination: rare word n-grams of the test items seed Smith-Waterman alignments.
+"""Benchmark decontamination: rare word pairs of the test items seed Smith-Waterman alignments.
 
-Two passes over the texts, no shuffle of them. The first counts in how many documents each n-gram of the
-items occurs. The rarest half of an item's n-grams are its seeds; that is relative to the item, so an
-item that leaked into a third of all documents keeps its seeds. The second pass finds seeds, aligns the words
-around them with the whole item, and scores the alignment as a share of the item's perfect score.
+Two passes over the texts, no shuffle of them. The first counts in how many documents each seed of the items
+occurs. The second finds the seeds that are kept, aligns the words around them with the whole item, and scores the
+alignment as a share of the item's perfect score.
+
+No text that reaches the limit is missed. A seed is a pair of words at a distance of 1 or 2, in the item and in the
+text. An alignment with m matched words and e edits scores 2m - e; if that is at least ``limit`` of the perfect 2n
+of an item of n words, e <= 2m - 2 * limit * n, and at least limit * n - 1 pairs of neighbouring matched words have
+one edit or none between them: they are seeds, each from another place of the item. So the places with the
+most frequent seeds can be left out, one fewer than that, and one of the others still meets the text.
+Words that cannot reach the limit even if all words of the item among them matched are not aligned.
 
 Items are taken in blocks of BLOCK, so what the executors hold does not grow with the benchmark; a
 larger benchmark takes more passes.
@@ -15,55 +21,113 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .text import BASE, Piece, chain, not_letters, pieces, windows, word_hashes
+from .text import BASE, Piece, mix, not_letters, pieces, word_hashes
 
-GRAM = 3
+#: words that an item needs
+LEAST = 3
+STEPS = (1, 2)
 BLOCK = 20_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 LIMIT = 0.5
 BATCH_CELLS = 1 << 21
-FILTER_BITS = 20
+BATCH_WORDS = 1 << 20
+
+
+def _pairs(words: np.ndarray, step: int) -> np.ndarray:
+    """The hash of each word and the one ``step`` words on; the same for every step."""
+    return mix(words[:-step] * np.uint64(BASE) + words[step:])
+
+
+def _named(items: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mix(words + mix(items.astype(np.uint64) + np.uint64(1)))
 
 
 class Items:
-    """The words of a block of test items, and its n-grams as (item, place) lists."""
+    """The words of a block of test items, and its seeds as (item, place) lists."""
 
-    def __init__(self, ids: list[int], texts: list[str | None]):
+    def __init__(self, ids: list[int], texts: list[str | None], limit: float):
         self.ids = np.array(ids, np.int64)
+        self.limit = limit
         self.words: list[np.ndarray] = []
         for p in pieces(pa.array(texts, pa.string()), lower=True, gaps=not_letters()):
             hashes = word_hashes(p)
             self.words += [hashes[a:b] for a, b in zip(p.borders[:-1], p.borders[1:])]
-        grams = [chain(w, GRAM) for w in self.words]
-        self.gram = np.concatenate([*grams, np.zeros(0, np.uint64)])
-        self.item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        self.place = np.concatenate([*[np.arange(len(g)) for g in grams], np.zeros(0, np.int64)])
-
-    def keep_rarest(self, frequency: dict[int, int]) -> None:
-        n = np.array([frequency.get(int(g), 0) for g in self.gram.view(np.int64)], np.int64)
-        order = np.lexsort((self.gram, n, self.item))
-        rank = np.arange(len(order)) - np.searchsorted(self.item[order], self.item[order])
-        size = np.bincount(self.item, minlength=len(self.words))[self.item[order]]
-        kept = order[rank < (size + 1) // 2]
+        self.lengths = np.array([len(w) for w in self.words], np.int64)
+        #: the scores to reach
+        self.least = limit * MATCH * self.lengths
+        found = [(k, np.arange(len(w) - step), _pairs(w, step)) for k, w in enumerate(self.words) if len(w) >= LEAST for step in STEPS]
+        self.item = np.repeat(np.array([k for k, _, _ in found], np.int64), [len(g) for _, _, g in found])
+        self.place = np.concatenate([*[at for _, at, _ in found], np.zeros(0, np.int64)])
+        self.gram = np.concatenate([*[g for _, _, g in found], np.zeros(0, np.uint64)])
+        of = np.repeat(np.arange(len(self.words)), self.lengths)
+        self.named = np.unique(_named(of, np.concatenate([*self.words, np.zeros(0, np.uint64)])))
+
+    def keep_rarest(self, grams: np.ndarray, n: np.ndarray) -> None:
+        """Leaves out the places of each item with the most frequent seeds, as many as is safe."""
+        order = np.argsort(grams)
+        grams, n = np.append(grams[order], np.uint64(0)), np.append(n[order], 0)
+        where = np.searchsorted(grams[:-1], self.gram)
+        often = np.where(grams[where] == self.gram, n[where], 0)
+        first = np.append(0, np.cumsum(self.lengths))
+        at = first[self.item] + self.place
+        total = np.bincount(at, often, first[-1])
+        item, place = np.repeat(np.arange(len(self.words)), self.lengths), np.arange(first[-1])
+        # the last place begins no pair
+        inner = place < first[item + 1] - 1
+        item, place = item[inner], place[inner]
+        order = np.lexsort((place, -total[place], item))
+        rank = np.arange(len(order)) - np.searchsorted(item[order], item[order])
+        left_out = np.zeros(first[-1], bool)
+        left_out[place[order[rank < (np.ceil(self.limit * self.lengths - 1e-9) - 2)[item[order]]]]] = True
+        kept = np.flatnonzero(~left_out[at])
         kept = kept[np.argsort(self.gram[kept], kind="stable")]
         self.gram, self.item, self.place = self.gram[kept], self.item[kept], self.place[kept]
 
+    def can_reach(self, item: np.ndarray, lo: np.ndarray, hi: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Whether some of the words lo to hi could score enough if every word of the item matched."""
+        out = np.zeros(len(item), bool)
+        ends = np.cumsum(hi - lo)
+        a = 0
+        while a < len(item):
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + BATCH_WORDS, "right")))
+            size = (hi - lo)[a:b]
+            begin = np.cumsum(size) - size
+            region = np.repeat(np.arange(b - a), size)
+            at = np.arange(size.sum()) + np.repeat(lo[a:b] - begin, size)
+            named = _named(item[a:b][region], hashes[at])
+            held = self.named[np.minimum(np.searchsorted(self.named, named), len(self.named) - 1)] == named
+            worth = np.where(held, MATCH, MISMATCH).astype(np.int64)
+            after = np.cumsum(worth)
+            # of each stretch of words the score is a difference of two sums; the lowest sum so far, by region
+            far = (MATCH - MISMATCH) * (len(at) + 1) * region
+            lowest = np.minimum.accumulate(after - worth - far) + far
+            out[a:b] = np.maximum.reduceat(after - lowest, begin) >= self.least[item[a:b]] - 1e-9
+            a = b
+        return out
+
 
 class Lookup:
-    """Finds the words of a text at which one of some sorted n-grams begins."""
+    """Finds the words of a text at which one of some seeds begins."""
 
     def __init__(self, grams: np.ndarray):
         self.grams = np.unique(grams)
-        self.maybe = np.zeros(1 << FILTER_BITS, bool)
-        self.maybe[(self.grams >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+        bits = min(24, max(16, (16 * len(self.grams)).bit_length()))
+        self.shift = np.uint64(64 - bits)
+        self.maybe = np.zeros(1 << bits, bool)
+        self.maybe[(self.grams >> self.shift).astype(np.int64)] = True
 
     def __call__(self, p: Piece, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at, g = windows(p, hashes, GRAM)
-        some = np.flatnonzero(self.maybe[(g >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
-        at, g = at[some], g[some]
-        where = np.minimum(np.searchsorted(self.grams, g), max(0, len(self.grams) - 1))
-        hit = self.grams[where] == g if len(self.grams) else np.zeros(0, bool)
-        return at[hit], where[hit]
+        """(first word, seed) of each occurrence."""
+        document = p.document()
+        found = [(np.zeros(0, np.int64),) * 2]
+        for step in STEPS:
+            g = _pairs(hashes, step)
+            at = np.flatnonzero(self.maybe[(g >> self.shift).astype(np.int64)] & (document[:-step] == document[step:]))
+            g = g[at]
+            where = np.minimum(np.searchsorted(self.grams, g), max(0, len(self.grams) - 1))
+            hit = self.grams[where] == g if len(self.grams) else np.zeros(0, bool)
+            found.append((at[hit], where[hit]))
+        return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _frequencies(items: Items):
@@ -101,9 +165,11 @@ def align(items: list[np.ndarray], texts: list[np.ndarray]) -> np.ndarray:
     return best
 
 
-def _regions(hit_document, hit_item, start, lengths):
+def _regions(hit_document, hit_item, start, items: Items):
     """Merged stretches (document, item, from, to) of words around the places where seeds put an item."""
-    slack = lengths[hit_item] // 4 + 4
+    lengths = items.lengths
+    # as many words can be put in or left out before the limit is missed
+    slack = np.floor(MATCH * lengths - items.least + 1e-9).astype(np.int64)[hit_item]
     lo, hi = start - slack, start + lengths[hit_item] + slack
     order = np.lexsort((lo, hit_item, hit_document))
     d, i, lo, hi = hit_document[order], hit_item[order], lo[order], hi[order]
@@ -117,7 +183,7 @@ def _regions(hit_document, hit_item, start, lengths):
 
 def _hits(column: pa.Array, items: Items, find: Lookup, begins: np.ndarray):
     """(row, item, score, seeds) arrays of the best alignment of each document and item that share a seed."""
-    lengths = np.array([len(w) for w in items.words], np.int64)
+    lengths = items.lengths
     out = [(np.zeros(0, np.int64),) * 2 + (np.zeros(0), np.zeros(0, np.int64))]
     for p in pieces(column, lower=True, gaps=not_letters()):
         hashes = word_hashes(p)
@@ -128,8 +194,10 @@ def _hits(column: pa.Array, items: Items, find: Lookup, begins: np.ndarray):
         entry = np.arange(times.sum()) + np.repeat(begins[where] - (np.cumsum(times) - times), times)
         at = np.repeat(at, times)
         document = p.document()[at]
-        d, i, lo, hi, seeds = _regions(document, items.item[entry], at - items.place[entry], lengths)
+        d, i, lo, hi, seeds = _regions(document, items.item[entry], at - items.place[entry], items)
         lo, hi = np.maximum(lo, p.borders[d]), np.minimum(hi, p.borders[d + 1])
+        able = items.can_reach(i, lo, hi, hashes)
+        d, i, lo, hi, seeds = d[able], i[able], lo[able], hi[able], seeds[able]
         score = np.zeros(len(d))
         order = np.argsort(lengths[i] * (hi - lo), kind="stable")
         k = 0
@@ -147,32 +215,34 @@ def _hits(column: pa.Array, items: Items, find: Lookup, begins: np.ndarray):
     return row[new], item[new], score[new], seeds[new]
 
 
-def _blocks(docs: DataFrame, benchmark: DataFrame):
+def _blocks(docs: DataFrame, benchmark: DataFrame, limit: float):
     """Items with their seeds chosen, a block at a time."""
     texts = docs.select(F.col("text").cast("string").alias("text"))
     held = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     blocks = max(1, -(-held.count() // BLOCK))
     for k in range(blocks):
         mine = held.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
-        items = Items([r["item_id"] if r["item_id"] is not None else -1 for r in mine], [r["text"] for r in mine])
+        items = Items([r["item_id"] if r["item_id"] is not None else -1 for r in mine], [r["text"] for r in mine], limit)
         counted = texts.mapInArrow(_frequencies(items), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-        items.keep_rarest({r["gram"]: r["n"] for r in counted.collect()})  # at most the block's own n-grams
+        table = counted.toPandas()  # at most the block's own seeds
+        items.keep_rarest(table["gram"].to_numpy(np.int64).view(np.uint64), table["n"].to_numpy(np.int64))
         yield items
 
 
 def _finder(items: Items):
     begins = np.append(np.flatnonzero(np.append(True, items.gram[1:] != items.gram[:-1])) if len(items.gram) else [], len(items.gram)).astype(np.int64)
-    return lambda column: _hits(column, items, Lookup(items.gram), begins)
+    find = Lookup(items.gram)
+    return lambda column: _hits(column, items, find, begins)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, limit: float = LIMIT) -> DataFrame:
     """(doc_id, item_id, score, seeds): documents that hold a test item, exact or edited, with an alignment
     score of at least ``limit`` of the item's own. Clean documents give no row.
 
-    Null and empty texts hold nothing; items of fewer than GRAM words have no seed and match nothing. Items
+    Null and empty texts hold nothing; items of fewer than LEAST words have no seed and match nothing. Items
     with a null id count as -1. Repeated rows are judged each. Other columns are ignored."""
     found = None
-    for items in _blocks(docs, benchmark):
+    for items in _blocks(docs, benchmark, limit):
         def run(batches, items=items):
             hits = _finder(items)
             for batch in batches:
@@ -189,7 +259,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, limit: float = LIMIT) ->
 
 def without_items(docs: DataFrame, benchmark: DataFrame, limit: float = LIMIT) -> DataFrame:
     """The rows of ``docs`` that hold no test item, unchanged."""
-    for items in _blocks(docs, benchmark):
+    for items in _blocks(docs, benchmark, limit):
         def run(batches, items=items):
             hits = _finder(items)
             for batch in batches:
