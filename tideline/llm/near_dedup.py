@@ -3,8 +3,8 @@
 1. One pass over the texts gives per document the size and a 128-bit signature of its shingle set and a
    sketch: the k smallest shingle hashes. Documents with equal sets form a class (map-side combined).
 2. Inverted lists: classes by retained value. A list of more than ``long_list`` classes is long. Every
-   class enters its short lists; a class with LONG_SHARE of its sketch in long lists also enters the
-   PREFIX least frequent of those, so that very common shingles never pair unrelated texts.
+   class enters its short lists, and those long ones whose value is among the PREFIX least frequent of its whole
+   sketch (values of no other class come first), so that very common shingles seldom pair unrelated texts.
 3. First every class meets a few hubs of its lists (the smallest id, the most central classes), linear in
    the list. Then classes of short lists that share ``OVERLAPS`` values (one, for sets below K) and are still in
    different components meet each other, and last the classes of long lists that hubs left in
@@ -12,10 +12,11 @@
 4. The sketch of the union estimates the similarity; pairs far below the limit go. Exact Jaccard on the full
    sets decides: first the most similar partner of each class, then only pairs that would still join two components.
 
-Nothing is left to chance for sets below K, whose sketches are complete: at Jaccard 0.8 at most a fifth of
-either set is not shared, so a class with less than LONG_SHARE in long lists shares a short one, and else
-both hold the same value among their PREFIX least frequent. For larger sets the same holds unless a sketch
-has three times the unshared values to be expected (less than one pair in 100,000 at the very limit).
+At most a fifth of either set is not shared at Jaccard 0.8. Two sketches that lack u values of each other have their
+least frequent common values among the u + 1 (u + 2, u + 3) least frequent of both, however common those are. For sets
+below K, whose sketches are complete, a fifth of the set and one more is therefore exact, and nothing is left to
+chance. For larger sets u is at most Bin(K, 0.2), the worst case being a text that contains the other; OVERLAPS common
+lists are missed for u > PREFIX - OVERLAPS = 17 only, as is the estimate of step 4: 7 pairs in 1,000,000 at the very limit.
 """
 
 from __future__ import annotations
@@ -29,10 +30,9 @@ from .graph import components
 from .text import mix, pieces, shingle_sets, word_hashes
 
 K = 32
-PREFIX = 12
+PREFIX = 20
 OVERLAPS = 3
 LONG_LIST = 40
-LONG_SHARE = 0.6
 #: five standard deviations of an estimate from K values at a similarity of 0.8
 MARGIN = 0.35
 #: document ids that may be broadcast to pick texts out of a scan (16 bytes each)
@@ -107,7 +107,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFram
             .select("a", "b", "known", (F.col("shared") / F.col("of")).alias("estimate")))
 
 
-def _lists(classes: DataFrame, long_list: int) -> DataFrame:
+def _lists(classes: DataFrame, threshold: int, long_list: int) -> DataFrame:
     """(v, n_list, id, n) of the lists each class enters."""
     values = classes.select("id", "n", F.explode("sketch").alias("v"))
     sizes = values.groupBy("v").agg(F.count(F.lit(1)).alias("n_list")).where("n_list > 1")
@@ -117,8 +117,9 @@ def _lists(classes: DataFrame, long_list: int) -> DataFrame:
         F.when(F.col("n_list") > long_list, F.col("n_list")).otherwise(0).alias("rank"), "v", "n_list"))).alias("held")))
     short = F.filter("held", lambda x: x["rank"] == 0)
     long_ = F.filter("held", lambda x: x["rank"] > 0)
-    mostly_long = F.size(long_) >= LONG_SHARE * F.least("n", F.lit(K))
-    entered = F.when(mostly_long, F.concat(short, F.slice(long_, 1, PREFIX))).otherwise(short)
+    before = F.least("n", F.lit(K)) - F.size(long_)
+    prefix = F.when(F.col("n") < K, F.floor(F.col("n") * (100 - threshold) / 100) + 1).otherwise(PREFIX)
+    entered = F.concat(short, F.slice(long_, F.lit(1), F.greatest(prefix - before, F.lit(0)).cast("int")))
     # a text that others were copied from holds more of what they share than any copy does
     central = F.struct(F.size("held").alias("many"), F.aggregate("held", F.lit(0).cast("long"), lambda total, x: total + x["n_list"]).alias("sum"))
     return (mine.select("id", "n", central.alias("central"), F.explode(entered).alias("x"))
@@ -159,7 +160,7 @@ def linked(docs: DataFrame, size: int = 2, threshold: int = 80, long_list: int =
     key = ["n", "sig_a", "sig_b"]
     classes = staged(sketched.where("n > 0 and doc_id is not null").groupBy(*key)
                      .agg(F.min("doc_id").alias("id"), F.first("sketch").alias("sketch")), "classes")
-    lists = staged(_lists(classes, long_list), "lists")
+    lists = staged(_lists(classes, threshold, long_list), "lists")
 
     def texts_of(ids: DataFrame) -> DataFrame:
         ids = staged(ids.distinct(), "involved")
