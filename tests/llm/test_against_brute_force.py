@@ -228,6 +228,15 @@ def test_held_out_accuracy(spark, module, label, limit, least):
     assert sum(right) / len(right) >= least
 
 
+def test_held_out_toxic_rows_are_found(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels.where(~in_fold_zero()))
+    rows = toxicity.score(docs, model).join(labels.where(in_fold_zero()), "doc_id").collect()
+    toxic, clean = ([r.score >= 0.5 for r in rows if r.toxic == y] for y in (1, 0))
+    assert sum(toxic) / len(toxic) >= 0.81 and sum(clean) / len(clean) <= 0.001
+
+
 def test_pipeline(spark, data):
     """Every stage against its plain version on what the stage before it kept."""
     docs = spark.read.parquet(f"{data}/documents.parquet")

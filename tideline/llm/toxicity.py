@@ -15,8 +15,8 @@ from .fit import SAMPLE, fitted, labelled
 from .text import BASE, mix, not_letters, pieces, word_hashes
 
 BITS = 20
-ALPHA, BETA, L1, L2 = 1.0, 1.0, 5.0, 0.1
-EPOCHS = 2
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 10.0, 0.1
+EPOCHS = 5
 
 
 def _ids(p) -> tuple[np.ndarray, np.ndarray]:
