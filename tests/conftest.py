@@ -4,7 +4,7 @@ from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+sys.path[:0] = [str(Path(__file__).resolve().parent.parent), str(Path(__file__).resolve().parent)]
 os.environ.setdefault("TIDELINE_DRIVER_MEMORY", "6g")
 
 from tideline.session import local_session  # noqa: E402
@@ -20,7 +20,3 @@ def spark():
 @pytest.fixture(scope="session")
 def data():
     return DATA
-
-
-def rows(df, *columns):
-    return sorted([tuple(r[c] for c in (columns or df.columns)) for r in df.collect()], key=repr)

@@ -5,7 +5,7 @@ import pytest
 import regex
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tideline.functions import jsons, multisets, scalars, udfs
 from tideline.operators import changelog, paths
 from tideline.operators.patterns import Measure, all_rows, match_rows

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tideline.operators.joins import interval_join
 from tideline.operators.ranking import ranks
 from tideline.operators.windows import sessions

@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tideline.operators import temporal
 from tideline.operators.incremental import incremental_window
 from tideline.reports.aggregates import path_inputs

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tideline.operators import joins, temporal, windows
 from tideline.operators.incremental import incremental_window
 
