@@ -73,7 +73,7 @@ def test_contained_text_of_common_passages(documents):
     for group in range(3):
         for turn in range(5000):
             base = [f"g{group}t{turn}b{i}" for i in range(300)]
-            longer = base + [f"g{group}t{turn}a{i}" for i in range(74)]
+            longer = base + [f"g{group}t{turn}a{i}" for i in range(corpus_pipeline.SHARDS)]
             p = next(pieces(pa.array([" ".join(base), " ".join(longer)]), lower=True))
             one, two = (s[:near_dedup.K] for s in shingle_sets(p, word_hashes(p), 2))
             if 13 <= len(np.setdiff1d(two, one)) <= 17:
@@ -268,6 +268,6 @@ def test_pipeline(spark, data):
             assert {i: sum(r.doc_id == i for r in rows) for i in kept} == expected
         else:
             assert len(rows) == len(before) and len({(r.shard, r.slot) for r in rows}) == len(rows)
-            counts = [sum(r.shard == s for r in rows) for s in range(74)]
+            counts = [sum(r.shard == s for r in rows) for s in range(corpus_pipeline.SHARDS)]
             assert max(counts) - min(counts) <= 1
         docs = spark.createDataFrame(rows, after.schema)
