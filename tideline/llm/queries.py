@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import Tables
 from . import (chat_format, decontamination, license_scan, mixing, near_dedup, quality_classifier, quality_rules, sharding,
-               toxicity, url_filter)
+               token_files, toxicity, url_filter)
 from .fit import in_fold_zero
 from .oracles import ORACLES  # noqa: F401
 
@@ -77,3 +77,8 @@ def op9(t: Tables) -> DataFrame:
 @query("op10_feistel_shards")
 def op10(t: Tables) -> DataFrame:
     return sharding.sharded(t.documents)
+
+
+@query("op13_token_planes")
+def op13(t: Tables) -> DataFrame:
+    return token_files.read_documents(token_files.write_tokens(t.documents))
