@@ -165,6 +165,26 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id AS id, list_inner_product(a.e, b.e)::bigint AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+         (row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id))::int AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10"""
+
 ORACLES = {
     "op1_host_quality_rules": HOST_QUALITY_RULES,
     "op2_url_language_ratio": _url_language_ratio(),
@@ -172,4 +192,5 @@ ORACLES = {
     "op6_license_scan": _license_scan(),
     "op8_bottom_k_near_duplicates": NEAR_DUPLICATES,
     "op9_chat_format": CHAT_FORMAT,
+    "op12_cover_tree_negatives": HARD_NEGATIVES,
 }

@@ -361,8 +361,8 @@ def read_documents(files: DataFrame) -> DataFrame:
                                                       pa.array(n, pa.int64()), pa.array(crc, pa.int64())],
                                                      names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    # files are few and heavy: dealt out by name, one after the other in a task
-    return files.repartition("name").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    # files are few and heavy: a given number of partitions, so that they are not joined into one again
+    return files.repartition(max(1, files.count()), "name").mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def read_ids(spark: SparkSession, files: DataFrame, start: int, stop: int) -> np.ndarray:
