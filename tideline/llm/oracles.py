@@ -165,6 +165,31 @@ SELECT conv_id, count(*) AS n_turns,
 FROM turns GROUP BY conv_id
 """
 
+PHRASES = rf"""
+WITH pieces AS (
+  SELECT row_number() OVER () AS piece, lang, regexp_extract_all(p, '[^\x20\x09]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER}, '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+grams AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (SELECT unnest([1, 2, 3, 4, 5]) AS k))),
+counted AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+totals AS (SELECT lang, sum(len(w))::bigint AS n FROM pieces GROUP BY lang),
+candidates AS (SELECT lang, k, phrase, f AS a, n, string_split(phrase, ' ') AS w FROM counted JOIN totals USING (lang) WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.k, c.phrase, a, n, cut, l.f AS l, r.f AS r, (1000::hugeint * a * n) // (l.f::hugeint * r.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+  JOIN counted l ON l.lang = c.lang AND l.k = cut AND l.phrase = array_to_string(w[1:cut], ' ')
+  JOIN counted r ON r.lang = c.lang AND r.k = c.k - cut AND r.phrase = array_to_string(w[cut + 1:], ' ')),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+longer AS (
+  SELECT DISTINCT i.lang, array_to_string(i.w[spot:spot + size - 1], ' ') AS phrase, i.a
+  FROM (SELECT *, unnest(range(1, k - size + 2)) AS spot FROM (SELECT *, unnest(range(2, k)) AS size FROM candidates WHERE k > 2)) i),
+dropped AS (SELECT lang, phrase, max(a) AS most FROM longer GROUP BY ALL),
+kept AS (SELECT s.* FROM scored s LEFT JOIN dropped d ON d.lang = s.lang AND d.phrase = s.phrase WHERE most IS NULL OR 100 * most < 100 * a)
+SELECT lang, rank, phrase, a, l, r, n, score::bigint AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+WHERE rank <= 2000"""
+
 HARD_NEGATIVES = """
 WITH v AS (
   SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
@@ -192,5 +217,6 @@ ORACLES = {
     "op6_license_scan": _license_scan(),
     "op8_bottom_k_near_duplicates": NEAR_DUPLICATES,
     "op9_chat_format": CHAT_FORMAT,
+    "op11_phrase_collocations": PHRASES,
     "op12_cover_tree_negatives": HARD_NEGATIVES,
 }

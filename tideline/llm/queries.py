@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import Tables
-from . import (chat_format, decontamination, hard_negatives, license_scan, mixing, near_dedup, quality_classifier, quality_rules, sharding,
+from . import (chat_format, collocations, decontamination, hard_negatives, license_scan, mixing, near_dedup, quality_classifier, quality_rules, sharding,
                token_files, toxicity, url_filter)
 from .fit import in_fold_zero
 from .oracles import ORACLES  # noqa: F401
@@ -79,6 +79,11 @@ def op10(t: Tables) -> DataFrame:
     return sharding.sharded(t.documents)
 
 
+@query("op11_phrase_collocations")
+def op11(t: Tables) -> DataFrame:
+    return collocations.mined(t.documents)
+
+
 @query("op12_cover_tree_negatives")
 def op12(t: Tables) -> DataFrame:
     return hard_negatives.hard_negatives(t.embeddings)
