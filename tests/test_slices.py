@@ -143,7 +143,7 @@ def test_trailing_range(table, limit, span):
     data, df = table
     known = [r for r in data if r[2] is not None]
     expected = [(r[0], sum(1 for o in known if o[1] == r[1] and r[2] - span <= o[2] <= r[2])) for r in known]
-    got = trailing_range(df.where("t IS NOT NULL"), ["k"], Order("t"), {"n": F.count(F.lit(1))}, span, rows_per_group=limit)
+    got = trailing_range(df.where("t IS NOT NULL"), ["k"], Order("t"), {"n": ("count", None)}, span, rows_per_group=limit)
     assert rows(got, "id", "n") == sorted(expected, key=repr)
 
 
@@ -170,3 +170,51 @@ def test_interval_join_left_keeps_lonely_rows(spark):
     assert rows(got, "id", "v") == sorted([(1, 1), (1, 2), (2, None), (3, None), (4, None)], key=repr)
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") == 1
+
+
+def frame_values():
+    return {"n": ("count", None), "known": ("count", F.col("v")), "s": ("sum", F.col("v")), "dec": ("sum", F.col("d")), "lo": ("min", F.col("v")),
+            "hi": ("max", F.col("x")), "mean": ("avg", F.col("v")), "word": ("max", F.col("w"))}
+
+
+@pytest.mark.parametrize("span", [0, 3, 25, 10_000])
+@pytest.mark.parametrize("descending", [False, True])
+def test_range_frames_over_many_blocks(spark, span, descending):
+    """Short and full spans, runs of peers longer than a block, NULL places and keys, keys that are not hot."""
+    rng = random.Random(span)
+    data = [(i, rng.choice([1] * 20 + [2, 3, None, None, None]), rng.choice([None, 7, 7, *range(0, 400, 3)]), rng.choice([None, *range(9)])) for i in range(700)]
+    df = (spark.createDataFrame(data, "id int, k int, t int, v int").withColumn("d", F.col("v").cast("decimal(18,2)"))
+          .withColumn("x", F.col("v") / 4).withColumn("w", F.concat(F.lit("w"), "v")))
+    order = Order("t", descending=descending)
+    plain = trailing_range(df, ["k"], order, frame_values(), span)
+    cut = trailing_range(df, ["k"], order, frame_values(), span, rows_per_group=40, block=8)
+    assert cut.dtypes == plain.dtypes and rows(cut) == rows(plain)
+    keyless = trailing_range(df, [], order, frame_values(), span, rows_per_group=40, block=8)
+    assert rows(keyless) == rows(trailing_range(df, [], order, frame_values(), span))
+
+
+def test_full_span_frame_copies_a_row_three_times(spark, monkeypatch):
+    """Whatever the span: itself, where its frame begins, and where it ends. Blocks between are read from few nodes."""
+    from tideline.plans import slices
+    written = {}
+
+    def counting(df, label, real=slices.staged):
+        out = real(df, label)
+        written[label] = out.count()
+        return out
+
+    monkeypatch.setattr(slices, "staged", counting)
+    df = spark.range(5000).select("id", F.lit(1).alias("k"), F.col("id").alias("t"))
+    got = trailing_range(df, ["k"], Order("t"), {"n": ("count", None), "lo": ("min", F.col("t"))}, 10**9, rows_per_group=200, block=16)
+    assert got.where("n <> t + 1 OR lo <> 0").count() == 0 and got.count() == 5000
+    assert written["frames"] == 3 * 5000
+
+
+def test_slices_do_not_gather_samples(spark):
+    """No array of cuts, and rows that are all alike still fill many slices."""
+    df = spark.range(4000).select(F.lit(1).alias("k"), F.lit(7).alias("t"), F.lit("x").alias("v"))
+    parts = split(df, ["k"], Order("t", ("v",)), 200)
+    sizes = [r["count"] for r in parts.df.groupBy("__slice").count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 600
+    plan = parts.df._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "Join" not in plan

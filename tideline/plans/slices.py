@@ -1,20 +1,22 @@
 """Ordered computations per key that stay parallel when one key holds most of the rows.
 
-A plain window puts all rows of a key into one task. Here groups larger than ``rows_per_group`` are cut
-along their order into slices of about equally many rows, and every computation runs in two levels:
+A plain window puts all rows of a key into one task. Here groups larger than ``rows_per_group`` are laid out by a range
+exchange over their keys and full order; a partition of it is a slice. Every computation then runs in two levels:
 
 1. inside (key, slice), with an ordinary window;
 2. over one summary row per (key, slice), which yields what each slice inherits from the others.
 
-Cuts come from one pass that samples the order values. A cut is a place in the full order: the order column,
-the columns that break its ties, and a random number for what those leave equal. Outliers, bursts, equal values
-and NULLs therefore cannot fill one slice. The rows are written once with their slice, so every use of a split
-sees the same rows in the same slices, also after a lost executor, and the input is not computed again. Tables without hot groups get the plain window plan; both plans give the same values, NULLs and types.
+Spark samples the borders of a range exchange itself, in a bounded sample, so neither cuts nor a search per row are
+needed. The full order is the order column, the columns that break its ties, and a random number for what those leave
+equal: outliers, bursts, equal values and NULLs cannot fill one slice. Groups that are not large stay whole. The rows
+are written once with their slice, so every use of a split sees the same rows in the same slices, also after a lost
+executor. Tables without hot groups get the plain window plan; both plans give the same values, NULLs and types.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -23,12 +25,13 @@ from .skew import ROWS_PER_GROUP, meets
 from .staging import staged
 
 SLICE = "__slice"
-CUTS = "__cuts"
-#: sampled rows per slice, and slices per rows_per_group
-PER_SLICE = 16
-FINE = 2
+#: sampled rows per rows_per_group when groups are measured, and slices per rows_per_group
+SAMPLED, FINE = 32, 2
 #: summary rows that may be broadcast: one per slice of a hot group
 BROADCAST_SLICES = 500_000
+#: rows of a block in which a RANGE frame is computed directly
+FRAME_BLOCK = 256
+IN_PARTITION = (1 << 33) - 1
 
 
 @dataclass(frozen=True)
@@ -71,12 +74,6 @@ class Order:
             raise TypeError(f"cannot sort {self.column} of type {kind.simpleString()} backwards in slices")
         return F.struct(F.col(self.column).isNull().alias("f"), col.alias("v"))
 
-    def place(self, df: DataFrame) -> Column:
-        """The row's place in the full order. The random number only parts rows that the order itself does not."""
-        known = [c for c in self.ties if c in df.columns]
-        return F.struct(self.main(df).alias("m"), F.struct(*[F.col(c) for c in known], F.lit(0).alias("z")).alias("t"),
-                        F.rand(11).alias("r"))
-
 
 @dataclass(frozen=True)
 class Running:
@@ -110,53 +107,72 @@ class Split:
         return base.orderBy(*self.order.columns()[:None if ties else 1])
 
 
-def _cuts(measured: DataFrame, keys: list[str], order: Order, rows_per_group: int) -> DataFrame:
-    """(keys, CUTS) of the groups large enough to be cut: every PER_SLICE-th of the sampled places, as blocks
-    of about equal length so that finding a slice costs two short searches."""
-    rate = min(1.0, FINE * PER_SLICE / rows_per_group)
-    sample = measured.select(*keys, order.place(measured).alias("__p")).where(F.rand(23) < rate)
-    every = max(1, round(PER_SLICE * min(1.0, rate * rows_per_group / (FINE * PER_SLICE))))
-    held = (sample.groupBy(*keys).agg(F.sort_array(F.collect_list("__p")).alias("__s"))
-            .where(F.size("__s") > rate * rows_per_group))
-    picked = F.filter("__s", lambda p, i: (i % every == 0) & (i > 0))
-    width = F.greatest(F.floor(F.sqrt(F.size("__c"))), F.lit(1)).cast("int")
-    return (held.select(*keys, picked.alias("__c")).where(F.size("__c") > 0)
-            .select(*keys, F.size("__c").alias("__many"), width.alias("__width"), "__c")
-            .select(*keys, "__many", "__width", F.transform(F.sequence(F.lit(0), F.floor((F.size("__c") - 1) / F.col("__width")).cast("int")),
-                    lambda b: F.slice("__c", b * F.col("__width") + 1, F.col("__width"))).alias(CUTS)))
+def _hot_groups(measured: DataFrame, keys: list[str], rows_per_group: int) -> DataFrame | None:
+    """The keys of groups above ``rows_per_group`` rows, as a sample tells, named ``__hot_key``; None where no group is.
+    Without keys the whole table is one group. There are at most as many as the table has multiples of the limit."""
+    rate = min(1.0, SAMPLED / rows_per_group)
+    if not keys:
+        return measured.sparkSession.range(1).select()
+    sample = measured.select(*keys).where(F.rand(23) < rate) if rate < 1 else measured.select(*keys)
+    hot = staged(sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > rate * rows_per_group)
+                 .select(*[F.col(k).alias(f"__hot_{k}") for k in keys]), "hot-groups")
+    return None if hot.isEmpty() else hot
+
+
+def _marked(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+    """``df`` with ``__is_hot``."""
+    if not keys:
+        return df.withColumn("__is_hot", F.lit(True))
+    named = broadcast_if_small(hot.withColumn("__is_hot", F.lit(True)), 8 << 20)
+    return (df.join(named, meets(keys, "__hot_"), "left").drop(*[f"__hot_{k}" for k in keys])
+            .withColumn("__is_hot", F.coalesce("__is_hot", F.lit(False))))
+
+
+def slice_count(df: DataFrame, rows: int, rows_per_group: int) -> int:
+    """Slices for so many rows. A limit below the default one cuts finer only as far as that gives tasks to cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    wanted = -(-FINE * rows // rows_per_group)
+    return max(2, min(wanted, max(4 * cores, -(-FINE * rows // ROWS_PER_GROUP))))
+
+
+def _with_places(laid: DataFrame, name: str) -> DataFrame:
+    """Number the rows of a layout along its order, from 0: the place in the partition and one offset per partition."""
+    total, offsets = 0, []
+    # as many rows as there are slices
+    for row in sorted(laid.groupBy(SLICE).agg(F.count(F.lit(1)).alias("n")).collect()):
+        offsets.append((row[SLICE], total))
+        total += row["n"]
+    before = laid.sparkSession.createDataFrame(offsets, "__of long, __before long")
+    return (laid.join(F.broadcast(before), F.col(SLICE) == F.col("__of"))
+            .withColumn(name, F.col("__before") + F.col("__in_slice").bitwiseAND(IN_PARTITION)).drop("__of", "__before"))
 
 
 def split(df: DataFrame, keys: list[str], order: Order, rows_per_group: int = ROWS_PER_GROUP,
-          sizes_from: DataFrame | None = None, whole_peers: bool = False) -> Split:
-    """Measure the groups and cut the hot ones. A table no larger than one group needs one count
+          sizes_from: DataFrame | None = None) -> Split:
+    """Measure the groups and slice the hot ones. A table no larger than one group needs one count
     (answered from file footers where possible) and nothing else.
 
-    ``sizes_from`` is a cheaper frame with the key and order columns of about the same rows, such as
-    the table ``df`` was joined from. It only decides where cuts lie; any cut gives the same result.
-    ``whole_peers`` keeps rows of one order value in one slice.
+    ``sizes_from`` is a cheaper frame with the key columns of about the same rows, such as the table ``df`` was
+    joined from. It only decides what is sliced; any slicing gives the same result.
     """
     keys = list(keys)
     measured = df if sizes_from is None else sizes_from
-    if measured.count() <= rows_per_group:
-        return Split(df, tuple(keys), order, 0)
-    known = [c for c in order.ties if c in measured.columns]
-    if known != list(order.ties):  # places must compare the same columns
-        measured = measured.select("*", *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in order.ties if c not in known])
-    cuts = staged(_cuts(measured, keys, order, rows_per_group), "cuts")
-    slices = cuts.agg(F.sum(F.col("__many") + 1)).first()[0]
-    if not slices:
+    rows = measured.count()
+    hot = _hot_groups(measured, keys, rows_per_group) if rows > rows_per_group else None
+    if hot is None:
         return Split(df, tuple(keys), order, 0)
-    hot = cuts.select(*[F.col(k).alias(f"__hot_{k}") for k in keys], "__width", CUTS)
-    placed = df.withColumn("__place", order.place(df))
-    # one row per hot group, with all its cuts
-    marked = placed.join(broadcast_if_small(hot, 8 << 20), meets(keys, "__hot_") if keys else F.lit(True), "left")
-    reached = lambda c: c["m"] <= F.col("__place.m") if whole_peers else c <= F.col("__place")
-    block = F.size(F.filter(F.transform(CUTS, lambda b: b[0]), reached))
-    within = F.size(F.filter(F.get(CUTS, block - 1), reached))
-    number = F.when(F.col(CUTS).isNull() | (block == 0), 0).otherwise((block - 1) * F.col("__width") + within)
-    cut = staged(marked.withColumn(SLICE, number.cast("long")).withColumn("__is_hot", F.col(CUTS).isNotNull())
-                 .drop("__place", CUTS, "__width", *[f"__hot_{k}" for k in keys]), "slices")
-    return Split(cut, tuple(keys), order, int(slices))
+    many = slice_count(df, rows, rows_per_group)
+    is_hot = F.col("__is_hot")
+    turned = (lambda c: c.desc()) if order.descending else (lambda c: c.asc())
+    along = [F.when(is_hot, F.col(k)).asc() for k in keys]
+    # groups that are not hot have one place, so none of them is parted
+    along += [F.when(~is_hot, F.xxhash64(*keys)).asc()] if keys else []
+    along += [turned(F.when(is_hot, F.col(order.column))), *[F.when(is_hot, F.col(c)).asc() for c in order.ties if c in df.columns]]
+    spread = _marked(df, keys, hot).withColumn("__r", F.when(is_hot, F.rand(11)))
+    by = [is_hot.asc(), *along, F.col("__r").asc()]
+    cut = (spread.repartitionByRange(many, *by).sortWithinPartitions(*by).drop("__r")
+           .withColumn(SLICE, F.spark_partition_id().cast("long")).withColumn("__in_slice", F.monotonically_increasing_id()))
+    return Split(staged(cut, "slices"), tuple(keys), order, many)
 
 
 def _local(spec: Running, parts: Split) -> Column:
@@ -237,26 +253,23 @@ def running(df: DataFrame, keys: list[str], order: Order, specs: list[Running],
         return df.select("*", *[_local(s, parts).alias(s.name) for s in specs])
     keys = list(parts.keys)
     peers = any(s.kind in PEERS for s in specs)
-    main = order.main(parts.df)
-    detail = parts.df.select("*", *[_local(s, parts).alias(f"__l_{s.name}") for s in specs], *([main.alias("__main")] if peers else []))
-    hot = parts.df.where("__is_hot")
+    local = {f"__l_{s.name}": _local(s, parts) for s in specs}
+    if peers:
+        local |= {f"__q_{kind}": _local(Running("", kind), parts) for kind in PEERS}
+        local["__main"] = order.main(parts.df)
+    detail = parts.df.select("*", *[c.alias(n) for n, c in local.items()])
     sums = [_summary(s, order).alias(f"__s_{s.name}") for s in specs if s.kind not in PEERS]
     across = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     before = across.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     if peers:
-        # first by value, so that runs of equal values are counted before anything else
-        values = hot.groupBy(*parts.group(), main.alias("__main")).agg(F.count(F.lit(1)).alias("__n"))
-        runs = values.groupBy(*parts.group()).agg(
-            F.sum("__n").alias("__n"), F.count(F.lit(1)).alias("__d"), F.min("__main").alias("__lo"), F.max("__main").alias("__hi"),
-            F.min_by("__n", "__main").alias("__n_lo"), F.max_by("__n", "__main").alias("__n_hi"))
-        summary = runs
-        if sums:
-            other = hot.groupBy(*parts.group()).agg(*sums)
-            named = other.select(*[F.col(k).alias(f"__o_{k}") for k in parts.group()], *[F.col(f"__s_{s.name}") for s in specs if s.kind not in PEERS])
-            summary = runs.join(named, meets(parts.group(), "__o_")).drop(*[f"__o_{k}" for k in parts.group()])
+        # the windows already know the first and the last run of equal values of a slice
+        n = F.count(F.lit(1))
+        summary = detail.where("__is_hot").groupBy(*parts.group()).agg(
+            n.alias("__n"), F.max("__q_dense_rank").alias("__d"), F.min("__main").alias("__lo"), F.max("__main").alias("__hi"),
+            F.min("__q_upto").alias("__n_lo"), (n - F.max("__q_rank") + 1).alias("__n_hi"), *sums)
         summary = _peers(summary, across, before)
     else:
-        summary = hot.groupBy(*parts.group()).agg(*sums)
+        summary = parts.df.where("__is_hot").groupBy(*parts.group()).agg(*sums)
     carried = summary.select(*[F.col(k).alias(f"__k_{k}") for k in parts.group()],
                              *[_inherited(s, across, before).alias(f"__p_{s.name}") for s in specs if s.kind not in PEERS],
                              *(["__lo", "__hi", "__before", "__head", "__fewer", "__tail"] if peers else []))
@@ -292,17 +305,17 @@ def running(df: DataFrame, keys: list[str], order: Order, specs: list[Running],
 
 def _blocks(df: DataFrame, keys: list[str], order: Order, back: int, ahead: int, rows_per_group: int,
             sizes_from: DataFrame | None) -> tuple[DataFrame, list[str]] | None:
-    """Rows numbered per key and laid out in blocks of equally many rows. Rows within ``back`` before or ``ahead``
-    after another block are lent to it as well, so a window inside a block sees every row it needs."""
+    """Rows of hot groups laid out in blocks of equally many rows, by their places in the layout. Rows within ``back``
+    before or ``ahead`` after another block are lent to it as well, so a window inside a block sees every row it needs."""
     parts = split(df, keys, order, rows_per_group, sizes_from=sizes_from)
     if not parts.sliced:
         return None
     size = max(rows_per_group, back, ahead, 1)
-    numbered = running(df, keys, order, [Running("__rn", "count")], parts=parts)
-    home = F.floor((F.col("__rn") - 1) / size)
-    first, last = F.floor((F.col("__rn") - 1 - ahead) / size), F.floor((F.col("__rn") - 1 + back) / size)
-    lent = (numbered.withColumn("__home", home)
-            .withColumn("__block", F.explode(F.sequence(F.greatest(first, F.lit(0)), last))))
+    placed = _with_places(parts.df, "__rn")
+    home = F.when(F.col("__is_hot"), F.floor(F.col("__rn") / size)).otherwise(-1)
+    first, last = F.floor((F.col("__rn") - ahead) / size), F.floor((F.col("__rn") + back) / size)
+    lent = (placed.withColumn("__home", home)
+            .withColumn("__block", F.explode(F.when(F.col("__is_hot"), F.sequence(F.greatest(first, F.lit(0)), last)).otherwise(F.array("__home")))))
     return lent, [*keys, "__block"]
 
 
@@ -318,7 +331,7 @@ def shifted(df: DataFrame, keys: list[str], order: Order, values: dict[str, tupl
     if blocks is None:
         return df.select("*", *shift(Split(df, tuple(keys), order, 0).window()))
     lent, parts = blocks
-    w = Window.partitionBy(*parts).orderBy("__rn")
+    w = Window.partitionBy(*parts).orderBy(*order.columns(), "__rn")
     return lent.select("*", *shift(w)).where("__block = __home").select(*df.columns, *values)
 
 
@@ -331,30 +344,96 @@ def trailing_sums(df: DataFrame, keys: list[str], order: Order, sums: dict[str,
     if blocks is None:
         return df.select("*", *framed(Split(df, tuple(keys), order, 0).window().rowsBetween(-rows, 0)))
     lent, parts = blocks
-    w = Window.partitionBy(*parts).orderBy("__rn").rowsBetween(-rows, 0)
+    w = Window.partitionBy(*parts).orderBy(*order.columns(), "__rn").rowsBetween(-rows, 0)
     return lent.select("*", *framed(w)).where("__block = __home").select(*df.columns, *sums, "__frame_rows")
 
 
-def trailing_range(df: DataFrame, keys: list[str], order: Order, aggs: dict[str, Column], span: float,
-                   rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
-    """Aggregates over the rows at most ``span`` (microseconds for times) before the current row and
-    up to its peers: a RANGE frame. In a hot group each row is also lent to the later slices whose
-    frames reach back to it, and dropped there after the window. Peers stay in one slice here."""
-    parts = split(df, keys, order, rows_per_group, whole_peers=True)
-    pos = order.position(df)
-    if not parts.sliced:
-        base = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-        w = base.orderBy(pos).rangeBetween(-span, 0)
-        return df.select("*", *[a.over(w).alias(n) for n, a in aggs.items()])
-    starts = (parts.df.where("__is_hot").groupBy(*keys, SLICE).agg(F.min(pos).alias("__lo")).groupBy(*keys)
-              .agg(F.collect_list(F.struct("__lo", SLICE)).alias("__starts")))
-    named = starts.select(*[F.col(k).alias(f"__o_{k}") for k in keys], "__starts")
-    named = F.broadcast(named) if parts.slices <= BROADCAST_SLICES else named
-    held = parts.df.join(named, meets(keys, "__o_") if keys else F.lit(True), "left").withColumn("__pos", pos)
-    reach = F.array_max(F.transform(F.filter("__starts", lambda s: s["__lo"] <= F.col("__pos") + span), lambda s: s[SLICE]))
-    lent = (held.withColumn("__home", F.col(SLICE))
-            .withColumn(SLICE, F.explode(F.sequence(F.col("__home"), F.greatest(F.coalesce(reach, F.col("__home")), F.col("__home")))))
-            .drop("__starts", *[f"__o_{k}" for k in keys]))
-    w = Window.partitionBy(*parts.group()).orderBy("__pos").rangeBetween(-span, 0)
-    framed = lent.select("*", *[a.over(w).alias(n) for n, a in aggs.items()])
-    return framed.where(F.col(SLICE) == F.col("__home")).select(*df.columns, *aggs)
+#: what a RANGE frame can compute, as the parts that are kept of it
+FRAME_PARTS = {"count": ("count",), "sum": ("sum",), "min": ("min",), "max": ("max",), "avg": ("sum", "count")}
+
+
+def _whole(kind: str, expr: Column | None) -> Column:
+    if kind == "count":
+        return F.count(F.lit(1) if expr is None else expr)
+    return {"sum": F.sum, "min": F.min, "max": F.max, "avg": F.avg}[kind](expr)
+
+
+def _joined(kind: str, *parts: Column) -> Column:
+    """Partial results of parts of a frame, NULL where a part has none, as one."""
+    if kind in ("min", "max"):
+        return (F.least if kind == "min" else F.greatest)(*parts)
+    total = reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(0)) for p in parts])
+    return total if kind == "count" else F.when(F.coalesce(*parts).isNotNull(), total)
+
+
+def trailing_range(df: DataFrame, keys: list[str], order: Order, aggs: dict[str, tuple[str, Column | None]], span: float,
+                   rows_per_group: int = ROWS_PER_GROUP, block: int = FRAME_BLOCK) -> DataFrame:
+    """Aggregates over the rows at most ``span`` (microseconds for times) before the current row and up to its peers: a RANGE
+    frame. ``aggs`` maps a name to (kind, expression); kinds are count, sum, min, max and avg.
+
+    In hot groups a row is laid out three times, whatever the span: as itself, as a mark where its frame begins and as
+    a mark where it ends. The layout is cut into blocks of ``block`` places. A frame within one block is computed there;
+    any other is the rest of the block it begins in, the beginning of the block it ends in, and whole blocks between,
+    which a tree of pairwise sums over the blocks supplies from a handful of its nodes. Parts are only ever added or
+    compared, never subtracted, so floating values lose nothing. Equal order values may fill any number of blocks."""
+    position = order.position(df)
+    framed = lambda w: [_whole(kind, e).over(w).alias(n) for n, (kind, e) in aggs.items()]
+    base = lambda *parts: Window.partitionBy(*parts) if parts else Window.partitionBy(F.lit(0))
+    plain = df.select("*", *framed(base(*keys).orderBy(position).rangeBetween(-span, 0)))
+    rows = df.count()
+    hot = _hot_groups(df, keys, rows_per_group) if rows > rows_per_group else None
+    if hot is None:
+        return plain
+    marked = staged(_marked(df, keys, hot).withColumn("__id", F.monotonically_increasing_id()), "framed")
+    cold = marked.where(~F.col("__is_hot")).select(*df.columns)
+    cold = cold.select("*", *framed(base(*keys).orderBy(position).rangeBetween(-span, 0)))
+
+    large = marked.where("__is_hot").withColumn("__pos", position)
+    parts = {f"__{n}_{p}": (p, e) for n, (kind, e) in aggs.items() for p in FRAME_PARTS[kind]}
+    values = [(F.lit(1) if e is None else F.when(e.isNotNull(), 1) if p == "count" else e).alias(n) for n, (p, e) in parts.items()]
+    nothing = [F.lit(None).alias(n) for n in parts]
+    row = F.struct(*[F.col(c) for c in df.columns])
+    rows_, begins, ends = (large.select(*keys, place.alias("__pos"), F.lit(side).alias("__side"), number.alias("__id"), payload.alias("__row"), *held)
+                           for side, place, number, payload, held in (
+        (1, F.col("__pos"), F.lit(None).cast("long"), F.lit(None), values),
+        (0, F.col("__pos") - span, F.col("__id"), F.lit(None), nothing),
+        (2, F.col("__pos"), F.col("__id"), row, nothing)))
+    line = rows_.unionByName(begins).unionByName(ends).withColumn("__r", F.rand(11))
+    by = [*keys, "__pos", "__side", "__r"]
+    laid = staged(line.repartitionByRange(slice_count(df, 3 * rows, rows_per_group), *by).sortWithinPartitions(*by).drop("__r")
+                  .withColumn(SLICE, F.spark_partition_id().cast("long")).withColumn("__in_slice", F.monotonically_increasing_id()), "frames")
+    placed = _with_places(laid, "__g").withColumn("__block", F.floor(F.col("__g") / block))
+    merge = lambda n: {"count": F.sum, "sum": F.sum, "min": F.min, "max": F.max}[parts[n][0]](n)
+    in_block = base(*keys, "__block")
+    to_end = in_block.orderBy(F.col("__pos").desc(), F.col("__side").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    # at the mark of an end: the whole frame if it lies in this block, else all of the block before the mark
+    here = in_block.orderBy("__pos").rangeBetween(-span, 0)
+    first = placed.select(*keys, "__pos", "__side", "__id", "__block", *[merge(n).over(to_end).alias(n) for n in parts]).where("__side = 0")
+    last = placed.select(*keys, "__pos", "__side", "__id", "__row", "__block", *[merge(n).over(here).alias(n) for n in parts]).where("__side = 2")
+    frames = last.select(*keys, "__id", "__row", F.col("__block").alias("__to"), *[F.col(n).alias(f"{n}_last") for n in parts]).join(
+        first.select("__id", F.col("__block").alias("__from"), *[F.col(n).alias(f"{n}_first") for n in parts]), "__id")
+
+    # whole blocks: sums of 2, 4, 8 ... neighbouring ones, and of those the few nodes that make up a stretch
+    blocks = placed.where("__side = 1").groupBy(*keys, "__block").agg(*[merge(n).alias(n) for n in parts])
+    top = max(1, (-(-3 * rows // block)).bit_length())
+    level = F.explode(F.sequence(F.lit(0), F.lit(top))).alias("__level")
+    nodes = (blocks.select("*", level).groupBy(*keys, "__level", F.expr("shiftright(__block, __level)").alias("__node"))
+             .agg(*[merge(n).alias(n) for n in parts]))
+    spans = frames.where("__to - __from > 1").select(*keys, "__from", "__to").distinct()
+    low, high = F.expr("shiftright(__from + shiftleft(1L, __level), __level)"), F.expr("shiftright(__to, __level)")
+    wanted = (spans.select("*", level).withColumn("__low", low).withColumn("__high", high).where("__low < __high")
+              .select(*[F.col(k).alias(f"__s_{k}") for k in keys], "__from", "__to", F.col("__level").alias("__at_level"), F.explode(F.array_compact(F.array(
+                  F.when(F.col("__low") % 2 == 1, F.col("__low")), F.when(F.col("__high") % 2 == 1, F.col("__high") - 1)))).alias("__wanted")))
+    same = (F.col("__level") == F.col("__at_level")) & (F.col("__node") == F.col("__wanted"))
+    between = (wanted.join(nodes, meets(keys, "__s_", same) if keys else same)
+               .groupBy(*[f"__s_{k}" for k in keys], F.col("__from").alias("__s_from"), F.col("__to").alias("__s_to")).agg(*[merge(n).alias(n) for n in parts]))
+    same = (F.col("__from") == F.col("__s_from")) & (F.col("__to") == F.col("__s_to"))
+    whole = frames.join(between, meets(keys, "__s_", same) if keys else same, "left")
+
+    def result(name: str, kind: str) -> Column:
+        got = {p: F.when(F.col("__from") == F.col("__to"), _joined(p, *[F.col(f"__{name}_{p}_last")] * (2 if p in ("min", "max") else 1))).otherwise(
+            _joined(p, F.col(f"__{name}_{p}_first"), F.col(f"__{name}_{p}"), F.col(f"__{name}_{p}_last"))) for p in FRAME_PARTS[kind]}
+        return F.try_divide(got["sum"], got["count"]) if kind == "avg" else got[kind]
+
+    out = whole.select("__row.*", *[result(n, kind).cast(plain.schema[n].dataType).alias(n) for n, (kind, _) in aggs.items()])
+    return cold.unionByName(out)

@@ -24,7 +24,7 @@ FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL
 
 def range_report(t, **limits):
     got = trailing_range(t.events.select("event_id", "user_id", "ts", "value"), ["user_id"], Order("ts"), {
-        "n": F.count(F.lit(1)), "total": F.sum(cents("value")), "top": F.max("value")},
+        "n": ("count", None), "total": ("sum", cents("value")), "top": ("max", F.col("value"))},
         micros("1 day"), **limits)
     return got.select("event_id", "n", (F.col("total") / 100).alias("total"), "top")
 
