@@ -3,6 +3,10 @@
 Two cuts make the work parallel inside a key. Rows that meet no symbol's condition end every match, so
 they split the key into parts. And every match must fit into ``within``: time is cut into cells, each
 cell also sees the following ``within`` of rows, and a start row is tried in its own cell only.
+
+Matches are first found as places only: where they start, end and let matching resume. Inside a cell only starts are
+tried that some match before them can lead to. Of matches that overlap, those that stay are found by linking each to the
+first start after it and doubling the links. Row ids, classifiers and measures are computed for these alone.
 """
 
 from __future__ import annotations
@@ -16,8 +20,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..plans.durations import at, micros
-from ..plans.skew import ROWS_PER_GROUP
-from ..plans.slices import Order, Running, running, shifted
+from ..plans.sizes import broadcast_if_small
+from ..plans.skew import ROWS_PER_GROUP, hot_keys, meets
+from ..plans.slices import Order, Running, running, shifted, with_row_numbers
 from ..plans.staging import staged
 
 #: a row's symbols are the bits of one long
@@ -55,12 +60,16 @@ def _compile(pattern: str, symbols: list[str], sets: tuple[int, ...] = ()):
     return regex.compile("".join(out), flags=regex.V1)
 
 
+PLACES = ["__start", "__start_id", "__end", "__end_id", "__resume", "__resume_id"]
+
+
 def _finder(pattern: str, symbols: list[str], keys: list[str], measures: dict[str, Measure], within: int,
-            resume_symbol: str | None, resume_last: bool):
+            resume_symbol: str | None, resume_last: bool, chosen: bool):
     """Matcher over Arrow batches sorted by (keys, part, cell, time): whole groups are matched together, the
-    last, perhaps unfinished group of a batch waits for the next one."""
-    names = ["__start", "__start_id", "__end", "__end_id", "n_rows", "__resume", "__resume_id", "row_ids", "classifiers", *measures]
-    kinds = [*[pa.int64()] * 4, pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string()), *[pa.float64()] * len(measures)]
+    last, perhaps unfinished group of a batch waits for the next one. With ``chosen`` the starts marked so are matched
+    and described; otherwise places are found, and only of starts that can be reached."""
+    names = [*PLACES, *(["n_rows", "row_ids", "classifiers", *measures] if chosen else [])]
+    kinds = [pa.int64()] * len(PLACES) + ([pa.int32(), pa.list_(pa.int64()), pa.list_(pa.string()), *[pa.float64()] * len(measures)] if chosen else [])
     programs: dict[tuple, object] = {}
 
     def group_numbers(rows: pa.Table) -> np.ndarray:
@@ -91,26 +100,50 @@ def _finder(pattern: str, symbols: list[str], keys: list[str], measures: dict[st
         if known not in programs:
             programs[known] = _compile(pattern, symbols, known)
         compiled = programs[known]
-        values = {m.column: column(f"__m_{m.column}") for m in measures.values() if m.column}
+        values = {m.column: column(f"__m_{m.column}") for m in measures.values() if m.column} if chosen else {}
         out, starts = [], []
-        for i in np.flatnonzero(column("__own")).tolist():
+        own = column("__own")
+
+        def tried(i: int) -> int | None:
+            """Match at row i; the row at which matching resumes, or None."""
             m = compiled.match(text, i, int(ends[i]))
             if not m or m.end() == i:
-                continue
-            spots = {s: [p for p, _ in m.spans(s)] for s in symbols if s in compiled.groupindex}
-            label = {p: s for s, where in spots.items() for p in where}
-            last = m.end() - 1
-            resume = None
+                return None
+            last, resume = m.end() - 1, None
+            spots = None
+            if resume_symbol or chosen:
+                spots = {s: [p for p, _ in m.spans(s)] for s in symbols if s in compiled.groupindex}
             if resume_symbol and spots.get(resume_symbol):
                 resume = spots[resume_symbol][-1 if resume_last else 0]
-            row = [at_us[i], ids[i], at_us[last], ids[last], m.end() - i,
-                   None if resume is None else at_us[resume], None if resume is None else ids[resume],
-                   ids[i:m.end()], [label[p] for p in range(i, m.end())]]
-            for spec in measures.values():
-                picked = spots.get(spec.symbol, []) if spec.symbol else list(range(i, m.end()))
-                row.append(_measure(spec, values, picked))
+            row = [at_us[i], ids[i], at_us[last], ids[last], None if resume is None else at_us[resume], None if resume is None else ids[resume]]
+            if chosen:
+                label = {p: s for s, where in spots.items() for p in where}
+                row += [m.end() - i, ids[i:m.end()], [label[p] for p in range(i, m.end())]]
+                for spec in measures.values():
+                    picked = spots.get(spec.symbol, []) if spec.symbol else list(range(i, m.end()))
+                    row.append(_measure(spec, values, picked))
             starts.append(i)
             out.append(row)
+            return resume if resume is not None and resume > i else m.end()
+
+        if chosen:
+            for i in np.flatnonzero(own & column("__chosen")).tolist():
+                tried(i)
+        else:
+            # a match of an earlier cell can end, and so lead on, up to one row beyond ``within`` of this cell; where the part begins
+            # in this cell there is none, and its first row alone leads to all others
+            entry = own & (column("__inherits") & (at_us <= column("__cell_lo") + within))
+            beyond = own & ~entry
+            follows = np.r_[True, entry[:-1] | ~own[:-1] | (groups[1:] != groups[:-1])]
+            entry |= beyond & follows
+            stops = np.append(first[1:], rows.num_rows)[groups - groups[0]]
+            seen = np.zeros(rows.num_rows, bool)
+            for i in np.flatnonzero(entry).tolist():
+                stop = stops[i]
+                while i < stop and own[i] and not seen[i]:
+                    seen[i] = True
+                    led = tried(i)
+                    i = i + 1 if led is None else led
         held = rows.select(keys).take(pa.array(starts, pa.int64())).combine_chunks()
         columns = list(zip(*out)) if out else [()] * len(names)
         return pa.RecordBatch.from_arrays(
@@ -179,38 +212,93 @@ def match_rows(df: DataFrame, keys: list[str], time: str, row_id: str, pattern:
                          bits.alias("__set"), *[F.col(c).cast("double").alias(f"__m_{c}") for c in needed])
     # a row no symbol takes ends every match before it: such rows cut their key into parts and go
     breaks = F.when(F.col("__set") == 0, 1).otherwise(0)
-    placed = running(placed, keys, Order("__at", ("__id",)), [Running("__part", "sum", breaks)], rows_per_group,
-                     sizes_from=df.select(*keys, at(time).alias("__at"))).where("__set <> 0")
+    placed = running(placed, keys, Order("__at", ("__id",)), [
+        Running("__part", "sum", breaks), Running("__broken", "max", F.when(F.col("__set") == 0, F.col("__at"))), Running("__opened", "min", F.col("__at"))],
+        rows_per_group, sizes_from=df.select(*keys, at(time).alias("__at"))).where("__set <> 0")
+    placed = staged(placed, "pattern-rows")
     own = F.floor(F.col("__at") / width)
     lent = F.floor((F.col("__at") - within_us) / width)
-    spread = (placed.withColumn("__home", own)
-              .withColumn("__cell", F.explode(F.array_distinct(F.array(own, F.greatest(lent, own - 1)))))
-              .withColumn("__own", F.col("__cell") == F.col("__home")))
-    kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
-    schema = (f"{kinds}, __start BIGINT, __start_id BIGINT, __end BIGINT, __end_id BIGINT, n_rows INT, __resume BIGINT, "
-              "__resume_id BIGINT, row_ids ARRAY<BIGINT>, classifiers ARRAY<STRING>"
-              + "".join(f", `{m}` DOUBLE" for m in measures))
-    find = _finder(pattern, symbols, keys, measures, within_us, target, words[1] == "last")
-    chunk = [*keys, "__part", "__cell"]
-    found = (spread.repartition(*chunk).sortWithinPartitions(*chunk, "__at", "__id")
-             .mapInArrow(find, schema))
-    found = staged(found, "matches")
-    kept = found if skip == "to next row" else _without_overlaps(found, keys, rows_per_group)
-    numbered = running(kept, keys, Order("__start", ("__start_id",)), [Running("match_number", "count")], rows_per_group,
-                       sizes_from=found)
+    # whether an earlier cell may hold rows of the same part
+    inherits = F.coalesce("__broken", F.col("__opened")) < F.col("__cell_lo")
+
+    def cells(rows: DataFrame) -> DataFrame:
+        spread = (rows.withColumn("__home", own)
+                  .withColumn("__cell", F.explode(F.array_distinct(F.array(own, F.greatest(lent, own - 1)))))
+                  .withColumn("__own", F.col("__cell") == F.col("__home")).withColumn("__cell_lo", F.col("__cell") * width)
+                  .withColumn("__inherits", inherits).drop("__broken", "__opened", "__home"))
+        chunk = [*keys, "__part", "__cell"]
+        return spread.repartition(*chunk).sortWithinPartitions(*chunk, "__at", "__id")
+
+    kinds = "".join(f"`{k}` {df.schema[k].dataType.simpleString()}, " for k in keys)
+    places = kinds + ", ".join(f"{c} BIGINT" for c in PLACES)
+    described = places + ", n_rows INT, row_ids ARRAY<BIGINT>, classifiers ARRAY<STRING>" + "".join(f", `{m}` DOUBLE" for m in measures)
+    finder = lambda chosen: _finder(pattern, symbols, keys, measures, within_us, target, words[1] == "last", chosen)
+    if skip == "to next row":
+        kept = staged(cells(placed.withColumn("__chosen", F.lit(True))).mapInArrow(finder(True), described), "matches")
+    else:
+        found = staged(cells(placed.drop(*[f"__m_{c}" for c in needed])).mapInArrow(finder(False), places), "places")
+        starts = _without_overlaps(found, keys, rows_per_group).select(
+            *[F.col(k).alias(f"__k_{k}") for k in keys], "__start", "__start_id", F.lit(True).alias("__chosen")).distinct()
+        here = (F.col("__at") == F.col("__start")) & (F.col("__id") == F.col("__start_id"))
+        marked = (placed.join(starts, meets(keys, "__k_", here) if keys else here, "left").drop("__start", "__start_id", *[f"__k_{k}" for k in keys])
+                  .withColumn("__chosen", F.coalesce("__chosen", F.lit(False))))
+        kept = staged(cells(marked).mapInArrow(finder(True), described), "matches")
+    numbered = running(kept, keys, Order("__start", ("__start_id",)), [Running("match_number", "count")], rows_per_group)
     return numbered.select(*keys, "match_number", F.col("__start_id").alias("start_id"), F.col("__end_id").alias("end_id"),
                            "n_rows", "row_ids", "classifiers", *measures)
 
 
 def _without_overlaps(found: DataFrame, keys: list[str], rows_per_group: int) -> DataFrame:
-    """Keep a match if it starts where the last kept one lets matching resume. Matches that touch no
-    other are told apart first; each clump of overlapping ones is read in order with constant memory."""
+    """Keep a match if it starts where the last kept one lets matching resume. Matches that touch no other are told
+    apart first. Clumps of overlapping ones are read in order; one above ``rows_per_group`` matches is linked instead."""
     end = F.struct("__end", "__end_id")
     reach = running(found, keys, Order("__start", ("__start_id",)), [
         Running("__reach", "max", end, exclusive=True)], rows_per_group)
     opens = F.when(F.coalesce(F.struct("__start", "__start_id") > F.col("__reach"), F.lit(True)), 1).otherwise(0)
     clumps = running(reach.withColumn("__opens", opens), keys, Order("__start", ("__start_id",)), [
         Running("__clump", "sum", F.col("__opens"))], rows_per_group, sizes_from=found).drop("__reach", "__opens")
+    if found.count() <= rows_per_group:
+        return _read_in_order(clumps, keys)
+    clumps = staged(clumps, "clumps")
+    large = hot_keys(clumps, [*keys, "__clump"], rows_per_group).select(*[F.col(k).alias(f"__h_{k}") for k in [*keys, "__clump"]])
+    large = staged(large, "large-clumps")
+    if large.isEmpty():
+        return _read_in_order(clumps, keys)
+    # at most as many as the matches have multiples of the limit
+    among = broadcast_if_small(large)
+    on = meets([*keys, "__clump"], "__h_")
+    return _read_in_order(clumps.join(among, on, "left_anti"), keys).unionByName(_linked(clumps.join(among, on, "left_semi"), keys, rows_per_group))
+
+
+def _linked(clumps: DataFrame, keys: list[str], rows_per_group: int) -> DataFrame:
+    """Pointer jumping: every match points to the first start after it; links are doubled while the matches reached from
+    the first one of each clump are gathered. The rounds are the logarithm of the most matches kept of a clump."""
+    clump = [*keys, "__clump"]
+    rows = staged(with_row_numbers(clumps, [*clump, "__start", "__start_id"], "__no", rows_per_group), "numbered")
+    jumps = F.coalesce(F.struct(F.col("__resume").alias("a"), F.col("__resume_id").alias("b")) > F.struct(F.col("__start").alias("a"), F.col("__start_id").alias("b")), F.lit(False))
+    spots = rows.select(*clump, F.col("__start").alias("__p"), F.col("__start_id").alias("__pid"), F.lit(1).alias("__side"), F.col("__no").alias("__spot"),
+                        F.lit(None).cast("long").alias("__from"))
+    # where a match lets matching resume: at its resume row itself, or after its end
+    frees = rows.select(*clump, F.when(jumps, F.col("__resume")).otherwise(F.col("__end")).alias("__p"), F.when(jumps, F.col("__resume_id")).otherwise(F.col("__end_id")).alias("__pid"),
+                        F.when(jumps, 0).otherwise(2).alias("__side"), F.lit(None).cast("long").alias("__spot"), F.col("__no").alias("__from"))
+    seen = running(spots.unionByName(frees), clump, Order("__p", ("__pid", "__side")), [Running("__last", "max", F.col("__spot"))], rows_per_group)
+    ends = rows.groupBy(*clump).agg(F.min("__no").alias("__first_no"), F.max("__no").alias("__last_no"))
+    named = ends.select(*[F.col(k).alias(f"__e_{k}") for k in clump], "__first_no", "__last_no")
+    # as many rows as there are large clumps
+    links = (seen.where("__from IS NOT NULL").join(broadcast_if_small(named), meets(clump, "__e_"))
+             .where("__last < __last_no").select(F.col("__from").alias("a"), (F.col("__last") + 1).alias("b")))
+    links, reached = staged(links, "links"), staged(ends.select(F.col("__first_no").alias("a")), "reached")
+    while True:
+        further = staged(reached.join(links, "a").select(F.col("b").alias("a")), "reached")
+        if further.isEmpty():
+            break
+        reached = reached.unionByName(further)
+        links = staged(links.join(links.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").select("a", F.col("c").alias("b")), "links")
+    return rows.join(reached.select(F.col("a").alias("__no")), "__no", "left_semi").drop("__no", "__clump").select(*[c for c in clumps.columns if c != "__clump"])
+
+
+def _read_in_order(clumps: DataFrame, keys: list[str]) -> DataFrame:
+    """Clumps read one match after the other, with constant memory."""
     schema = clumps.schema
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

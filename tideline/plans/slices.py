@@ -147,6 +147,14 @@ def _with_places(laid: DataFrame, name: str) -> DataFrame:
             .withColumn(name, F.col("__before") + F.col("__in_slice").bitwiseAND(IN_PARTITION)).drop("__of", "__before"))
 
 
+def with_row_numbers(df: DataFrame, by: list[str], name: str, rows_per_slice: int = ROWS_PER_GROUP) -> DataFrame:
+    """Rows numbered from 0 along ``by`` over the whole table, without a window."""
+    many = slice_count(df, df.count(), rows_per_slice)
+    laid = staged(df.repartitionByRange(many, *by).sortWithinPartitions(*by).withColumn(SLICE, F.spark_partition_id().cast("long"))
+                  .withColumn("__in_slice", F.monotonically_increasing_id()), "laid-out")
+    return _with_places(laid, name).drop(SLICE, "__in_slice")
+
+
 def split(df: DataFrame, keys: list[str], order: Order, rows_per_group: int = ROWS_PER_GROUP,
           sizes_from: DataFrame | None = None) -> Split:
     """Measure the groups and slice the hot ones. A table no larger than one group needs one count
