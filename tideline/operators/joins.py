@@ -151,14 +151,38 @@ def period_predicate(name: str, start: str, end: str, other_start: str, other_en
     return PERIOD_PREDICATES[name](*[F.col(c) for c in (start, end, other_start, other_end)])
 
 
+def _cells(start: str, end: str, width: int) -> tuple[Column, Column]:
+    """First and last cell that the half-open period touches."""
+    return F.floor(at(start) / width), F.floor((at(end) - 1) / width)
+
+
+def tree_nodes(first: Column, last: Column, levels: int) -> Column:
+    """The nodes (level, number) of a binary tree over cells that make up the cells first..last: at most two a level."""
+    def of_level(level: Column) -> Column:
+        size = F.call_function("shiftleft", F.lit(1).cast("long"), level)
+        low, high = F.call_function("shiftright", first + size - 1, level), F.call_function("shiftright", last + 1, level)
+        node = lambda odd, number: F.when((low < high) & (odd % 2 != 0), F.struct(level.alias("level"), number.alias("number")))
+        return F.array(node(low, low), node(high, high - 1))
+    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(max(levels - 1, 0))), of_level)))
+
+
+def _starts_within(points: DataFrame, point: str, periods: DataFrame, start: str, end: str, keys: Column, width: int, levels: int) -> DataFrame:
+    """Pairs of a row of ``points`` and one of ``periods`` whose cells hold the point's: each pair once. A period is listed
+    under the few nodes that make it up, a point under the nodes above its cell, and both meet in one node."""
+    cell = F.floor(at(point) / width)
+    above = F.transform(F.sequence(F.lit(0), F.lit(max(levels - 1, 0))), lambda l: F.struct(l.alias("level"), F.call_function("shiftright", cell, l).alias("number")))
+    listed = periods.withColumn("__node", F.explode(tree_nodes(*_cells(start, end, width), levels)))
+    return points.withColumn("__above", F.explode(above)).join(listed, keys & (F.col("__above") == F.col("__node"))).drop("__above", "__node")
+
+
 def period_join(left: DataFrame, right: DataFrame, keys: list[str], left_period: tuple[str, str],
                 right_period: tuple[str, str], predicate: str = "overlaps",
                 cell: str | int = "1 hour") -> DataFrame:
     """Join two tables of half-open periods [start, end) on equal keys and a period predicate.
 
-    overlaps and contains cut time into cells: both periods are listed under each cell they touch,
-    cells join by equality, and a pair is kept only in the cell where the later of the two starts, so
-    no pair is seen twice. The other predicates pin one instant and become plain equality joins.
+    Of two periods that overlap, one holds the start of the other; one that contains another holds its start. Starts
+    look for periods in a binary tree over cells of time: a period of n cells is listed under at most 2 log2(n) nodes,
+    however long it is, and no pair is seen twice. The other predicates pin one instant and become plain equality joins.
     precedes and succeeds describe nearly all pairs and are offered as ``period_predicate`` only.
     """
     a, b = left_period
@@ -173,10 +197,15 @@ def period_join(left: DataFrame, right: DataFrame, keys: list[str], left_period:
     if predicate not in ("overlaps", "contains"):
         raise ValueError(f"{predicate} is not joinable at scale")
     width = micros(cell)
-    spread = lambda df, s, e, name: df.where(F.col(s) < F.col(e)).withColumn(
-        name, F.explode(F.sequence(F.floor(at(s) / width), F.floor((at(e) - 1) / width))))
-    pairs = spread(left, a, b, "__cell").join(
-        spread(other, c, d, "__rcell"),
-        cond & (F.col("__cell") == F.col("__rcell")) & period_predicate(predicate, a, b, c, d))
-    later = F.floor(F.greatest(at(a), at(c)) / width)
-    return pairs.where(F.col("__cell") == later).drop("__cell", "__rcell", *drop)
+    lefts, rights = left.where(F.col(a) < F.col(b)), other.where(F.col(c) < F.col(d))
+    longest = 0
+    for df, start, end in ((lefts, a, b), (rights, c, d)):
+        first, last = _cells(start, end, width)
+        longest = max(longest, df.agg(F.max(last - first + 1)).first()[0] or 0)
+    levels, holds = int(longest).bit_length(), period_predicate(predicate, a, b, c, d)
+    columns = [*left.columns, *[x for x in other.columns if x not in drop]]
+    out = _starts_within(rights, c, lefts, a, b, cond, width, levels).where(holds & (F.col(a) <= F.col(c))).select(*columns)
+    if predicate == "overlaps":
+        more = _starts_within(lefts, a, rights, c, d, cond, width, levels).where(holds & (F.col(c) < F.col(a))).select(*columns)
+        out = out.unionByName(more)
+    return out
