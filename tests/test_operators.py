@@ -114,7 +114,7 @@ def test_pattern_measures_and_rows(spark):
     resume = match_rows(df, ["k"], "t", "id", "(B | C)+ A? B*", symbols, "1 minute", skip="to last B")
     assert [r[0] for r in rows(resume, "start_id")] == [1, 5]
     with pytest.raises(ValueError):
-        match_rows(df, ["k"], "t", "id", "A ^ B", symbols, "1 minute")
+        match_rows(df, ["k"], "t", "id", "A & B", symbols, "1 minute")
 
 
 # --- envelope --------------------------------------------------------------------------------------

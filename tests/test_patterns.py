@@ -88,3 +88,45 @@ def test_several_keys_and_null_keys(spark):
         got = match_rows(df, ["k"], "t", "id", "A A", symbols("A", "B"), "3 seconds", rows_per_group=limit)
         found = {key: sorted((r.start_id, r.end_id) for r in got.collect() if r.k == key) for key in letters}
         assert found == {key: greedy(text, 2) for key, text in letters.items()}
+
+
+def run(spark, letters, pattern, names="ABC", within="1 hour", **options):
+    return match_rows(series(spark, letters), ["k"], "t", "id", pattern, symbols(*names), within, **options)
+
+
+def test_anchors(spark):
+    """^ and $ are the first and the last row of the key, also where other rows lie between cells and parts."""
+    assert places(run(spark, "AABAA", "^ A+")) == [(1, 0, 1)]
+    assert places(run(spark, "AABAA", "A+ $")) == [(1, 3, 4)]
+    assert places(run(spark, "xAABAAx", "^ A+ | A+ $")) == []
+    assert places(run(spark, "AAA", "^ A+ $", within="1 second")) == []
+    assert places(run(spark, "AAAAAA", "(^ A) | (A A $)", within="2 seconds", rows_per_group=2)) == [(1, 0, 0), (2, 4, 5)]
+
+
+def test_permute_and_subset(spark):
+    got = run(spark, "ABCxCBAxACBxAAB", "PERMUTE (A, B, C)", measures={"n": Measure("count", None, "AB"), "first": Measure("first", "id", "BC")},
+              subsets={"AB": ["A", "B"], "BC": ["B", "C"]})
+    assert places(got, "n", "first") == [(1, 0, 2, 2.0, 1.0), (2, 4, 6, 2.0, 4.0), (3, 8, 10, 2.0, 9.0)]
+    assert places(run(spark, "AABBA", "PERMUTE (A+, B{2})")) == [(1, 0, 3)]
+    # the next match begins at the last row that either symbol took
+    again = run(spark, "ABCBC", "A? B C", skip="to last BC", subsets={"BC": ["B", "C"]})
+    assert places(again) == [(1, 0, 2), (2, 3, 4)]
+    with pytest.raises(ValueError):
+        run(spark, "A", "A", subsets={"S": ["Z"]})
+
+
+def test_rows_left_out(spark):
+    got = run(spark, "ABBCAC", "A {- B* -} C", measures={"b": Measure("count", None, "B"), "rows": Measure("count")})
+    assert places(got, "n_rows", "row_ids", "classifiers", "b", "rows") == [(1, 0, 3, 4, [0, 3], ["A", "C"], 2.0, 4.0), (2, 4, 5, 2, [4, 5], ["A", "C"], 0.0, 2.0)]
+    assert [(r.row_id, r.classifier) for r in patterns.all_rows(got, ["k"]).orderBy("row_id").collect()] == [(0, "A"), (3, "C"), (4, "A"), (5, "C")]
+    for bad in ("A {- B", "A -} B", "{- A {- B -} -}"):
+        with pytest.raises(ValueError):
+            run(spark, "A", bad)
+
+
+def test_more_symbols_than_bits_of_a_long(spark):
+    names = [f"S{i}" for i in range(150)]
+    df = spark.range(150).select(F.lit("a").alias("k"), "id", F.concat(F.lit("S"), "id").alias("s"), F.timestamp_seconds("id").alias("t"))
+    got = match_rows(df, ["k"], "t", "id", " ".join(names) + " $", symbols(*names), "1 hour")
+    assert places(got, "n_rows") == [(1, 0, 149, 150)]
+    assert got.first().classifiers == names

@@ -11,9 +11,11 @@ first start after it and doubling the links. Row ids, classifiers and measures a
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,9 +27,11 @@ from ..plans.skew import ROWS_PER_GROUP, hot_keys, meets
 from ..plans.slices import Order, Running, running, shifted, with_row_numbers
 from ..plans.staging import staged
 
-#: a row's symbols are the bits of one long
-MAX_SYMBOLS = 62
+#: a row's conditions are the bits of one long, of as many hexadecimal digits where there are more
+LONG_BITS = 62
 FIRST = 0x10000
+#: rows taken by a symbol between {- and -}
+LEFT_OUT = "__left_out"
 
 
 @dataclass(frozen=True)
@@ -39,24 +43,42 @@ class Measure:
     symbol: str | None = None
 
 
+def _spelled_out(pattern: str) -> str:
+    """PERMUTE (x, y) as the orders of its items."""
+    def orders(m: re.Match) -> str:
+        items = [x.strip() for x in m.group(1).split(",")]
+        return "(" + " | ".join("(" + " ".join(o) + ")" for o in itertools.permutations(items)) + ")"
+    return re.sub(r"\bPERMUTE\s*\(([^()]*)\)", orders, pattern)
+
+
 def _compile(pattern: str, symbols: list[str], sets: tuple[int, ...] = ()):
-    """A row is one character that stands for the set of symbols whose condition it meets, so a row
-    may meet several conditions. A symbol becomes the class of all of ``sets`` that hold it."""
+    """A row is one character that stands for the set of conditions it meets, so a row
+    may meet several. A symbol becomes the class of all of ``sets`` that hold it; the two bits after the
+    symbols' say whether the row is the first or the last of its key."""
     import regex
-    classes = {}
-    for bit, name in enumerate(symbols):
-        members = "".join(chr(FIRST + i) for i, s in enumerate(sets) if s >> bit & 1)
-        classes[name] = f"(?P<{name}>[{members or chr(FIRST - 1)}])"
-    out = []
-    for token in re.findall(r"[A-Za-z_]\w*|\{[\d,\s]*\}|\S", pattern):
+    members = lambda bit: "[" + ("".join(chr(FIRST + i) for i, s in enumerate(sets) if s >> bit & 1) or chr(FIRST - 1)) + "]"
+    classes = {name: members(bit) for bit, name in enumerate(symbols)}
+    out, left_out = [], False
+    for token in re.findall(r"\{-|-\}|[A-Za-z_]\w*|\{[\d,\s]*\}|\S", _spelled_out(pattern)):
         if token[0].isalpha() or token[0] == "_":
             if token not in classes:
                 raise ValueError(f"{token} has no definition")
-            out.append(classes[token])
+            out.append(f"(?P<{token}{LEFT_OUT if left_out else ''}>{classes[token]})")
+        elif token in ("{-", "-}"):
+            if left_out == (token == "{-"):
+                raise ValueError("{- and -} must alternate")
+            left_out = not left_out
+            out.append("(?:" if left_out else ")")
+        elif token == "^":
+            out.append(f"(?={members(len(symbols))})")
+        elif token == "$":
+            out.append(f"(?<={members(len(symbols) + 1)})")
         elif token in "()|*+?" or token[0] == "{":
             out.append("(?:" if token == "(" else token)
         else:
             raise ValueError(f"{token} is not supported in a pattern")
+    if left_out:
+        raise ValueError("{- without -}")
     return regex.compile("".join(out), flags=regex.V1)
 
 
@@ -64,7 +86,7 @@ PLACES = ["__start", "__start_id", "__end", "__end_id", "__resume", "__resume_id
 
 
 def _finder(pattern: str, symbols: list[str], keys: list[str], measures: dict[str, Measure], within: int,
-            resume_symbol: str | None, resume_last: bool, chosen: bool):
+            resume_symbol: str | None, resume_last: bool, chosen: bool, subsets: dict[str, list[str]]):
     """Matcher over Arrow batches sorted by (keys, part, cell, time): whole groups are matched together, the
     last, perhaps unfinished group of a batch waits for the next one. With ``chosen`` the starts marked so are matched
     and described; otherwise places are found, and only of starts that can be reached."""
@@ -96,7 +118,7 @@ def _finder(pattern: str, symbols: list[str], keys: list[str], measures: dict[st
                                    for lo, hi in zip(first, stops)])
         sets, codes = np.unique(column("__set"), return_inverse=True)
         text = "".join(map(chr, (codes + FIRST).tolist()))
-        known = tuple(sets.tolist())
+        known = tuple(int(s, 16) if isinstance(s, str) else s for s in sets.tolist())
         if known not in programs:
             programs[known] = _compile(pattern, symbols, known)
         compiled = programs[known]
@@ -112,13 +134,16 @@ def _finder(pattern: str, symbols: list[str], keys: list[str], measures: dict[st
             last, resume = m.end() - 1, None
             spots = None
             if resume_symbol or chosen:
-                spots = {s: [p for p, _ in m.spans(s)] for s in symbols if s in compiled.groupindex}
+                taken = {g: [p for p, _ in m.spans(g)] for g in compiled.groupindex}
+                spots = {s: sorted(taken.get(s, []) + taken.get(s + LEFT_OUT, [])) for s in symbols}
+                spots |= {name: sorted(p for s in some for p in spots[s]) for name, some in subsets.items()}
             if resume_symbol and spots.get(resume_symbol):
                 resume = spots[resume_symbol][-1 if resume_last else 0]
             row = [at_us[i], ids[i], at_us[last], ids[last], None if resume is None else at_us[resume], None if resume is None else ids[resume]]
             if chosen:
-                label = {p: s for s, where in spots.items() for p in where}
-                row += [m.end() - i, ids[i:m.end()], [label[p] for p in range(i, m.end())]]
+                label = {p: s for s in symbols for p in taken.get(s, [])}
+                shown = sorted(label)
+                row += [m.end() - i, ids[shown], [label[p] for p in shown]]
                 for spec in measures.values():
                     picked = spots.get(spec.symbol, []) if spec.symbol else list(range(i, m.end()))
                     row.append(_measure(spec, values, picked))
@@ -184,37 +209,56 @@ def _measure(spec: Measure, columns: dict[str, np.ndarray], picked: list[int]):
 
 def match_rows(df: DataFrame, keys: list[str], time: str, row_id: str, pattern: str, define: dict[str, Column],
                within: str, measures: dict[str, Measure] | None = None, skip: str = "past last row",
-               neighbours: dict[str, tuple[str, int]] | None = None, cell: str | None = None,
+               neighbours: dict[str, tuple[str, int]] | None = None, cell: str | None = None, subsets: dict[str, list[str]] | None = None,
                rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
     """One row per match: keys, match_number, start/end ids, n_rows, row_ids, classifiers, measures.
 
-    pattern: symbols with ( ) | * + ? {n,m} and their reluctant forms. define: condition per symbol over
-    the row's columns and ``neighbours``, which names values of other rows by offset (PREV = -1, NEXT =
-    1). A symbol without a condition is F.lit(True). skip: "past last row", "to next row",
-    "to first X" or "to last X". Anchors, and conditions over aggregates of the match, are not offered.
+    pattern: symbols with ( ) | * + ? {n,m} and their reluctant forms, PERMUTE (x, y), the anchors ^ and $ for the first
+    and last row of a key, and {- x -} for rows that belong to the match but are left out of row_ids and classifiers.
+    define: condition per symbol over the row's columns and ``neighbours``, which names values of other rows by offset
+    (PREV = -1, NEXT = 1). A symbol without a condition is F.lit(True). subsets: names for several symbols, for measures and
+    for skip. skip: "past last row", "to next row", "to first X" or "to last X". Conditions over aggregates of the match
+    are not offered.
     """
-    measures = measures or {}
+    measures, subsets = measures or {}, subsets or {}
     symbols = list(define)
-    if len(symbols) > MAX_SYMBOLS:
-        raise ValueError(f"at most {MAX_SYMBOLS} symbols")
     _compile(pattern, symbols)
+    unknown = [x for x in [s for some in subsets.values() for s in some] + [m.symbol for m in measures.values() if m.symbol and m.symbol not in subsets] if x not in define]
+    if unknown:
+        raise ValueError(f"{unknown[0]} has no definition")
     words = skip.split()
-    if skip not in ("past last row", "to next row") and not (len(words) == 3 and words[1] in ("first", "last") and words[2] in define):
+    aim = len(words) == 3 and words[1] in ("first", "last") and (words[2] in define or words[2] in subsets)
+    if skip not in ("past last row", "to next row") and not aim:
         raise ValueError(f"cannot skip {skip}")
-    target = words[2] if len(words) == 3 and words[1] in ("first", "last") and words[2] in define else None
+    target = words[2] if aim else None
     order = Order(time, (row_id,))
     rows = shifted(df, keys, order, neighbours, rows_per_group) if neighbours else df
-    bits = sum((F.when(cond, F.lit(1 << i).cast("long")).otherwise(0) for i, cond in enumerate(define.values())), F.lit(0).cast("long"))
+    anchored = bool(set("^$") & set(pattern))
+    long_of = lambda conditions: sum((F.when(c, F.lit(1 << i).cast("long")).otherwise(0) for i, c in enumerate(conditions)), F.lit(0).cast("long"))
+    ends_of_key = [F.col("__nth") == 1, F.col("__nth") == F.col("__all")] if anchored else []
+
+    def set_of(conditions: list[Column]) -> Column:
+        if len(conditions) <= LONG_BITS:
+            return long_of(conditions)
+        # most significant digits first
+        return F.concat(*[F.lpad(F.lower(F.hex(long_of(conditions[at:at + 32]))), 8, "0") for at in range(0, len(conditions), 32)][::-1])
+
     needed = list(dict.fromkeys(m.column for m in measures.values() if m.column))
     within_us = micros(within)
     width = max(micros(cell) if cell else within_us, within_us, 1)
-    placed = rows.select(*keys, at(time).alias("__at"), F.col(row_id).cast("long").alias("__id"),
-                         bits.alias("__set"), *[F.col(c).cast("double").alias(f"__m_{c}") for c in needed])
+    hit = F.coalesce(reduce(lambda a, b: a | b, [F.coalesce(c, F.lit(False)) for c in define.values()]), F.lit(False))
+    placed = rows.select(*keys, at(time).alias("__at"), F.col(row_id).cast("long").alias("__id"), hit.alias("__hit"),
+                         F.array(*[F.coalesce(c, F.lit(False)) for c in define.values()]).alias("__met") if anchored else set_of(list(define.values())).alias("__set"),
+                         *[F.col(c).cast("double").alias(f"__m_{c}") for c in needed])
     # a row no symbol takes ends every match before it: such rows cut their key into parts and go
-    breaks = F.when(F.col("__set") == 0, 1).otherwise(0)
+    breaks = F.when(F.col("__hit"), 0).otherwise(1)
     placed = running(placed, keys, Order("__at", ("__id",)), [
-        Running("__part", "sum", breaks), Running("__broken", "max", F.when(F.col("__set") == 0, F.col("__at"))), Running("__opened", "min", F.col("__at"))],
-        rows_per_group, sizes_from=df.select(*keys, at(time).alias("__at"))).where("__set <> 0")
+        Running("__part", "sum", breaks), Running("__broken", "max", F.when(~F.col("__hit"), F.col("__at"))), Running("__opened", "min", F.col("__at")),
+        *([Running("__nth", "count"), Running("__all", "total_count")] if anchored else [])],
+        rows_per_group, sizes_from=df.select(*keys, at(time).alias("__at"))).where("__hit").drop("__hit")
+    if anchored:
+        met = [F.col("__met")[i] for i in range(len(symbols))]
+        placed = placed.withColumn("__set", set_of([*met, *ends_of_key])).drop("__met", "__nth", "__all")
     placed = staged(placed, "pattern-rows")
     own = F.floor(F.col("__at") / width)
     lent = F.floor((F.col("__at") - within_us) / width)
@@ -232,7 +276,7 @@ def match_rows(df: DataFrame, keys: list[str], time: str, row_id: str, pattern:
     kinds = "".join(f"`{k}` {df.schema[k].dataType.simpleString()}, " for k in keys)
     places = kinds + ", ".join(f"{c} BIGINT" for c in PLACES)
     described = places + ", n_rows INT, row_ids ARRAY<BIGINT>, classifiers ARRAY<STRING>" + "".join(f", `{m}` DOUBLE" for m in measures)
-    finder = lambda chosen: _finder(pattern, symbols, keys, measures, within_us, target, words[1] == "last", chosen)
+    finder = lambda chosen: _finder(pattern, symbols, keys, measures, within_us, target, words[1] == "last", chosen, subsets)
     if skip == "to next row":
         kept = staged(cells(placed.withColumn("__chosen", F.lit(True))).mapInArrow(finder(True), described), "matches")
     else:

@@ -65,3 +65,51 @@ def _(t):
     got = match_rows(t.events, ["user_id"], "ts", "event_id", "C P", define(C="click", P="purchase"), within="1 day",
                      skip="to next row")
     return all_rows(got, ["user_id"]).drop("match_number")
+
+
+# --- clauses ---------------------------------------------------------------------------------
+
+LETTERS = "WITH s AS (SELECT user_id, string_agg(upper(event_type[1]), '' ORDER BY ts, event_id) AS letters FROM events GROUP BY user_id)"
+
+
+def over_users(t, pattern, **options):
+    return match_rows(t.events, ["user_id"], "ts", "event_id", pattern, define(C="click", V="view", E="error", P="purchase", S="signup"),
+                      within="60 days", **options)
+
+
+@report("pattern_anchors", f"""
+{LETTERS}
+SELECT user_id, 'first' AS side, length(regexp_extract(letters, '^[VC]+'))::bigint AS n FROM s WHERE regexp_matches(letters, '^[VC]')
+UNION ALL SELECT user_id, 'last', length(regexp_extract(letters, '[VC]+$'))::bigint FROM s WHERE regexp_matches(letters, '[VC]$')""")
+def _(t):
+    # the run of views and clicks a user began with, and the one the user ended with
+    first, last = over_users(t, "^ (V | C)+"), over_users(t, "(V | C)+ $")
+    return first.select("user_id", F.lit("first").alias("side"), F.col("n_rows").cast("long").alias("n")).unionByName(
+        last.select("user_id", F.lit("last").alias("side"), F.col("n_rows").cast("long").alias("n")))
+
+
+@report("pattern_permute", f"""
+{LETTERS}, m AS (SELECT user_id, regexp_extract_all(letters, 'CPV|CVP|PCV|PVC|VCP|VPC') AS found FROM s)
+SELECT user_id, unnest(found) AS letters, CAST(generate_subscripts(found, 1) AS BIGINT) AS match_number FROM m""")
+def _(t):
+    got = over_users(t, "PERMUTE (C, P, V)")
+    return got.select("user_id", F.array_join("classifiers", "").alias("letters"), "match_number")
+
+
+@report("pattern_left_out", f"""
+{LETTERS}, m AS (SELECT user_id, regexp_extract_all(letters, 'C[VE]*P') AS found FROM s)
+SELECT user_id, 'CP' AS letters, length(f)::int AS n_rows, n AS match_number
+FROM (SELECT user_id, unnest(found) AS f, CAST(generate_subscripts(found, 1) AS BIGINT) AS n FROM m)""")
+def _(t):
+    # the rows between belong to the match but are not shown
+    got = over_users(t, "C {- (V | E)* -} P")
+    return got.select("user_id", F.array_join("classifiers", "").alias("letters"), "n_rows", "match_number")
+
+
+@report("pattern_subset", f"""
+{LETTERS}, m AS (SELECT user_id, regexp_extract_all(letters, 'C[VE]*P') AS found FROM s)
+SELECT user_id, (length(f) - 2)::double AS between_rows, n AS match_number
+FROM (SELECT user_id, unnest(found) AS f, CAST(generate_subscripts(found, 1) AS BIGINT) AS n FROM m)""")
+def _(t):
+    got = over_users(t, "C (V | E)* P", subsets={"BETWEEN_ROWS": ["V", "E"]}, measures={"between_rows": Measure("count", None, "BETWEEN_ROWS")})
+    return got.select("user_id", "between_rows", "match_number")
