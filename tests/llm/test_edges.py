@@ -110,6 +110,32 @@ def test_urls(spark):
     assert got[1].verdict == got[8].verdict == "allow" and got[4].verdict == "block" and got[9].path == "/b\nc"
 
 
+def test_url_within_a_query(spark):
+    """Only the first :// counts, also where its host has no path."""
+    rows = [(1, "http://a.com?u=http://b.net/es/x"), (2, "http://q.net?r=https://z.org/fr/a"), (3, "http://q.net#x://z.net/fr/"), (4, "a://b://c/d")]
+    got = {r.page_id: (r.host, r.path, r.rule) for r in url_filter.judged(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert got == {1: ("a.com", "", None), 2: ("q.net", "", None), 3: ("q.net", "", None), 4: ("b:", "//c/d", None)}
+
+
+def test_rows_without_an_id_draw_for_themselves(documents):
+    """A source of rows without ids is taken near its target, as its texts differ."""
+    rows = [(None, " ".join([f"w{i}"] * 10), "a") for i in range(2000)] + [(i, "x y", "b") for i in range(4000)]
+    docs = documents(rows)
+    got = mixing.mixed(docs).groupBy("doc_id").sum("taken").where("doc_id is null").first()[1]
+    target = mixing.mixed(docs).where("doc_id is null").first().target
+    assert abs(got - target) < 0.05 * target
+    assert mixing.repeated(docs).where("doc_id is null").count() == got / 10
+
+
+def test_repeated_ids_keep_their_own_texts(documents):
+    """Rows of one id and different texts are rows of their own, compared by the text each has."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    docs = documents([(1, a, "s"), (1, b, "s"), (2, c, "s"), (9, b, "s"), (5, a, "s"), (2, c, "s"), (None, a, "s")])
+    assert sorted((r.doc_id or 0, r.text[0]) for r in near_dedup.one_of_each_group(docs).collect()) == [(0, "a"), (1, "a"), (1, "b"), (2, "c")]
+    got = sorted((r.doc_id or 0, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect())
+    assert got == [(0, None, True), (1, 1, True), (1, 1, True), (2, 2, True), (2, 2, True), (5, 1, False), (9, 1, False)]
+
+
 def test_empty_tables(spark, odd, labels, benchmark):
     none = odd.where("false")
     turns = spark.createDataFrame([], "conv_id long, turn long, role string, text string")

@@ -44,24 +44,24 @@ def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = M
                         .otherwise(share.cast("double")).alias("target"))
 
 
-def draw(doc_id: str = "doc_id", seed: str = SEED) -> Column:
-    """A number in [0, 1) from the seed and the id."""
-    digits = F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null")))), 1, 8)
-    return F.conv(digits, 16, 10).cast("long") / F.lit(float(1 << 32))
+def draw(doc_id: Column, text: Column, seed: str = SEED) -> Column:
+    """A number in [0, 1) from the seed, the id and the text, so that rows without an id do not all draw alike."""
+    row = F.concat(F.lit(seed + ":"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"), F.md5(F.coalesce(text.cast("string"), F.lit(""))))
+    return F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
 
 
 def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, seed: str = SEED) -> DataFrame:
     """doc_id, size, source_size, target, copies and taken of every document.
 
     Null and empty texts have size 0. Documents without a source are one source, the last. A source of size
-    0 has target 0 and rate 0: none of its documents is taken. Repeated rows count each and draw alike.
+    0 has target 0 and rate 0: none of its documents is taken. Rows with the same id and text count each and draw alike.
     Other columns are ignored; an empty table gives no rows."""
     sized = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"),
-                               n_words().alias("size")), "sizes")
+                               n_words().alias("size"), draw(F.col("doc_id").cast("long"), F.col("text"), seed).alias("__draw")), "sizes")
     goal = rates(sized, weights, most)
     rows = sized.join(goal, F.col("source").eqNullSafe(F.col("of")), "left")
-    return rows.select("doc_id", "size", "source_size", "target", _copies(seed).alias("copies"),
-                       (F.col("size") * _copies(seed)).alias("taken"))
+    return rows.select("doc_id", "size", "source_size", "target", _copies().alias("copies"),
+                       (F.col("size") * _copies()).alias("taken"))
 
 
 def rates(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS) -> DataFrame:
@@ -72,9 +72,9 @@ def rates(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
     return broadcast_if_small(goal.withColumnRenamed("source", "of"), 8 << 20)
 
 
-def _copies(seed: str) -> Column:
+def _copies() -> Column:
     whole = F.floor("rate")
-    return whole + F.when(draw(seed=seed) < F.col("rate") - whole, 1).otherwise(0)
+    return whole + F.when(F.col("__draw") < F.col("rate") - whole, 1).otherwise(0)
 
 
 def repeated(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_REPEATS, seed: str = SEED) -> DataFrame:
@@ -84,5 +84,5 @@ def repeated(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     goal = rates(sized, weights, most).select(F.struct("of", "rate").alias("__goal"))
     held = docs.select(F.struct(*docs.columns).alias("__doc"))
     rows = held.join(goal, F.col("__doc.source").cast("string").eqNullSafe(F.col("__goal.of")))
-    rows = rows.select("__doc", F.col("__goal.rate").alias("rate"), F.col("__doc.doc_id").alias("doc_id"))
-    return rows.select(F.explode(F.array_repeat("__doc", _copies(seed).cast("int"))).alias("d")).select("d.*")
+    rows = rows.select("__doc", F.col("__goal.rate").alias("rate"), draw(F.col("__doc.doc_id").cast("long"), F.col("__doc.text"), seed).alias("__draw"))
+    return rows.select(F.explode(F.array_repeat("__doc", _copies().cast("int"))).alias("d")).select("d.*")

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..plans.staging import staged
 from .graph import components
+from .rows import numbered
 from .text import mix, pieces, shingle_sets, word_hashes
 
 K = 32
@@ -154,7 +155,7 @@ def _can_link(members: DataFrame, texts: DataFrame, size: int, threshold: int) -
 
 def linked(docs: DataFrame, size: int = 2, threshold: int = 80, long_list: int = LONG_LIST) -> tuple[DataFrame, DataFrame]:
     """(rows, links): per document doc_id, n, id (class: smallest doc_id of equal sets) and component;
-    and the verified links between classes that the components were built from."""
+    and the verified links between classes that the components were built from. Each doc_id stands in one row."""
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketched = staged(base.mapInArrow(_sketches(size), "doc_id long, n long, sig_a long, sig_b long, sketch array<long>"), "sketches")
     key = ["n", "sig_a", "sig_b"]
@@ -165,8 +166,7 @@ def linked(docs: DataFrame, size: int = 2, threshold: int = 80, long_list: int =
     def texts_of(ids: DataFrame) -> DataFrame:
         ids = staged(ids.distinct(), "involved")
         few = ids.count() <= BROADCAST_IDS
-        texts = base.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(ids) if few else ids, "id", "left_semi")
-        return staged(texts.groupBy("id").agg(F.min("text").alias("text")) if repeated else texts, "texts")
+        return staged(base.select(F.col("doc_id").alias("id"), "text").join(F.broadcast(ids) if few else ids, "id", "left_semi"), "texts")
 
     def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         return staged(pairs.where("known").select("a", "b").unionByName(
@@ -175,7 +175,6 @@ def linked(docs: DataFrame, size: int = 2, threshold: int = 80, long_list: int =
     def open_texts(pairs: DataFrame) -> DataFrame:
         return texts_of(pairs.where("not known").select(F.explode(F.array("a", "b")).alias("id")))
 
-    repeated = _repeated(sketched)
     # every class with the hubs of its lists
     tried = staged(_estimated(_spokes(lists, long_list), classes, threshold), "pairs")
     texts = open_texts(tried)
@@ -239,9 +238,9 @@ def _meeting(some: DataFrame, all_: DataFrame, threshold: int) -> DataFrame:
     return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"), "n_a", "n_b")
 
 
-def _repeated(sketched: DataFrame) -> bool:
+def _repeated(docs: DataFrame) -> bool:
     """Whether a doc_id stands in several rows."""
-    seen = sketched.agg(F.count("doc_id").alias("rows"), F.count_distinct("doc_id").alias("ids")).first()
+    seen = docs.agg(F.count("doc_id").alias("rows"), F.count_distinct("doc_id").alias("ids")).first()
     return seen["rows"] > seen["ids"]
 
 
@@ -257,21 +256,41 @@ def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
             .where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select("a", "b"))
 
 
+def _by_row(docs: DataFrame) -> DataFrame:
+    """``docs`` with a number ``__row_id`` of each row that has an id, growing with the ids, instead of ids that repeat."""
+    known = docs.where("doc_id is not null").withColumn("__text_hash", F.xxhash64("text"))
+    return numbered(known, ["doc_id", "__text_hash"], "__row_id")[0].drop("__text_hash")
+
+
 def near_duplicates(docs: DataFrame, size: int = 2, threshold: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept.
 
-    Null and empty texts have no shingles and link with nothing. Rows that repeat a doc_id keep their
-    own row and share a component when their texts do. A null doc_id links with nothing, its component
+    Null and empty texts have no shingles and link with nothing. Rows that repeat a doc_id are compared row by row: each
+    has the component of its own text. A null doc_id links with nothing, its component
     is null and the row is kept. Other columns of ``docs`` are ignored. An empty table gives no rows.
     """
-    rows, _ = linked(docs, size, threshold)
-    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
-                       F.col("doc_id").eqNullSafe(F.col("component")).alias("kept"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    columns = ["doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.col("doc_id").eqNullSafe(F.col("component")).alias("kept")]
+    if not _repeated(docs):
+        return linked(docs, size, threshold)[0].select(*columns)
+    rows = staged(_by_row(docs), "rows")
+    found = linked(rows.select(F.col("__row_id").alias("doc_id"), "text"), size, threshold)[0]
+    names = rows.select(F.col("__row_id").alias("doc_id"), F.col("doc_id").alias("name"))
+    found = (found.join(names, "doc_id").join(names.select(F.col("doc_id").alias("component"), F.col("name").alias("component_name")), "component")
+             .select(F.col("name").alias("doc_id"), "n", F.col("component_name").alias("component")))
+    without = linked(docs.where("doc_id is null"), size, threshold)[0].select("doc_id", "n", F.lit(None).cast("long").alias("component"))
+    return found.unionByName(without).select(*columns)
 
 
 def one_of_each_group(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
     """The rows of ``docs`` that stay: of each group of near-duplicates the row with the smallest
-    doc_id, and of rows that repeat a doc_id one. Rows with a null doc_id stay."""
-    gone = near_duplicates(docs.select("doc_id", "text"), size, threshold).where("kept").select("doc_id").where("doc_id is not null").distinct()
-    known = docs.where("doc_id is not null").join(gone, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    doc_id. Rows that repeat a doc_id are rows of their own: one stays unless its text is near that of an earlier
+    row. Rows with a null doc_id stay."""
+    if not _repeated(docs):
+        kept = near_duplicates(docs.select("doc_id", "text"), size, threshold).where("kept and doc_id is not null").select("doc_id")
+        known = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
+    else:
+        rows = staged(_by_row(docs), "rows")
+        kept = linked(rows.select(F.col("__row_id").alias("doc_id"), "text"), size, threshold)[0].where("doc_id = component").select(F.col("doc_id").alias("__row_id"))
+        known = rows.join(kept, "__row_id", "left_semi").drop("__row_id")
     return known.unionByName(docs.where("doc_id is null")).select(*docs.columns)

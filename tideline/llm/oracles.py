@@ -62,7 +62,7 @@ t{k} AS (SELECT c, coalesce(sum(a), 0) AS na, count(a) AS ka, coalesce(sum(b), 0
     return rf"""
 WITH parts AS (
   SELECT page_id, translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         coalesce(regexp_extract(url, '^.*?://[^/?#]*(/[^?#]*)', 1, 's'), '') AS path FROM pages),
+         coalesce(regexp_extract(regexp_extract(url, '://(.*)', 1, 's'), '^[^/?#]*(/[^?#]*)', 1, 's'), '') AS path FROM pages),
 rows AS (
   SELECT page_id, host, path, {rule} AS rule, {says} AS says,
          regexp_replace(regexp_replace(lower(host || path), '[0-9]', '0', 'g'), '[^a-z0./_-]', '~', 'g') AS s FROM parts),
@@ -90,7 +90,7 @@ FROM scored, cut
 
 
 SOURCE_MIXING = f"""
-WITH sized AS (SELECT doc_id, source, len({WORDS})::bigint AS size FROM documents),
+WITH sized AS (SELECT doc_id, source, len({WORDS})::bigint AS size, md5(coalesce(text, '')) AS digest FROM documents),
 totals AS (SELECT source, sum(size)::bigint AS source_size FROM sized GROUP BY source),
 weighed AS (SELECT *, [{', '.join(map(str, mixing.WEIGHTS))}][(turn % {len(mixing.WEIGHTS)} + 1)::int]::bigint AS w
   FROM (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS turn FROM totals)),
@@ -106,7 +106,7 @@ goal AS (
   FROM stops LEFT JOIN level ON true),
 rated AS (
   SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
-         {DIGEST.format(f"'{mixing.SEED}:' || coalesce(doc_id::varchar, 'null')")} / 4294967296.0::double AS draw
+         {DIGEST.format(f"'{mixing.SEED}:' || coalesce(doc_id::varchar, 'null') || ':' || digest")} / 4294967296.0::double AS draw
   FROM sized JOIN goal ON sized.source IS NOT DISTINCT FROM goal.source)
 SELECT doc_id, size, source_size, target,
        (size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END))::bigint AS taken
@@ -161,7 +161,8 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::bigint AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       sum(length('### : </turn>' || chr(10)) + length({CODED.format('role')}) + length({CODED.format('text')}))::bigint AS formatted_chars
+       sum(length('### : </turn>' || chr(10)) + length({CODED.format('role')}) + length({CODED.format('text')}))::bigint AS formatted_chars,
+       regexp_full_match(string_agg(role, chr(1) ORDER BY turn NULLS FIRST, role, text), '(system\x01)?(user\x01assistant\x01)*user\x01assistant') AS valid
 FROM turns GROUP BY conv_id
 """
 

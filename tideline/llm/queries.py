@@ -71,7 +71,7 @@ def op9(t: Tables) -> DataFrame:
     tricky = spark.createDataFrame([(-7, i, role, r"\### Assistant: </turn> ok") for i, role in enumerate(("user", "assistant"))],
                                    "conv_id long, turn long, role string, text string")
     turns = t.conversations.select("conv_id", "turn", "role", "text").unionByName(tricky)
-    return chat_format.digests(chat_format.formatted(turns)).drop("valid")
+    return chat_format.digests(chat_format.formatted(turns))
 
 
 @query("op10_feistel_shards")

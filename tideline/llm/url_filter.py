@@ -32,7 +32,9 @@ def host_of(url: Column) -> Column:
 
 
 def path_of(url: Column) -> Column:
-    return F.coalesce(F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(/[^?#]*)", 1), F.lit(""))
+    """From what follows the first ``://``, so that a later one in a query is never taken for it."""
+    rest = F.regexp_extract(url, r"(?s)://(.*)", 1)
+    return F.coalesce(F.regexp_extract(rest, r"^[^/?#]*(/[^?#]*)", 1), F.lit(""))
 
 
 def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
