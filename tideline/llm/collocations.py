@@ -34,7 +34,7 @@ LEAST, LONGEST, FIRST = 100, 5, 2000
 #: vocabulary hashes that a task holds at once (8 bytes each)
 VOCABULARY = 4_000_000
 #: entries of a task's filter before it is sent, windows gathered before they are merged into it
-HELD, GATHERED = 1 << 20, 1 << 21
+HELD, GATHERED = 1 << 19, 1 << 20
 #: windows per bucket, about; bits of the table of frequent shorter phrases, at most
 BUCKET, TABLE_BITS = 1 << 20, 1 << 28
 #: numbers written in one row, about
