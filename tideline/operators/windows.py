@@ -130,23 +130,23 @@ def evict_older_than(df: DataFrame, keys: list[str], time: str, size: str, age:
 
 
 def late_rows(df: DataFrame, arrival: str, time: str, delay: str,
-              rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
+              rows_per_group: int = ROWS_PER_GROUP, before_us: int | None = None) -> DataFrame:
     """Rows in arrival order with the watermark in force before them (newest time so far - delay)
-    and whether the row is late against it."""
+    and whether the row is late against it. ``before_us``: the newest time of rows that arrived before all of ``df``."""
     marked = running(df, [], Order(arrival), [Running("__max", "max", at(time), exclusive=True)], rows_per_group)
-    mark = F.col("__max") - micros(delay)
+    mark = F.greatest("__max", F.lit(before_us).cast("long")) - micros(delay)
     kind = df.schema[time].dataType
     return (marked.withColumn("watermark", instant(mark, kind))
             .withColumn("is_late", F.coalesce(at(time) < mark, F.lit(False))).drop("__max"))
 
 
 def punctuated_watermark(df: DataFrame, arrival: str, time: str, is_marker: Column,
-                         rows_per_group: int = ROWS_PER_GROUP) -> DataFrame:
-    """Watermark that only marker rows move, to the time they carry."""
+                         rows_per_group: int = ROWS_PER_GROUP, before_us: int | None = None) -> DataFrame:
+    """Watermark that only marker rows move, to the time they carry. ``before_us``: the mark before all of ``df``."""
     spec = Running("__mark", "max", F.when(is_marker, at(time)))
     kind = df.schema[time].dataType
     marked = running(df, [], Order(arrival), [spec], rows_per_group)
-    return marked.withColumn("watermark", instant(F.col("__mark"), kind)).drop("__mark")
+    return marked.withColumn("watermark", instant(F.greatest("__mark", F.lit(before_us).cast("long")), kind)).drop("__mark")
 
 
 def lag_watermark_flag(df: DataFrame, time: str, ingest: str, lag: str) -> DataFrame:

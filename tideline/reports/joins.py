@@ -143,10 +143,13 @@ def _(t):
     return latest(t, rows_per_group=200)
 
 
-@report("control_match", """
+CONTROL_SQL = """
 WITH k AS (SELECT event_id, ts, event_type, CAST(props->>'$.k' AS INTEGER) AS k FROM events)
 SELECT d.event_id, d.k, 1 AS matched FROM (SELECT * FROM k WHERE event_type <> 'signup') d
-ASOF JOIN (SELECT * FROM k WHERE event_type = 'signup') c ON d.ts >= c.ts WHERE d.k = c.k""")
+ASOF JOIN (SELECT * FROM k WHERE event_type = 'signup') c ON d.ts >= c.ts WHERE d.k = c.k"""
+
+
+@report("control_match", CONTROL_SQL)
 def _(t):
     rows = t.events.select("event_id", "ts", "event_type", prop_k().alias("k"))
     got = temporal.control_match(rows.where("event_type <> 'signup'"), rows.where("event_type = 'signup'"),
@@ -154,10 +157,13 @@ def _(t):
     return got.select("event_id", "k", "matched")
 
 
-@report("first_value_enrich", """
+FIRST_VALUE_SQL = """
 WITH c AS (SELECT user_id, arg_min(event_type, ts) AS v FROM events WHERE value > 200 GROUP BY user_id)
 SELECT event_id, e.user_id, coalesce(v, 'No match') AS match
-FROM events e LEFT JOIN c ON e.user_id = c.user_id WHERE event_type = 'purchase'""")
+FROM events e LEFT JOIN c ON e.user_id = c.user_id WHERE event_type = 'purchase'"""
+
+
+@report("first_value_enrich", FIRST_VALUE_SQL)
 def _(t):
     data = of_type(t, "purchase").select("event_id", "user_id")
     return joins.first_value_enrich(data, t.events.where("value > 200"), "user_id", "event_type", "ts")

@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from ..functions import multisets
 from ..session import fresh_dir
-from ..streaming import operators as streams
+from ..streaming import control, operators as streams
 from ..streaming.runner import append_to_table, each_batch, latest_update, stream_parquet
 from .aggregates import PATH_SQL, path_inputs
-from .joins import INTERVAL_SQL, prop_k, session_sql
+from .joins import CONTROL_SQL, FIRST_VALUE_SQL, INTERVAL_SQL, prop_k, session_sql
 from .registry import report
-from .windows import HOP_SQL
+from .windows import HOP_SQL, LATE_SQL, PUNCTUATED_SQL, arrivals_of
 
 MARK = "(SELECT date_trunc('millisecond', max(ts)) FROM events {where}) - INTERVAL '{delay}'"
 NOT_SIGNUP = "WHERE event_type <> 'signup'"
@@ -184,3 +184,53 @@ def _(t):
     folder = fresh_dir(t.spark, "statements")
     streams.statement_sink(events(t).select(F.col("event_type").alias("statement"), "event_id", "value"), folder, "statement", 1000)
     return t.spark.read.parquet(f"{folder}/data").select("statement", "event_id", "value")
+
+
+# --- rows judged by what all of them share ---------------------------------------------------
+
+def arriving(t):
+    """Events as a stream with their arrival number, which no Spark watermark drops."""
+    return arrivals_of(stream_parquet(t.spark, t.path("events")))
+
+
+@report("stream_late_rows", LATE_SQL)
+def _(t):
+    return control.late_rows(arriving(t), "arrival", "ts", "30 minutes").select("event_id", "watermark", "is_late")
+
+
+@report("stream_late_side_output", LATE_SQL.replace("SELECT event_id, watermark, coalesce(ts < watermark, false) AS is_late FROM m",
+                                                    "SELECT event_id, CASE WHEN ts < watermark THEN 'late' ELSE 'main' END AS tag FROM m"))
+def _(t):
+    folder = fresh_dir(t.spark, "side")
+    control.late_side_output(arriving(t), "arrival", "ts", "30 minutes", folder)
+    return t.spark.read.parquet(f"{folder}/routed").select("event_id", "tag")
+
+
+@report("stream_punctuated_watermark", PUNCTUATED_SQL)
+def _(t):
+    return control.punctuated_watermark(arriving(t), "arrival", "ts", F.col("event_type") == "signup").select("event_id", "watermark")
+
+
+@report("stream_control_match", CONTROL_SQL)
+def _(t):
+    rows = stream_parquet(t.spark, t.path("events")).select("event_id", "ts", "event_type", prop_k().alias("k"))
+    got = control.control_match(rows.where("event_type <> 'signup'"), rows.where("event_type = 'signup'"), "ts", "k", "k", tie="event_id")
+    return got.select("event_id", "k", "matched")
+
+
+@report("stream_first_value_enrich", FIRST_VALUE_SQL)
+def _(t):
+    rows = stream_parquet(t.spark, t.path("events"))
+    got = control.first_value_enrich(rows.where("event_type = 'purchase'").select("event_id", "user_id"),
+                                     rows.where("value > 200").select("user_id", "event_type", "ts"), "user_id", "event_type", "ts")
+    return got.select("event_id", "user_id", "match")
+
+
+@report("stream_order_board", """
+WITH c AS (SELECT time_bucket(INTERVAL '1' DAY, ts) AS window_start, event_type, sum(CAST(value AS DECIMAL(18,2))) AS ct FROM events GROUP BY ALL)
+SELECT window_start, CAST(total AS DOUBLE) AS total, rank, event_type, CAST(ct AS DOUBLE) AS category_total
+FROM (SELECT *, sum(ct) OVER (PARTITION BY window_start) AS total, row_number() OVER (PARTITION BY window_start ORDER BY ct DESC, event_type) AS rank FROM c)
+WHERE rank <= 3""")
+def _(t):
+    got = control.last_boards(control.order_board(events(t), "ts", "event_type", "value"))
+    return zoneless(got.withColumn("total", F.col("total").cast("double")).withColumn("category_total", F.col("category_total").cast("double")))

@@ -165,9 +165,13 @@ ARRIVAL_SQL = """a AS (SELECT event_id, ts, event_type, epoch_us(ts) + CAST(prop
   FROM events)"""
 
 
+def arrivals_of(events):
+    return events.select("event_id", "ts", "event_type",
+                         (F.unix_micros(F.col("ts").cast("timestamp")) + prop_k().cast("long") * 60_000_000).alias("arrival"))
+
+
 def arrivals(t):
-    return t.events.select("event_id", "ts", "event_type",
-                           (F.unix_micros(F.col("ts").cast("timestamp")) + prop_k().cast("long") * 60_000_000).alias("arrival"))
+    return arrivals_of(t.events)
 
 
 LATE_SQL = f"""
@@ -187,10 +191,13 @@ def _(t):
         "event_id", "watermark", "is_late")
 
 
-@report("punctuated_watermark", f"""
+PUNCTUATED_SQL = f"""
 WITH {ARRIVAL_SQL}
 SELECT event_id, max(CASE WHEN event_type = 'signup' THEN ts END) OVER (ORDER BY arrival
-  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS watermark FROM a""")
+  ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS watermark FROM a"""
+
+
+@report("punctuated_watermark", PUNCTUATED_SQL)
 def _(t):
     return windows.punctuated_watermark(arrivals(t), "arrival", "ts", F.col("event_type") == "signup").select(
         "event_id", "watermark")
