@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..session import fresh_dir
 from ..sources import declared, delimited, envelope, kv, sinks, topics
+from ..sources.partitioned import delete_partitions, merge_partitions, update_partitions
 from .joins import prop_k
 from .registry import report
 from .windows import money
@@ -226,3 +227,44 @@ def _(t):
 SELECT o_orderpriority AS statement, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total FROM orders GROUP BY 1""")
 def _(t):
     return t.orders.groupBy(F.col("o_orderpriority").alias("statement")).agg(money("o_totalprice").alias("total"))
+
+
+# --- statements on partitioned tables --------------------------------------------------------
+
+def orders_by_year(t):
+    path = fresh_dir(t.spark, "orders")
+    rows = t.orders.select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("decimal(18,2)").alias("o_totalprice"), F.year("o_orderdate").alias("year"))
+    rows.write.partitionBy("year").parquet(path)
+    return path, rows
+
+
+def priced(t, path):
+    return t.spark.read.parquet(path).select("o_orderkey", "o_orderstatus", F.col("o_totalprice").cast("double").alias("o_totalprice"), F.col("year").cast("long").alias("year"))
+
+
+YEARS = "SELECT o_orderkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS price, year(o_orderdate) AS year FROM orders"
+
+
+@report("merge_partitions", f"""
+WITH o AS ({YEARS})
+SELECT o_orderkey, CASE WHEN year = 1995 AND o_orderkey % 7 = 0 THEN 'M' ELSE o_orderstatus END AS o_orderstatus, CAST(price AS DOUBLE) AS o_totalprice, year
+FROM o WHERE NOT (year = 1995 AND o_orderkey % 21 = 0)
+UNION ALL SELECT -o_orderkey, 'N', 1.5, 1995 FROM o WHERE year = 1996 AND o_orderkey % 50 = 0""")
+def _(t):
+    path, rows = orders_by_year(t)
+    changed = rows.where("year = 1995 AND o_orderkey % 7 = 0").select("o_orderkey", F.lit("M").alias("o_orderstatus"), "o_totalprice", "year", (F.col("o_orderkey") % 21 == 0).alias("gone"))
+    added = rows.where("year = 1996 AND o_orderkey % 50 = 0").select((-F.col("o_orderkey")).alias("o_orderkey"), F.lit("N").alias("o_orderstatus"),
+                                                                      F.lit("1.5").cast("decimal(18,2)").alias("o_totalprice"), F.lit(1995).alias("year"), F.lit(False).alias("gone"))
+    merge_partitions(path, changed.unionByName(added), ["o_orderkey"], ["year"], "gone")
+    return priced(t, path)
+
+
+@report("update_and_delete_partitions", f"""
+WITH o AS ({YEARS})
+SELECT o_orderkey, CASE WHEN year = 1994 AND price > 200000 THEN 'U' ELSE o_orderstatus END AS o_orderstatus, CAST(price AS DOUBLE) AS o_totalprice, year
+FROM o WHERE NOT (year = 1993 OR price < 20000)""")
+def _(t):
+    path, _ = orders_by_year(t)
+    update_partitions(t.spark, path, (F.col("year") == 1994) & (F.col("o_totalprice") > 200000), {"o_orderstatus": F.lit("U")}, ["year"])
+    delete_partitions(t.spark, path, (F.col("year") == 1993) | (F.col("o_totalprice") < 20000), ["year"])
+    return priced(t, path)
