@@ -12,7 +12,7 @@ from ..operators.ranking import top_n
 from ..operators.temporal import asof_join
 from ..plans.durations import at, floor_to, instant, micros
 from ..sources.sinks import write_routed
-from .processors import CountWindow, FirstSeen, GrowingWindow, PathCollector, VersionedLookup
+from .processors import CountWindow, FirstSeen, FlushBuffer, GrowingWindow, PathCollector, VersionedLookup
 from .runner import each_batch, start
 
 
@@ -196,11 +196,36 @@ def route_stream(df: DataFrame, folder: str, tags: dict[str, Column], every: str
 
 def statement_sink(df: DataFrame, folder: str, statement: str, batch_rows: int, write: Callable | None = None,
                    every: str | None = None):
-    """Batching sink: rows of a micro-batch grouped by statement, in files of at most ``batch_rows``
-    rows. ``write`` replaces the parquet target, e.g. by a JDBC writer with batchsize. With ``every`` the sink
-    flushes after that interval or ``batch_rows`` rows, whichever comes first, and the running query is returned."""
+    """Sink that writes every micro-batch whole: its rows grouped by statement, in files of at most ``batch_rows``
+    rows. ``write`` replaces the parquet target, e.g. by a JDBC writer with batchsize. With ``every`` a micro-batch ends
+    after that interval and the running query is returned. ``flushing_sink`` gathers rows over micro-batches."""
     def parquet(batch: DataFrame, number: int) -> None:
         (batch.write.option("maxRecordsPerFile", batch_rows).partitionBy(statement).mode("overwrite")
          .parquet(f"{folder}/data/batch={number}"))
 
     return _run(df.writeStream.foreachBatch(write or parquet), folder, every)
+
+
+def flushing_sink(df: DataFrame, folder: str, statement: str, batch_rows: int, interval: str, write: Callable | None = None,
+                  every: str = "1 second", salts: int = 1):
+    """Batching sink over micro-batches: the rows of a statement are flushed as soon as ``batch_rows`` of them are there, or when
+    the oldest has waited ``interval`` of processing time, whichever comes first; both survive a restart.
+
+    A flush has a number per statement (and salt, which spreads a hot statement) in column ``flush`` and is written as one
+    partition folder of its micro-batch, or by ``write(batch, number)``. Returns the running query; rows of open flushes
+    wait in state when it is stopped, and overdue ones leave with the first micro-batch after a restart."""
+    columns = [c for c in df.columns if c != statement]
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts)).cast("int")
+    rows = df.select(F.col(statement), salt.alias("salt"), F.to_json(F.struct(*columns)).alias("payload"))
+    kind = df.schema[statement].dataType.simpleString()
+    flushed = rows.groupBy(statement, "salt").transformWithStateInPandas(
+        FlushBuffer([statement, "salt"], batch_rows, micros(interval) // 1000),
+        f"`{statement}` {kind}, salt INT, flush BIGINT, payload STRING", "Append", "ProcessingTime")
+    back = flushed.select(statement, "salt", "flush", F.from_json("payload", df.select(*columns).schema).alias("__row")).select(statement, "salt", "flush", "__row.*")
+
+    def parquet(batch: DataFrame, number: int) -> None:
+        # a flush is bounded, so each is one file
+        (batch.repartition(statement, "salt", "flush").write.partitionBy(statement, "salt", "flush").mode("overwrite")
+         .parquet(f"{folder}/data/batch={number}"))
+
+    return _run(back.writeStream.foreachBatch(write or parquet), folder, every)

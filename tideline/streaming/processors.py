@@ -273,3 +273,60 @@ class FirstSeen(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class FlushBuffer(StatefulProcessor):
+    """Gathers rows per key until there are ``size`` of them or the oldest has waited ``wait_ms``.
+
+    Input column: payload (text). Output: key columns, flush (number of the flush of the key), payload. At most ``size`` - 1
+    rows of a key wait in state; the timer is part of the checkpoint, so it also fires after a restart.
+    """
+
+    def __init__(self, key_columns: list[str], size: int, wait_ms: int):
+        self.key_columns, self.size, self.wait_ms = key_columns, size, wait_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rows = handle.getListState("rows", "payload string")
+        self.open = handle.getValueState("open", "n bigint, flush bigint, due bigint")
+
+    def _frame(self, key, payloads: list, first: int) -> pd.DataFrame:
+        frame = pd.DataFrame({"flush": first + np.arange(len(payloads)) // self.size, "payload": payloads})
+        for i, name in enumerate(self.key_columns):
+            frame.insert(i, name, key[i])
+        return frame
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        n, flush, due = self.open.get() if self.open.exists() else (0, 0, 0)
+        for batch in rows:
+            arrived = batch["payload"].tolist()
+            if n + len(arrived) < self.size:
+                self.rows.appendList([(p,) for p in arrived])
+                n += len(arrived)
+            else:
+                held = ([p[0] for p in self.rows.get()] if n else []) + arrived
+                full = len(held) // self.size * self.size
+                yield self._frame(key, held[:full], flush)
+                flush, n = flush + full // self.size, len(held) - full
+                if n:
+                    self.rows.put([(p,) for p in held[full:]])
+                else:
+                    self.rows.clear()
+                if due:
+                    self.handle.deleteTimer(due)
+                    due = 0
+        if n and not due:
+            due = timerValues.getCurrentProcessingTimeInMs() + self.wait_ms
+            self.handle.registerTimer(due)
+        self.open.update((n, flush, due))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        n, flush, due = self.open.get()
+        if n and due <= timerValues.getCurrentProcessingTimeInMs():
+            held = [p[0] for p in self.rows.get()]
+            self.rows.clear()
+            self.open.update((0, flush + 1, 0))
+            yield self._frame(key, held, flush)
+
+    def close(self) -> None:
+        pass
