@@ -119,6 +119,7 @@ def test_pattern_measures_and_rows(spark):
 
 # --- envelope --------------------------------------------------------------------------------------
 
+# fixed values: the line and the row it must become
 SCHEMA = ("mail STRING, guid STRING, status INT, ipAddress STRING, metric STRING, service STRING, traceId STRING, "
           "logValue DOUBLE, time STRING")
 LINE = ('ANALYSIS,2020-08-06 17:20:24.066,2,{"condition":{"mail":"zhangsan@qq.com","guid":"1111111","request_id":"b1","status":"200"},'
