@@ -2,13 +2,13 @@
 
 1. One pass over the texts gives per document the size and a 128-bit signature of its shingle set and a
    sketch: the k smallest shingle hashes. Documents with equal sets form a class (map-side combined).
-2. Inverted lists: classes by retained value. A list of more than ``long_list`` classes is long. Every
-   class enters its short lists, and those long ones whose value is among the PREFIX least frequent of its whole
-   sketch (values of no other class come first), so that very common shingles seldom pair unrelated texts.
+2. Inverted lists: classes by retained value. A class enters the lists of the PREFIX least frequent values of its
+   whole sketch (values of no other class come first), so that a text with much of its own enters few lists or
+   none and common shingles seldom pair unrelated texts. A list of more than ``long_list`` classes is long.
 3. First every class meets a few hubs of its lists (the smallest id, the most central classes), linear in
    the list. Then classes of short lists that share ``OVERLAPS`` values (one, for sets below K) and are still in
    different components meet each other, and last the classes of long lists that hubs left in
-   different components and whose shared shingles allow a link at all.
+   different components and whose shared shingles allow a link at all; sketches of WIDE values judge these in the join.
 4. The sketch of the union estimates the similarity; pairs far below the limit go. Exact Jaccard on the full
    sets decides: first the most similar partner of each class, then only pairs that would still join two components.
 
@@ -36,6 +36,9 @@ OVERLAPS = 3
 LONG_LIST = 40
 #: five standard deviations of an estimate from K values at a similarity of 0.8
 MARGIN = 0.35
+#: values of the sketches that judge pairs of long lists, and five standard deviations of an estimate from them
+WIDE = 256
+WIDE_MARGIN = 0.125
 #: document ids that may be broadcast to pick texts out of a scan (16 bytes each)
 BROADCAST_IDS = 500_000
 
@@ -59,6 +62,18 @@ def _sketches(size: int):
     return run
 
 
+def _wide_sketches(size: int):
+    """(id, wide): the WIDE smallest shingle hashes, ascending."""
+    def run(batches):
+        for batch in batches:
+            for p in pieces(batch.column("text"), lower=True):
+                held = [s[:WIDE] for s in shingle_sets(p, word_hashes(p), size)]
+                ends = np.concatenate([[0], np.cumsum([len(s) for s in held])]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(p.first, len(p)),
+                                                  pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(held)))], names=["id", "wide"])
+    return run
+
+
 def _exact(size: int, threshold: int):
     """Pairs with both texts in, pairs that are similar out. Neighbouring rows share their first text."""
     def sets(column):
@@ -108,36 +123,37 @@ def _estimated(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFram
             .select("a", "b", "known", (F.col("shared") / F.col("of")).alias("estimate")))
 
 
-def _lists(classes: DataFrame, threshold: int, long_list: int) -> DataFrame:
+def _lists(classes: DataFrame, threshold: int) -> DataFrame:
     """(v, n_list, id, n) of the lists each class enters."""
     values = classes.select("id", "n", F.explode("sketch").alias("v"))
     sizes = values.groupBy("v").agg(F.count(F.lit(1)).alias("n_list")).where("n_list > 1")
     held = values.join(sizes, "v")
-    # at most K rows of each class
-    mine = (held.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct(
-        F.when(F.col("n_list") > long_list, F.col("n_list")).otherwise(0).alias("rank"), "v", "n_list"))).alias("held")))
-    short = F.filter("held", lambda x: x["rank"] == 0)
-    long_ = F.filter("held", lambda x: x["rank"] > 0)
-    before = F.least("n", F.lit(K)) - F.size(long_)
+    # at most K rows of each class, least frequent first
+    mine = held.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("n_list", "v"))).alias("held"))
+    alone = F.least("n", F.lit(K)) - F.size("held")
     prefix = F.when(F.col("n") < K, F.floor(F.col("n") * (100 - threshold) / 100) + 1).otherwise(PREFIX)
-    entered = F.concat(short, F.slice(long_, F.lit(1), F.greatest(prefix - before, F.lit(0)).cast("int")))
+    entered = F.slice("held", F.lit(1), F.greatest(prefix - alone, F.lit(0)).cast("int"))
     # a text that others were copied from holds more of what they share than any copy does
     central = F.struct(F.size("held").alias("many"), F.aggregate("held", F.lit(0).cast("long"), lambda total, x: total + x["n_list"]).alias("sum"))
     return (mine.select("id", "n", central.alias("central"), F.explode(entered).alias("x"))
             .select("id", "n", "central", F.col("x.v").alias("v"), F.col("x.n_list").alias("n_list")))
 
 
-def _spokes(lists: DataFrame, long_list: int) -> DataFrame:
-    """(a, b): every class with a few hubs of each list it is in; linear in the list."""
-    hubs = lists.groupBy("v").agg(F.min("id").alias("h1"), F.max_by("id", F.struct("central", "id")).alias("h2"),
-                                  F.max_by("id", F.struct("central.many", F.xxhash64("id", "v"))).alias("h3"))
-    rows = lists.join(hubs, "v").select("id", "n", (F.col("n_list") > long_list).alias("long"), F.explode(F.array_distinct(F.array("h1", "h2", "h3"))).alias("h"))
+def _spokes(lists: DataFrame, threshold: int, long_list: int) -> DataFrame:
+    """(a, b): every class with a few hubs of each list it is in, if their sizes allow a link; linear in the list."""
+    hub = F.struct("id", "n")
+    hubs = lists.groupBy("v").agg(F.min(hub).alias("h1"), F.max_by(hub, F.struct("central", "id")).alias("h2"),
+                                  F.max_by(hub, F.struct("central.many", F.xxhash64("id", "v"))).alias("h3"))
+    rows = (lists.join(hubs, "v").select("id", F.col("n").alias("n_a"), (F.col("n_list") > long_list).alias("long"),
+                                         F.explode(F.array_distinct(F.array("h1", "h2", "h3"))).alias("hub"))
+            .select("id", "long", "n_a", F.col("hub.id").alias("h"), F.col("hub.n").alias("n_b"))
+            .where(_fits(threshold)).withColumn("n", F.col("n_a")))
     return (rows.where("id != h").groupBy(F.least("id", "h").alias("a"), F.greatest("id", "h").alias("b"))
             .agg(F.count(F.lit(1)).alias("overlaps"), F.min("n").alias("n"), F.max("long").alias("long"))
             .where((F.col("overlaps") >= OVERLAPS) | (F.col("n") * 4 < K * 5) | F.col("long")).select("a", "b"))
 
 
-def _can_link(members: DataFrame, texts: DataFrame, size: int, threshold: int) -> DataFrame:
+def _can_link(members: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """(id, shared): how many shingles of a class stand in another class of ``members`` at all. A pair of
     sizes n and m with the similarity t shares t / (1 + t) * (n + m), so this bounds what a class can link with."""
     def run(batches):
@@ -161,7 +177,7 @@ def linked(docs: DataFrame, size: int = 2, threshold: int = 80, long_list: int =
     key = ["n", "sig_a", "sig_b"]
     classes = staged(sketched.where("n > 0 and doc_id is not null").groupBy(*key)
                      .agg(F.min("doc_id").alias("id"), F.first("sketch").alias("sketch")), "classes")
-    lists = staged(_lists(classes, threshold, long_list), "lists")
+    lists = staged(_lists(classes, threshold), "lists")
 
     def texts_of(ids: DataFrame) -> DataFrame:
         ids = staged(ids.distinct(), "involved")
@@ -176,7 +192,7 @@ def linked(docs: DataFrame, size: int = 2, threshold: int = 80, long_list: int =
         return texts_of(pairs.where("not known").select(F.explode(F.array("a", "b")).alias("id")))
 
     # every class with the hubs of its lists
-    tried = staged(_estimated(_spokes(lists, long_list), classes, threshold), "pairs")
+    tried = staged(_estimated(_spokes(lists, threshold, long_list), classes, threshold), "pairs")
     texts = open_texts(tried)
     # first each class with its most similar partner, then only the pairs that would still join two components
     best = tried.where("not known").groupBy("b").agg(F.max_by("a", F.struct("estimate", "a")).alias("a")).select("a", "b")
@@ -191,7 +207,7 @@ def linked(docs: DataFrame, size: int = 2, threshold: int = 80, long_list: int =
     marked = staged(_labelled(lists.drop("central"), comps), "marked")
     split = marked.groupBy("v", "n_list").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("v", "n_list")
     short = marked.join(split.where(F.col("n_list") <= long_list).select("v"), "v")
-    near = (_meeting(short, short, threshold).groupBy("a", "b", F.least("n_a", "n_b").alias("n")).agg(F.count(F.lit(1)).alias("overlaps"))
+    near = (_meeting(short, threshold).groupBy("a", "b", F.least("n_a", "n_b").alias("n")).agg(F.count(F.lit(1)).alias("overlaps"))
             .where(F.col("overlaps") >= F.when(F.col("n") < K, 1).otherwise(OVERLAPS)).select("a", "b")
             .join(tried.select("a", "b"), ["a", "b"], "left_anti"))
     near = staged(_estimated(near, classes, threshold), "pairs")
@@ -201,19 +217,21 @@ def linked(docs: DataFrame, size: int = 2, threshold: int = 80, long_list: int =
 
     # long lists that hubs left in several components: only classes that can link, against the whole list
     far = _labelled(lists.where(F.col("n_list") > long_list).select("id", "n", "v"), comps)
-    split = far.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n").alias("least")).where("lo < hi").select("v", "least")
+    split = far.groupBy("v").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("v")
     far = staged(far.join(split, "v"), "unresolved")
     if not far.isEmpty():
         texts = texts_of(far.select("id"))
-        able = _can_link(far, texts, size, threshold).where((100 + threshold) * F.col("shared") >= threshold * (F.col("n") + F.col("least")))
-        able = staged(able, "unresolved")
+        # a link shares at least ``threshold`` percent of either set; what only classes without a partner held is counted again
+        able = staged(_can_link(far, texts, size).where(100 * F.col("shared") >= threshold * F.col("n")).drop("shared"), "unresolved")
+        able = staged(_can_link(able, texts, size).where(100 * F.col("shared") >= threshold * F.col("n")), "unresolved")
         # the largest component of a list has found its hub; the others meet it and each other
         largest = able.groupBy("v", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("v").agg(
             F.max_by("component", F.struct("c", "component")).alias("largest"))
-        able = able.join(largest, "v")
-        cross = _meeting(able.where("component != largest"), able, threshold).select("a", "b").distinct()
-        cross = cross.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        cross = staged(_estimated(cross, classes, threshold), "pairs")
+        wide = (texts.join(able.select("id").distinct(), "id", "left_semi").mapInArrow(_wide_sketches(size), "id long, wide array<long>")
+                .join(able.groupBy("id").agg(F.collect_list("v").alias("held")), "id"))  # at most K lists
+        rows = staged(able.join(largest, "v").join(wide, "id"), "unresolved")
+        cross = _crossing(rows, threshold).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        cross = staged(cross, "pairs")
         if not cross.isEmpty():
             more = verified(cross, texts)
             found, comps = found.unionByName(more), components(more, comps)
@@ -224,18 +242,34 @@ def linked(docs: DataFrame, size: int = 2, threshold: int = 80, long_list: int =
     return rows, found
 
 
-def _meeting(some: DataFrame, all_: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a < b) of a row of ``some`` and a row of ``all_`` in one list, of different components, that their
-    sizes and, where known, their shared shingles allow."""
-    shared = "shared" in some.columns
-    cols = lambda x: [F.col("id").alias(f"id_{x}"), F.col("n").alias(f"n_{x}"), F.col("component").alias(f"c_{x}")] + (
-        [F.col("shared").alias(f"shared_{x}")] if shared else [])
-    able = F.lit(True)
-    if shared:
-        able = (100 + threshold) * F.least("shared_a", "shared_b") >= threshold * (F.col("n_a") + F.col("n_b"))
-    pairs = some.select("v", *cols("a")).join(all_.select("v", *cols("b")), "v").where(
-        (F.col("c_a") != F.col("c_b")) & (F.lit(shared) | (F.col("id_a") < F.col("id_b"))) & _fits(threshold) & able)
-    return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"), "n_a", "n_b")
+def _sides(rows: DataFrame, *columns: str) -> list[DataFrame]:
+    return [rows.select("v", *[F.col(c).alias(f"{c}_{x}") for c in columns]) for x in "ab"]
+
+
+def _meeting(rows: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a < b) of one list, of different components, that their sizes allow, once for each list they share."""
+    one, two = _sides(rows, "id", "n", "component")
+    return (one.join(two, "v").where((F.col("component_a") != F.col("component_b")) & (F.col("id_a") < F.col("id_b")) & _fits(threshold))
+            .select(F.col("id_a").alias("a"), F.col("id_b").alias("b"), "n_a", "n_b"))
+
+
+def _crossing(rows: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a < b) of one list and different components that their sizes, their shared shingles and their wide
+    sketches allow; ``known`` where these are the full sets. The join itself judges all that, and only in the first
+    list that two classes share."""
+    one, two = _sides(rows, "id", "n", "component", "largest", "shared", "held", "wide")
+    once = (F.col("component_b") == F.col("largest_b")) | (F.col("id_a") < F.col("id_b"))
+    able = (100 + threshold) * F.least("shared_a", "shared_b") >= threshold * (F.col("n_a") + F.col("n_b"))
+    first = F.array_min(F.array_intersect("held_a", "held_b")) == F.col("v")
+    known = (F.col("n_a") <= WIDE) & (F.col("n_b") <= WIDE)
+    both = F.array_intersect("wide_a", "wide_b")
+    least = (threshold / 100 - WIDE_MARGIN) * WIDE
+    union = F.slice(F.sort_array(F.array_union("wide_a", "wide_b")), 1, WIDE)
+    similar = F.when(known, (100 + threshold) * F.size(both) >= threshold * (F.col("n_a") + F.col("n_b"))).otherwise(
+        (F.size(both) >= least) & (F.size(F.array_intersect(both, union)) >= least))
+    pairs = one.where("component_a != largest_a").join(two.withColumnRenamed("v", "w"), (F.col("v") == F.col("w")) & (
+        F.col("component_a") != F.col("component_b")) & once & _fits(threshold) & able & first & similar)
+    return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"), known.alias("known"))
 
 
 def _repeated(docs: DataFrame) -> bool:

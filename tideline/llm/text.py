@@ -12,7 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 BASE = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
 _powers: dict[str, np.ndarray] = {}
 
@@ -97,13 +97,22 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i modulo 2**64 for i below n; kept for the life of the worker."""
-    if len(_powers.get("up", ())) < n:
-        size = max(n, PIECE + (PIECE >> 1))
+    """BASE**i and BASE**-i modulo 2**64 for i below n. Those for a usual piece are kept for the life of the
+    worker; those of a longer document are made for it and go with it."""
+    def made(size: int) -> dict[str, np.ndarray]:
+        out = {}
         for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
             steps = np.full(size, base, np.uint64)
             steps[:1] = 1
-            _powers[name] = np.multiply.accumulate(steps)
+            out[name] = np.multiply.accumulate(steps)
+        return out
+
+    kept = PIECE + (PIECE >> 1)
+    if n > kept:
+        own = made(n)
+        return own["up"], own["down"]
+    if not _powers:
+        _powers.update(made(kept))
     return _powers["up"][:n], _powers["down"][:n]
 
 
