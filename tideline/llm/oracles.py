@@ -49,32 +49,31 @@ def _url_language_ratio() -> str:
         fits = f"(host = '{name}' OR suffix(host, '.{name}')) AND prefix(path, '{slash}{rest}')"
         rule, says = f"CASE WHEN {fits} THEN '{text}' ELSE {rule} END", f"CASE WHEN {fits} THEN '{verdict}' ELSE {says} END"
     order = url_filter.ORDER
-    joins, a, b = [], f"(1.0 / {len(url_filter.ALPHABET) + 1})", f"(1.0 / {len(url_filter.ALPHABET) + 1})"
-    seen = []
+    levels = []
     for k in range(order + 1):
-        context, own = f"substr(gram, {order - k + 1}, {k})", f"substr(gram, {order - k + 1}, {k + 1})"
-        seen.append(f"""s{k} AS (SELECT {context} AS c, {own} AS g, sum(n) FILTER (says = 'allow') AS a, sum(n) FILTER (says = 'block') AS b
-  FROM grams WHERE says IS NOT NULL GROUP BY ALL),
-t{k} AS (SELECT c, coalesce(sum(a), 0) AS na, count(a) AS ka, coalesce(sum(b), 0) AS nb, count(b) AS kb FROM s{k} GROUP BY c)""")
-        joins.append(f"LEFT JOIN s{k} ON s{k}.g = {own} LEFT JOIN t{k} ON t{k}.c = {context}")
-        a, b = (f"(CASE WHEN coalesce(t{k}.n{x}, 0) > 0 THEN (coalesce(s{k}.{x}, 0) + t{k}.k{x} * {p}) "
-                f"/ (t{k}.n{x} + t{k}.k{x})::double ELSE {p} END)" for x, p in (("a", a), ("b", b)))
+        a, b = (f"CASE WHEN coalesce(na, 0) + coalesce(nb, 0) >= {url_filter.SUPPORT if k > 1 else 1} AND n{x} > 0 "
+                f"THEN (coalesce({x}, 0) + k{x} * p{x}) / (n{x} + k{x})::double ELSE p{x} END AS p{x}" for x in "ab")
+        below = f"JOIN m{k - 1} ON m{k - 1}.h = substr(g, 2)" if k else f"CROSS JOIN (SELECT 1.0::double / {url_filter.UNKNOWN} AS pa, 1.0::double / {url_filter.UNKNOWN} AS pb)"
+        levels.append(f"""s{k} AS (SELECT substr(gram, {order - k + 1}, {k}) AS c, substr(gram, {order - k + 1}, {k + 1}) AS g,
+  sum(n) FILTER (says = 'allow')::bigint AS a, sum(n) FILTER (says = 'block')::bigint AS b FROM grams GROUP BY ALL),
+t{k} AS (SELECT c, sum(a)::bigint AS na, count(a) AS ka, sum(b)::bigint AS nb, count(b) AS kb FROM s{k} GROUP BY c),
+m{k} AS (SELECT g AS h, {a}, {b} FROM s{k} JOIN t{k} USING (c) {below})""")
     return rf"""
 WITH parts AS (
   SELECT page_id, translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         coalesce(regexp_extract(regexp_extract(url, '://(.*)', 1, 's'), '^[^/?#]*(/[^?#]*)', 1, 's'), '') AS path FROM pages),
+         coalesce(regexp_extract(regexp_extract(url, '://(.*)', 1, 's'), '^[^/?#]*(/[^?#]*)', 1, 's'), '') AS path,
+         coalesce(regexp_extract(url, '://(.*)', 1, 's'), '') AS rest FROM pages),
 rows AS (
-  SELECT page_id, host, path, {rule} AS rule, {says} AS says,
-         regexp_replace(regexp_replace(lower(host || path), '[0-9]', '0', 'g'), '[^a-z0./_-]', '~', 'g') AS s FROM parts),
+  SELECT page_id, host, path, {rule} AS rule, {says} AS says, host || substr(rest, length(host) + 1) AS s FROM parts),
 marked AS (SELECT *, {DIGEST.format('s')} % {url_filter.HELD_OUT} = 0 AS held FROM rows),
 urls AS (SELECT s, CASE WHEN NOT held THEN says END AS says, count(*) AS n FROM marked GROUP BY ALL),
 grams AS (
-  SELECT says, sum(n) AS n, substr(repeat('{url_filter.PAD}', {order}) || s, i, {order + 1}) AS gram
+  SELECT says, sum(n) AS n, substr(repeat(chr({ord(url_filter.PAD)}), {order}) || s, i, {order + 1}) AS gram
   FROM (SELECT says, n, s, unnest(range(1, length(s) + 1)) AS i FROM urls) GROUP BY ALL),
-{', '.join(seen)},
-model AS (SELECT gram, ln({a}) - ln({b}) AS ratio FROM (SELECT DISTINCT gram FROM grams) {' '.join(joins)}),
+{', '.join(levels)},
+model AS (SELECT h AS gram, ln(pa) - ln(pb) AS ratio FROM m{order}),
 places AS (
-  SELECT s, substr(repeat('{url_filter.PAD}', {order}) || s, i, {order + 1}) AS gram
+  SELECT s, substr(repeat(chr({ord(url_filter.PAD)}), {order}) || s, i, {order + 1}) AS gram
   FROM (SELECT s, unnest(range(1, length(s) + 1)) AS i FROM (SELECT DISTINCT s FROM rows))),
 scores AS (SELECT s, round(avg(ratio), 6) AS score FROM places JOIN model USING (gram) GROUP BY s),
 scored AS (SELECT marked.*, score FROM marked LEFT JOIN scores USING (s)),

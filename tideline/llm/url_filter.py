@@ -1,12 +1,14 @@
 """URL filters: rules first, then a character language-model ratio, in DataFrame functions only.
 
 Two character models, one of accepted and one of rejected URLs (as the rules decide them), are smoothed
-variable-order Markov models: counts of contexts of 0 to 3 characters, each order interpolated with the next
-shorter one (Witten-Bell: weight by how many different characters follow the context). A URL's score is the
-mean over its characters of the log ratio. The limit is calibrated on rule-decided URLs that the models
+variable-order Markov models over the whole URL after the first ``://`` in its own characters (the host lower-cased):
+counts of contexts of 0 to ORDER characters, each order interpolated with the next shorter one (Witten-Bell: weight
+by how many different characters follow the context). A context of more than one character counts only where
+SUPPORT characters of the training URLs follow it, so contexts grow longer as the URLs grow more. A URL's score
+is the mean over its characters of the log ratio. The limit is calibrated on rule-decided URLs that the models
 were not fitted on: the lowest score that still lets all but MISSED of the accepted ones pass.
 
-Characters are mapped to ALPHABET, so a model has at most (len(ALPHABET) + 1) ** 4 rows at any input size.
+The model is a table keyed by gram that grows with the URLs; scores join it, by broadcast only where it is small.
 """
 
 from __future__ import annotations
@@ -16,9 +18,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..plans.sizes import broadcast_if_small
 from ..plans.staging import staged
 
-ALPHABET = "abcdefghijklmnopqrstuvwxyz0./-_~"
-ORDER = 3
-PAD = "^"
+ORDER = 6
+SUPPORT = 4
+#: what stands before a URL, and how many characters are taken for equally likely where nothing is known
+PAD = "\x02"
+UNKNOWN = 256
 MISSED = 0.02
 HELD_OUT = 5
 #: host suffix and path prefix -> verdict
@@ -47,10 +51,11 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def _characters(host: Column, path: Column) -> Column:
-    """The URL in the model's alphabet: letters lower-cased, digits one symbol, all others '~'."""
-    text = F.lower(F.concat(host, path))
-    return F.regexp_replace(F.regexp_replace(text, "[0-9]", "0"), r"[^a-z0./_-]", "~")
+def _characters(url: Column) -> Column:
+    """What follows the first ``://``, query and fragment too, with the host lower-cased."""
+    rest = F.regexp_extract(url, r"(?s)://(.*)", 1)
+    host = host_of(url)
+    return F.coalesce(F.concat(host, F.substring(rest, F.length(host) + 1, F.length(rest))), F.lit(""))
 
 
 def _grams(urls: DataFrame, *carry: str) -> DataFrame:
@@ -61,26 +66,27 @@ def _grams(urls: DataFrame, *carry: str) -> DataFrame:
             .select(*carry, F.substring("padded", F.col("at"), F.lit(ORDER + 1)).alias("gram")))
 
 
-def _model(training: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(gram, ratio) for every gram of ``wanted``: log p(accepted) - log p(rejected). ``training`` has (gram, says, n)."""
-    rows = wanted
+def _model(grams: DataFrame) -> DataFrame:
+    """(gram, ratio) for every gram of ``grams`` (gram, says, n): log p(accepted) - log p(rejected). Grams whose
+    ``says`` is null are wanted, but teach nothing. Every order is one aggregate, one window over the characters
+    that follow a context, and one join with the next shorter grams."""
+    shorter = None
     for k in range(ORDER + 1):
-        context, counted = F.substring("gram", ORDER - k + 1, k), F.substring("gram", ORDER - k + 1, k + 1)
-        seen = (training.groupBy(context.alias("c"), counted.alias("g"))
-                .agg(F.sum(F.when(F.col("says") == "allow", F.col("n"))).alias("a"), F.sum(F.when(F.col("says") == "block", F.col("n"))).alias("b")))
-        totals = seen.groupBy("c").agg(F.coalesce(F.sum("a"), F.lit(0)).alias(f"na{k}"), F.count("a").alias(f"ka{k}"),
-                                       F.coalesce(F.sum("b"), F.lit(0)).alias(f"nb{k}"), F.count("b").alias(f"kb{k}"))
-        rows = (rows.withColumn("c", context).withColumn("g", counted)
-                .join(totals, "c", "left").join(seen.select("g", F.col("a").alias(f"a{k}"), F.col("b").alias(f"b{k}")), "g", "left")
-                .drop("c", "g"))
-
-    def probability(x: str) -> Column:
-        p = F.lit(1.0 / (len(ALPHABET) + 1))
-        for k in range(ORDER + 1):
-            n, kinds, own = (F.coalesce(F.col(f"{name}{k}"), F.lit(0)) for name in (f"n{x}", f"k{x}", x))
-            p = F.when(n > 0, (own + kinds * p) / (n + kinds)).otherwise(p)
-        return p
-    return rows.select("gram", (F.log(probability("a")) - F.log(probability("b"))).alias("ratio"))
+        level = (grams.groupBy(F.substring("gram", ORDER - k + 1, k).alias("c"), F.substring("gram", ORDER - k + 1, k + 1).alias("g"))
+                 .agg(F.sum(F.when(F.col("says") == "allow", F.col("n"))).alias("a"), F.sum(F.when(F.col("says") == "block", F.col("n"))).alias("b")))
+        following = Window.partitionBy("c")
+        level = level.select("g", "a", "b", *[f(x).over(following).alias(name + x) for x in "ab" for name, f in (("n", F.sum), ("k", F.count))])
+        if shorter is None:
+            level = level.withColumns({"pa": F.lit(1.0 / UNKNOWN), "pb": F.lit(1.0 / UNKNOWN)})
+        else:
+            level = level.join(shorter, F.substring("g", 2, k) == F.col("h"))
+        known = F.coalesce("na", F.lit(0)) + F.coalesce("nb", F.lit(0)) >= (SUPPORT if k > 1 else 1)
+
+        def probability(x: str) -> Column:
+            own, kinds = F.coalesce(x, F.lit(0)), F.col(f"k{x}")
+            return F.when(known & (F.col(f"n{x}") > 0), (own + kinds * F.col(f"p{x}")) / (F.col(f"n{x}") + kinds)).otherwise(F.col(f"p{x}"))
+        shorter = level.select(F.col("g").alias("h"), probability("a").alias("pa"), probability("b").alias("pb"))
+    return shorter.select(F.col("h").alias("gram"), (F.log("pa") - F.log("pb")).alias("ratio"))
 
 
 def _held(s: Column) -> Column:
@@ -95,16 +101,16 @@ def judged(pages: DataFrame, rules=RULES, missed: float = MISSED) -> DataFrame:
     model has no evidence against it and it is allowed. So is every URL if the rules accept or reject no
     URL at all. Repeated rows count each. Other columns are ignored; an empty table gives no rows."""
     url = F.col("url").cast("string")
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"), _characters(url).alias("s"))
     rule, says = rule_of(F.col("host"), F.col("path"), rules)
     rows = staged(rows.select("page_id", "host", "path", rule.alias("rule"), says.alias("says"),
-                              _characters(F.col("host"), F.col("path")).alias("s")), "urls")
+                              F.col("s")), "urls")
     # equal strings are counted once
     urls = rows.groupBy("s", "says").agg(F.count(F.lit(1)).alias("n"))
     held = _held(F.col("s"))
     grams = staged(_grams(urls.withColumn("says", F.when(~held, F.col("says"))), "says", "n")
                    .groupBy("gram", "says").agg(F.sum("n").alias("n")), "grams")
-    model = staged(_model(grams.where("says is not null"), grams.select("gram").distinct()), "model")
+    model = staged(_model(grams), "model")
     scored = (_grams(rows.select("s").distinct(), "s").join(broadcast_if_small(model, 32 << 20), "gram")
               .groupBy("s").agg(F.round(F.avg("ratio"), 6).alias("score")))
     scored = staged(rows.join(scored, "s", "left").withColumn("held", _held(F.col("s"))).drop("s"), "scored")
