@@ -1,9 +1,11 @@
 """Every operator on odd rows and on empty tables."""
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from tideline.llm import (chat_format, decontamination, license_scan, mixing, near_dedup, quality_classifier, quality_rules, sharding,
-                          toxicity, url_filter)
+                          text, toxicity, url_filter)
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -159,3 +161,13 @@ def test_url_model_reads_whole_urls_in_their_own_characters(spark):
     # the limit is calibrated on accepted hosts, so here the scores tell
     assert got[1001].verdict == got[1003].verdict == "block"
     assert got[1000].score > 0 > got[1001].score and got[1002].score > 0 > got[1003].score
+
+
+def test_words_hash_alike_in_documents_longer_than_a_piece():
+    words = [f"w{i % 1000}" for i in range(200_000)]
+    column = pa.array(["a b", " ".join(words), None, " ".join(words[:1000])])
+    got = [(p.first, text.word_hashes(p), p.n_words()) for p in text.pieces(column)]
+    assert sum(int(n.sum()) for _, _, n in got) == 2 + 200_000 + 1000
+    every = np.concatenate([h for _, h, _ in got])
+    assert len(" ".join(words)) > 2 * text.PIECE
+    assert (every[2:200_002].reshape(200, 1000) == every[-1000:]).all() and len(np.unique(every[-1000:])) == 1000
