@@ -1,6 +1,7 @@
 """Streams fed in time slices against their batch twins, restarts, routing, retention."""
 
 import datetime as dt
+import os
 import time
 
 import pytest
@@ -83,6 +84,44 @@ def test_count_windows_over_slices(spark, sliced):
     assert {r["user_id"]: r["count"] for r in got.groupBy("user_id").count().collect()} == {u: n for u, n in sizes.items() if n}
 
 
+@pytest.mark.parametrize("size, slide", [(20, 5), (7, 3), (4, 6), (1, 1)])
+def test_sliding_count_windows_over_slices(spark, sliced, size, slide):
+    """Windows reach over micro-batches; sizes that the slide does not divide, and slides longer than the window."""
+    folder, events = sliced
+    got = append_to_table(streams.sliding_count_windows(stream(spark, folder), "user_id", "event_id", "value", size, slide), "s")
+    values = {}
+    # the order of arrival: slice by slice, inside a slice by id
+    for r in events.selectExpr("user_id", "CAST(round(value * 100) AS long) AS cents", "(dayofmonth(ts) - 1) div 10 AS part", "event_id").where(
+            "part < 3").orderBy("part", "event_id").collect():
+        values.setdefault(r.user_id, []).append(r.cents)
+    expected = sorted((u, at, min(at, size), sum(v[max(0, at - size):at])) for u, v in values.items() for at in range(slide, len(v) + 1, slide))
+    mine = sorted((r.user_id, r.arrivals, r.rows_in_window, round(r.total * 100)) for r in got.where("user_id >= 0").collect())
+    assert mine == expected
+
+
+def test_incremental_distinct_twin_over_slices(spark, sliced):
+    folder, events = sliced
+    got = streams.incremental_distinct(stream(spark, folder), "ts", "1 day", "5 hours", "event_type", "user_id", salts=3)
+    batch = incremental_window(events, "ts", "1 day", "5 hours", ["event_type"], sums={"n": F.count(F.lit(1))}, distinct={"distinct": "user_id"})
+    mine = got.where("event_type <> 'closing'").select("event_type", F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                                                       F.col("fire_time").cast("timestamp_ntz").alias("fire_time"), "n", "distinct")
+    assert rows(mine) == rows(batch, "event_type", "window_start", "fire_time", "n", "distinct")
+
+
+def test_incremental_distinct_moves_a_value_to_an_earlier_interval(spark, tmp_path):
+    """A value seen at 04:30 first, then out of order at 01:10, counts from the first interval on; NULLs count as rows only."""
+    t = lambda h, m: dt.datetime(2024, 5, 1, h, m)
+    parts = [[("a", 7, t(4, 30)), ("a", 8, t(2, 0))], [("a", 7, t(1, 10)), ("a", None, t(3, 30))], [("a", 9, END)]]
+    for i, part in enumerate(parts):
+        path = f"{tmp_path}/{i}"
+        spark.createDataFrame(part, "k string, v long, ts timestamp_ntz").coalesce(1).write.parquet(path)
+        for f in (tmp_path / str(i)).glob("*.parquet"):
+            os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
+    src = stream_parquet(spark, f"{tmp_path}/*/*.parquet", "ts", "6 hours", files_per_batch=1)
+    got = streams.incremental_distinct(src, "ts", "6 hours", "2 hours", "k", "v", salts=2).where("year(window_start) = 2024")
+    assert [r[1:] for r in rows(got, "fire_time", "n", "distinct")] == [(1, 1), (3, 2), (4, 2)]
+
+
 def test_early_results_converge(spark, sliced):
     folder, events = sliced
     running = streams.early_results(stream(spark, folder), "ts", "30 days", ["event_type"], [F.count(F.lit(1)).alias("n")])

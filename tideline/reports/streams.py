@@ -11,7 +11,7 @@ from ..streaming.runner import append_to_table, each_batch, latest_update, strea
 from .aggregates import PATH_SQL, path_inputs
 from .joins import CONTROL_SQL, FIRST_VALUE_SQL, INTERVAL_SQL, prop_k, session_sql
 from .registry import report
-from .windows import HOP_SQL, LATE_SQL, PUNCTUATED_SQL, arrivals_of
+from .windows import HOP_SQL, LATE_SQL, PUNCTUATED_SQL, SLIDING_SQL, arrivals_of
 
 MARK = "(SELECT date_trunc('millisecond', max(ts)) FROM events {where}) - INTERVAL '{delay}'"
 NOT_SIGNUP = "WHERE event_type <> 'signup'"
@@ -163,6 +163,22 @@ def _(t):
     return append_to_table(streams.count_windows(events(t), "user_id", "event_id", "value", 10), "count")
 
 
+@report("stream_count_window_sliding", SLIDING_SQL)
+def _(t):
+    return append_to_table(streams.sliding_count_windows(events(t), "user_id", "event_id", "value", 20, 5), "slide")
+
+
+@report("stream_incremental_distinct", f"""
+WITH s AS (SELECT event_type, time_bucket(INTERVAL '1' DAY, ts) AS w, ts, user_id FROM events),
+f AS (SELECT event_type, w, w + i * INTERVAL '3' HOUR AS fire FROM (SELECT event_type, w, min(ts) AS first FROM s GROUP BY ALL),
+      range(1, 9) r(i) WHERE w + i * INTERVAL '3' HOUR > first)
+SELECT f.event_type, f.w AS window_start, f.fire AS fire_time, count(*) AS pv, count(DISTINCT user_id) AS uv
+FROM f JOIN s ON s.event_type = f.event_type AND s.w = f.w AND s.ts < f.fire WHERE f.fire <= {mark('1 hour')} GROUP BY ALL""")
+def _(t):
+    got = streams.incremental_distinct(events(t), "ts", "1 day", "3 hours", "event_type", "user_id")
+    return zoneless(got.select("event_type", "window_start", "fire_time", F.col("n").alias("pv"), F.col("distinct").alias("uv")))
+
+
 @report("stream_purchase_paths", PATH_SQL.rstrip() + f" AND pt <= {mark('2 hours', NOT_SIGNUP)}")
 def _(t):
     _, config = path_inputs(t.events)

@@ -12,7 +12,7 @@ from ..operators.ranking import top_n
 from ..operators.temporal import asof_join
 from ..plans.durations import at, floor_to, instant, micros
 from ..sources.sinks import write_routed
-from .processors import CountWindow, FirstSeen, FlushBuffer, GrowingWindow, PathCollector, VersionedLookup
+from .processors import CountWindow, FirstSeen, FlushBuffer, GrowingDistinct, GrowingWindow, PathCollector, SlidingCountWindow, VersionedLookup
 from .runner import each_batch, start
 
 
@@ -95,6 +95,30 @@ def incremental_window(df: DataFrame, time: str, size: str, interval: str, key:
                         instant(F.col("fire_us"), "timestamp").alias("fire_time"), "n", (F.col("total_cents") / 100).alias("total"))
 
 
+def incremental_distinct(df: DataFrame, time: str, size: str, interval: str, key: str, value: str, salts: int = 8,
+                         label: str = "incremental-distinct", folder: str | None = None, every: str | None = None) -> DataFrame:
+    """Incremental window of a stream: rows and distinct values per key so far, at every firing.
+
+    State is split by value into ``salts`` groups per key and window, so a hot key is no single task. A firing leaves all
+    its groups in the same micro-batch, which adds them up. NULL values count as rows only. Column batch numbers
+    the micro-batch; ``folder`` and ``every`` as in runner.each_batch."""
+    size_us, step_us = micros(size), micros(interval)
+    spread = F.pmod(F.xxhash64(value), F.lit(salts)).cast("int")
+    rows = df.select(key, floor_to(at(time), size_us).alias("start_us"), spread.alias("salt"), at(time).alias("at_us"),
+                     F.col(value).cast("string").alias("value"), time)
+    kind = df.schema[key].dataType.simpleString()
+    parts = rows.groupBy(key, "start_us", "salt").transformWithStateInPandas(
+        GrowingDistinct([key, "start_us", "salt"], size_us, step_us),
+        f"`{key}` {kind}, start_us BIGINT, salt INT, fire_us BIGINT, n BIGINT, distinct BIGINT", "Append", "EventTime")
+
+    def whole(batch: DataFrame, _: int) -> DataFrame:
+        return (batch.groupBy(key, "start_us", "fire_us").agg(F.sum("n").alias("n"), F.sum("distinct").alias("distinct"))
+                .select(key, instant(F.col("start_us"), "timestamp").alias("window_start"),
+                        instant(F.col("fire_us"), "timestamp").alias("fire_time"), "n", "distinct"))
+
+    return each_batch(parts, label, whole, folder=folder, every=every)
+
+
 def early_results(df: DataFrame, time: str, size: str, keys: list[str], aggs: list[Column], offset: str | None = None) -> DataFrame:
     """Running result of open windows; write it in update mode with a processing-time trigger."""
     window = F.window(time, size, size, offset) if offset else F.window(time, size)
@@ -112,6 +136,16 @@ def count_windows(df: DataFrame, key: str, row_id: str, amount: str, size: int)
     return got.select(key, "window_no", (F.col("total_cents") / 100).alias("total"))
 
 
+def sliding_count_windows(df: DataFrame, key: str, row_id: str, amount: str, size: int, slide: int) -> DataFrame:
+    """Every ``slide`` rows per key, the total of its last ``size`` rows. Rows of a micro-batch count in the order of ``row_id``."""
+    rows = df.select(key, F.col(row_id).cast("long").alias("id"),
+                     F.round(F.col(amount).cast("decimal(18,2)") * 100).cast("long").alias("cents"))
+    kind = df.schema[key].dataType.simpleString()
+    got = rows.groupBy(key).transformWithStateInPandas(
+        SlidingCountWindow([key], size, slide), f"{key} {kind}, arrivals BIGINT, total_cents BIGINT", "Append", "None")
+    return got.select(key, "arrivals", F.least("arrivals", F.lit(size)).alias("rows_in_window"), (F.col("total_cents") / 100).alias("total"))
+
+
 def purchase_paths(events: DataFrame, read_config: Callable[[], DataFrame], time: str = "ts", label: str = "paths",
                    folder: str | None = None, every: str | None = None) -> DataFrame:
     """Paths closed by the stream, judged per micro-batch by the configuration in force at the purchase.

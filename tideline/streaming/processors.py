@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from bisect import bisect_right
 from collections.abc import Iterator
+from math import gcd
 
 import numpy as np
 import pandas as pd
@@ -191,6 +192,115 @@ class CountWindow(StatefulProcessor):
         pass
 
 
+class SlidingCountWindow(StatefulProcessor):
+    """Every ``slide`` rows of a key the sum of its last ``size`` rows, fewer at the beginning.
+
+    Input columns: id (arrival order inside a micro-batch), cents. Output: key columns, arrivals, total_cents. The state is
+    a ring of the running totals at the ends of the last panes, a pane being the rows that divide both size and slide.
+    """
+
+    def __init__(self, key_columns: list[str], size: int, slide: int):
+        self.key_columns, self.size, self.slide, self.pane = key_columns, size, slide, gcd(size, slide)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.open = handle.getValueState("open", "arrivals bigint, total bigint, marks array<bigint>")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        before, total, marks = self.open.get() if self.open.exists() else (0, 0, [0])
+        arrived = pd.concat(list(rows)).sort_values("id")
+        sums = total + np.cumsum(arrived["cents"].to_numpy(np.int64))
+        now, passed = before + len(sums), before // self.pane
+        ends = np.arange((passed + 1) * self.pane, now + 1, self.pane)
+        oldest = passed + 1 - len(marks)  # the pane end that the first mark stands for
+        marks = np.append(np.array(marks, np.int64), sums[ends - before - 1])
+        fired = np.arange((before // self.slide + 1) * self.slide, now + 1, self.slide)
+        kept = marks[-(self.size // self.pane):]
+        # totals count from the oldest mark, so they stay small however long the stream runs
+        self.open.update((now, int(sums[-1] - kept[0]), (kept - kept[0]).tolist()))
+        if len(fired):
+            held = marks[fired // self.pane - oldest] - marks[np.maximum(fired - self.size, 0) // self.pane - oldest]
+            frame = pd.DataFrame({"arrivals": fired, "total_cents": held})
+            for i, name in enumerate(self.key_columns):
+                frame.insert(i, name, key[i])
+            yield frame
+
+    def close(self) -> None:
+        pass
+
+
+class GrowingDistinct(StatefulProcessor):
+    """Incremental window that counts rows and distinct values of (key, window start, salt) at every interval.
+
+    Input columns: at_us, value (text, null: counts as a row only). Output: key columns, fire_us, n, distinct. A value counts in
+    the interval that saw it first. An earlier row that arrives later moves it there, which changes no result that has been
+    reported, because the watermark has not passed that interval.
+    """
+
+    def __init__(self, key_columns: list[str], size_us: int, step_us: int):
+        self.key_columns, self.size_us, self.step_us = key_columns, size_us, step_us
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.first = handle.getMapState("first", "value string", "step bigint")
+        self.steps = handle.getMapState("steps", "step bigint", "n bigint, found bigint")
+        self.fired = handle.getValueState("fired", "step bigint, n bigint, found bigint")
+
+    def _end(self, start: int, step: int) -> int:
+        return min(start + (step + 1) * self.step_us, start + self.size_us)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        start = int(key[self.key_columns.index("start_us")])
+        for batch in rows:
+            steps = ((batch["at_us"] - start) // self.step_us).astype("int64")
+            added = {int(s): [int(n), 0] for s, n in steps.value_counts().items()}
+            for value, step in steps.groupby(batch["value"]).min().items():
+                seen = self.first.getValue((value,))[0] if self.first.containsKey((value,)) else None
+                if seen is None or step < seen:
+                    self.first.updateValue((value,), (int(step),))
+                    added.setdefault(int(step), [0, 0])[1] += 1
+                    if seen is not None:
+                        added.setdefault(seen, [0, 0])[1] -= 1
+            for step, (n, found) in added.items():
+                old = self.steps.getValue((step,)) if self.steps.containsKey((step,)) else (0, 0)
+                self.steps.updateValue((step,), (old[0] + n, old[1] + found))
+            if added:
+                self.handle.registerTimer(max(_due_ms(self._end(start, min(added))), timerValues.getCurrentWatermarkInMs() + 1))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        start, watermark = int(key[self.key_columns.index("start_us")]), timerValues.getCurrentWatermarkInMs()
+        last = (self.size_us - 1) // self.step_us
+        if self.fired.exists():
+            step, n, found = self.fired.get()
+            step += 1
+        else:
+            step, n, found = min((k[0] for k in self.steps.keys()), default=last + 1), 0, 0
+        out = []
+        while step <= last and _due_ms(self._end(start, step)) <= watermark:
+            if self.steps.containsKey((step,)):
+                add = self.steps.getValue((step,))
+                n, found = n + add[0], found + add[1]
+                self.steps.removeKey((step,))
+            out.append((self._end(start, step), n, found))
+            step += 1
+        if step > last:
+            self.steps.clear()
+            self.first.clear()
+            self.fired.clear()
+        else:
+            if out:
+                self.fired.update((step - 1, n, found))
+            self.handle.registerTimer(_due_ms(self._end(start, step)))
+        if out:
+            frame = pd.DataFrame(out, columns=["fire_us", "n", "distinct"])
+            for i, name in enumerate(self.key_columns):
+                frame.insert(i, name, key[i])
+            yield frame
+
+    def close(self) -> None:
+        pass
+
+
 class PathCollector(StatefulProcessor):
     """Purchase paths per (user_id, channel): one row per PURCHASE with the counts of its path.
 
