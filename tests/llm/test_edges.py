@@ -78,6 +78,33 @@ def test_license_scan(odd, documents):
     assert sorted((r.doc_id, r.license) for r in got) == [(1, "CC-BY-NC-4.0"), (3, "MIT")]
 
 
+def test_license_clauses(documents):
+    """A clause deep in a text shows its license; sister licenses are told apart by the words that a template must have."""
+    later = {"BSD": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following\n"
+                    " * disclaimer in the documentation and/or other materials provided with the distribution.",
+             "ISC": "permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+                    "provided that the above copyright notice and this permission notice appear in all copies.",
+             "Unlicense": "This is free and unencumbered software released into the public domain.",
+             "GPL-2.0": "either version 2 of the License, or (at your option) any later version.",
+             "GPL-3.0": "either version 3 of the License, or (at your option) any later version.",
+             "LGPL": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
+             "AGPL": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
+             "GPL": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License",
+             "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+             "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
+             "BSL-1.0": "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+                        "accompanying documentation covered by this license"}
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(2500 + 700 * i)) + " " + text + " and so on", "a") for i, text in enumerate(later.values())]
+    got = license_scan.found(documents(rows + [(99, "This work is shared under a general license of the public.", "a")])).collect()
+    assert sorted((r.doc_id, r.license) for r in got) == list(enumerate(later))
+
+
+def test_license_templates_are_distinct(documents):
+    """Every template is found in its own text, and shows no other license."""
+    got = license_scan.found(documents([(i, row[1], "a") for i, row in enumerate(license_scan.TEMPLATES)])).collect()
+    assert sorted((r.doc_id, r.license) for r in got) == [(i, row[0]) for i, row in enumerate(license_scan.TEMPLATES)]
+
+
 def test_near_duplicates(odd):
     rows = by_id(near_dedup.near_duplicates(odd))
     assert [(r["doc_id"], r["component_id"], r["kept"]) for r in rows] == [

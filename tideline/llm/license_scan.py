@@ -10,24 +10,50 @@ pieces of at most WINDOW - STRIDE + 1 words, one at every word, so a whole piece
 BANDS bands of one row each then meet with probability 1 - (1 - s) ** BANDS: above 0.9999 for pieces of
 5 words, the shortest template here. The band keys of the templates are few and are broadcast.
 A window that meets a band is only a candidate: it counts if the words around it contain LIMIT of the
-template's shingles.
+template's shingles, and all that the template must have.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# fixed values: common license notices, as they are written
+# fixed values: the notices and clauses of common licenses, as they are written. Each row is found by itself, so any clause
+# of a license shows it. A third value, where there is one, are words that must be among those found: they tell a
+# notice from the like ones of a sister license.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("MIT", "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
+    ("MIT", "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+    ("MIT or Unlicense", "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
+    ("Apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", "Attribution-NonCommercial 4.0"),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License.", "Attribution 4.0"),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "Attribution-ShareAlike 4.0"),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3.", "version 3"),
+    ("GPL-3.0", "either version 3 of the License, or (at your option) any later version", "version 3"),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2.", "version 2"),
+    ("GPL-2.0", "either version 2 of the License, or (at your option) any later version", "version 2"),
+    ("GPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License", "GNU General"),
+    ("LGPL", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License", "GNU Lesser"),
+    ("AGPL", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License", "GNU Affero"),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("BSD", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."),
+    ("BSD", "may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("BSD", "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("ISC", "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", "Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("Zlib", "Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions"),
+    ("Zlib", "The origin of this software must not be misrepresented; you must not claim that you wrote the original software."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license", "person or organization"),
 )
 WINDOW, STRIDE = 8, 4
 PIECE = WINDOW - STRIDE + 1
@@ -57,9 +83,12 @@ def _pair_hashes(words: str) -> Column:
 
 
 def templates(spark: SparkSession, rows=TEMPLATES) -> DataFrame:
-    table = spark.createDataFrame([(i, name, text) for i, (name, text) in enumerate(rows)], "template int, license string, text string")
-    table = table.withColumn("words", F.filter(words_of(F.col("text")), lambda w: w != ""))
-    return table.select("template", "license", F.size("words").alias("length"), _pair_hashes("words").alias("own"))
+    table = spark.createDataFrame([(i, name, text, *(must or ("",))) for i, (name, text, *must) in enumerate(rows)],
+                                  "template int, license string, text string, must string")
+    for name in ("text", "must"):
+        table = table.withColumn(f"{name}_words", F.filter(words_of(F.col(name)), lambda w: w != ""))
+    return table.select("template", "license", F.size("text_words").alias("length"), _pair_hashes("text_words").alias("own"),
+                        _pair_hashes("must_words").alias("must"))
 
 
 def _keys(table: DataFrame) -> list[list[tuple[int, int]]]:
@@ -76,7 +105,7 @@ def found(docs: DataFrame, rows=TEMPLATES, limit: float = LIMIT) -> DataFrame:
     Documents without a license give no row.
 
     Null and empty texts hold none. Repeated rows of one doc_id are taken together; a null doc_id is one
-    document. Templates need two words. Other columns are ignored; an empty table gives no rows."""
+    document. Templates need two words; rows are (license, text) or (license, text, words that must be found). Other columns are ignored; an empty table gives no rows."""
     spark = docs.sparkSession
     table = templates(spark, rows)
     longest = table.agg(F.max("length")).first()[0]
@@ -104,7 +133,8 @@ def found(docs: DataFrame, rows=TEMPLATES, limit: float = LIMIT) -> DataFrame:
     around = F.slice("h", F.greatest(F.col("at") + 2 - longest, F.lit(1)), longest + F.least(F.col("at") + 1, F.lit(longest - 1)) + WINDOW)
     # the join's table is bounded by the templates
     candidates = (banded.join(F.broadcast(known.join(F.broadcast(table), "template")), "key").where("band = on_band")
-                  .select("doc_id", "license", "own", around.alias("around")))
+                  .select("doc_id", "license", "own", "must", around.alias("around")))
     share = F.size(F.array_intersect("own", "around")) / F.size(F.array_distinct("own"))
-    return (candidates.select("doc_id", "license", "around", share.alias("share")).where(F.col("share") >= limit)
+    return (candidates.where(F.size(F.array_except("must", "around")) == 0)
+            .select("doc_id", "license", share.alias("share")).where(F.col("share") >= limit)
             .groupBy("doc_id", "license").agg(F.max("share").alias("containment")))

@@ -115,19 +115,21 @@ FROM rated
 
 def _license_scan() -> str:
     gaps = license_scan.GAPS.replace("'", "''")
-    values = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(license_scan.TEMPLATES))
+    values = ", ".join(f"('{name}', '{text}', '{''.join(must)}')" for name, text, *must in license_scan.TEMPLATES)
     words = rf"regexp_split_to_array(lower(coalesce(text, '')), '[{gaps}]+')"
     pairs = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
     return rf"""
 WITH templates AS (
-  SELECT license, len(w) AS length, list_distinct({pairs}) AS own
-  FROM (SELECT license, list_filter({words}, lambda x: x <> '') AS w FROM (VALUES {values}) AS t(id, license, text))),
+  SELECT license, length, own, {pairs} AS must
+  FROM (SELECT license, len(w) AS length, list_distinct({pairs}) AS own, list_filter({words.replace("text", "must")}, lambda x: x <> '') AS w
+        FROM (SELECT license, must, list_filter({words}, lambda x: x <> '') AS w FROM (VALUES {values}) AS t(license, text, must)))),
 longest AS (SELECT max(length) AS m FROM templates),
 docs AS (SELECT doc_id, {pairs} AS h FROM (SELECT doc_id, {words} AS w FROM documents)),
 windows AS (
   SELECT doc_id, list_distinct(h[greatest(a + 2 - m, 1):a + m + {license_scan.WINDOW}]) AS around
   FROM (SELECT doc_id, h, unnest(range(0, len(h), {license_scan.STRIDE})) AS a FROM docs), longest),
-shares AS (SELECT doc_id, license, len(list_intersect(own, around)) / len(own) AS share FROM windows, templates)
+shares AS (SELECT doc_id, license, len(list_intersect(own, around)) / len(own) AS share FROM windows, templates
+           WHERE list_has_all(around, must))
 SELECT doc_id, license, max(share) AS containment FROM shares WHERE share >= {license_scan.LIMIT} GROUP BY ALL
 """
 
