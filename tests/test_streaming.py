@@ -2,12 +2,14 @@
 
 import datetime as dt
 import os
+import random
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows
+from tideline.functions import multisets
 from tideline.operators import temporal
 from tideline.operators.incremental import incremental_window
 from tideline.reports.aggregates import path_inputs
@@ -256,3 +258,52 @@ def test_operators_run_until_stopped(spark, sliced, tmp_path):
     assert sink.isActive
     sink.stop()
     assert spark.read.parquet(str(tmp_path / "s" / "data")).select("event_id").distinct().count() >= events.count()
+
+
+def in_slices(spark, tmp_path, parts, schema):
+    """A stream of one file per micro-batch."""
+    for i, part in enumerate(parts):
+        path = tmp_path / f"in{i}"
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(path))
+        for f in path.glob("*.parquet"):
+            os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
+    return stream_parquet(spark, f"{tmp_path}/in*/*.parquet", "ts", "1 hour", files_per_batch=1)
+
+
+def random_events(kinds, n=600, users=40):
+    rng = random.Random(11)
+    made = [(i, dt.datetime(2024, 5, 1) + dt.timedelta(minutes=rng.randrange(3 * 24 * 60)),
+             rng.choice([None, -3, 2 ** 53 + 1, *range(users)]), rng.choice(kinds)) for i in range(n)]
+    parts = [[e for e in made if e[1].day == day] for day in (1, 2, 3)]
+    return made, [*parts, [(-1, END, -1, kinds[0])]]
+
+
+def counted(cls, folder):
+    """``cls`` leaving a file per call of its timer."""
+    class Counted(cls):
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            import pathlib
+            import uuid
+            pathlib.Path(folder, uuid.uuid4().hex).touch()
+            yield from super().handleExpiredTimer(key, timerValues, expiredTimerInfo)
+    return Counted
+
+
+def test_purchase_paths_by_state_groups(spark, tmp_path, monkeypatch):
+    """A timer per group and micro-batch, not per user and reading of the batch; null users, ids beyond doubles, paths over slices."""
+    (tmp_path / "calls").mkdir()
+    monkeypatch.setattr(streams, "PathCollector", counted(streams.PathCollector, str(tmp_path / "calls")))
+    made, parts = random_events(["VIEW_PRODUCT", "ADD_TO_CART", "PURCHASE"])
+    src = in_slices(spark, tmp_path, parts, "event_id long, ts timestamp_ntz, user_id long, event_type string").withColumn("channel", F.lit("WEB"))
+    config = spark.createDataFrame([], "channel string, ts timestamp_ntz, event_id long, history_purchase_times int, max_purchase_path_length int")
+    got = streams.purchase_paths(src, lambda: config, groups=4).withColumn("counts", multisets.as_text("event_type_counts"))
+    expected, open_ = [], {}
+    for _, ts, user, kind in sorted(made, key=lambda e: (e[1], e[0])):
+        path = open_.setdefault(user, [])
+        path.append(kind)
+        if kind == "PURCHASE":
+            if len(path) > 3:
+                expected.append((user, ts, len(path), ",".join(f"{k}:{path.count(k)}" for k in sorted(set(path)))))
+            del open_[user]
+    assert rows(got, "user_id", "purchase_time", "purchase_path_length", "counts") == sorted(expected, key=repr)
+    assert 4 <= len(os.listdir(tmp_path / "calls")) <= 4 * 5

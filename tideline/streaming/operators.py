@@ -61,6 +61,10 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_time: str, r
     return probes.join(target, cond & (F.col("__cell") == F.col("__rcell"))).drop("__r_key", "__cell", "__rcell")
 
 
+#: state groups that the keys of a stateful operator are spread over by hash; raise it where a group gets too large for a task
+STATE_GROUPS = 512
+
+
 def versioned_lookup(facts: DataFrame, versions: DataFrame, key: str, time: str, fact_id: str, version_time: str,
                      version_id: str, payload: Column, value: Column, delay: str = "5 seconds", probes: int = 0,
                      how: str = "left", salts: int = 1) -> DataFrame:
@@ -147,14 +151,18 @@ def sliding_count_windows(df: DataFrame, key: str, row_id: str, amount: str, siz
 
 
 def purchase_paths(events: DataFrame, read_config: Callable[[], DataFrame], time: str = "ts", label: str = "paths",
-                   folder: str | None = None, every: str | None = None) -> DataFrame:
+                   folder: str | None = None, every: str | None = None, groups: int = STATE_GROUPS) -> DataFrame:
     """Paths closed by the stream, judged per micro-batch by the configuration in force at the purchase.
-    ``read_config`` returns the configuration history (channel, ts, event_id and the two limits)."""
-    rows = events.select("user_id", "channel", "event_type", at(time).alias("at_us"), F.col("event_id").alias("id"), time)
-    closed = rows.groupBy("user_id", "channel").transformWithStateInPandas(
-        PathCollector(["user_id", "channel"]),
-        "user_id BIGINT, channel STRING, purchase_us BIGINT, id BIGINT, length BIGINT, counts MAP<STRING, BIGINT>",
+    ``read_config`` returns the configuration history (channel, ts, event_id and the two limits). Users are spread over
+    ``groups`` state groups; events without a time take no part."""
+    rows = events.where(F.col(time).isNotNull()).select(
+        F.pmod(F.xxhash64("user_id", "channel"), F.lit(groups)).cast("int").alias("__group"), F.col("user_id").cast("string").alias("user_id"),
+        "channel", "event_type", at(time).alias("at_us"), F.col("event_id").alias("id"), time)
+    closed = rows.groupBy("__group").transformWithStateInPandas(
+        PathCollector("__group"),
+        "__group INT, user_id STRING, channel STRING, purchase_us BIGINT, id BIGINT, length BIGINT, counts MAP<STRING, BIGINT>",
         "Append", "EventTime")
+    closed = closed.drop("__group").withColumn("user_id", F.col("user_id").cast("long"))
 
     def judge(batch: DataFrame, _: int) -> DataFrame:
         config = read_config()
@@ -168,7 +176,8 @@ def purchase_paths(events: DataFrame, read_config: Callable[[], DataFrame], time
                 .select("user_id", F.coalesce("__channel", F.lit(DEFAULT_CONFIG["channel"])).alias("channel"), "purchase_time",
                         F.col("length").alias("purchase_path_length"), F.col("counts").alias("event_type_counts")))
 
-    return each_batch(closed, label, judge, folder=folder, every=every)
+    # judging measures the batch before it joins it, which would run the stateful operator again each time
+    return each_batch(closed, label, judge, folder=folder, every=every, keep=True)
 
 
 def first_seen(df: DataFrame, keys: list[str], ttl_ms: int, time: str | None = None) -> DataFrame:

@@ -2,6 +2,9 @@
 
 All of them buffer rows until the watermark passes, so results do not depend on the order in which
 files or partitions arrive. Times travel as microseconds, timers fire in milliseconds.
+
+Every state group costs several calls to the state store per micro-batch, however few rows it has. So ``PathCollector`` holds
+many keys per group, works on whole columns, and keeps its rows as packed Arrow pieces.
 """
 
 from __future__ import annotations
@@ -12,6 +15,7 @@ from math import gcd
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 
@@ -19,6 +23,66 @@ def _due_ms(us: int) -> int:
     return -(-int(us) // 1000)
 
 
+#: rows of one piece of packed state
+PIECE_ROWS = 20_000
+
+
+def _packed(frame: pd.DataFrame, schema: pa.Schema) -> list[tuple[bytes]]:
+    """Rows as entries of a list state, many rows to an entry."""
+    out = []
+    for batch in pa.Table.from_pandas(frame, schema, preserve_index=False).to_batches(PIECE_ROWS):
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, schema) as writer:
+            writer.write_batch(batch)
+        out.append((sink.getvalue().to_pybytes(),))
+    return out
+
+
+def _unpacked(state, schema: pa.Schema) -> pd.DataFrame:
+    held = [pa.ipc.open_stream(pa.py_buffer(bytes(p[0]))).read_all() for p in state.get()] if state.exists() else []
+    return pa.concat_tables([schema.empty_table(), *held]).to_pandas()
+
+
+def _put(state, frame: pd.DataFrame, schema: pa.Schema) -> None:
+    if len(frame):
+        state.put(_packed(frame, schema))
+    else:
+        state.clear()
+
+
+def _codes(*columns: pd.Series) -> np.ndarray:
+    """A number for each different combination of values; a null is a value like others."""
+    codes = np.zeros(len(columns[0]), np.int64)
+    for column in columns:
+        own, values = pd.factorize(column)
+        codes = pd.factorize(codes * (len(values) + 1) + own + 1)[0]
+    return codes
+
+
+class _OneTimer:
+    """The one timer of a group, at the earliest moment asked for."""
+
+    def __init__(self, handle: StatefulProcessorHandle):
+        self.handle, self.due = handle, handle.getValueState("due", "ms bigint")
+
+    def earlier(self, us: int, watermark: int) -> None:
+        """Rows have come that are due at ``us``."""
+        ms = max(_due_ms(us), watermark + 1)
+        if self.due.exists():
+            old = self.due.get()[0]
+            if old <= ms:
+                return
+            self.handle.deleteTimer(old)
+        self.at(ms)
+
+    def at(self, ms: int) -> None:
+        self.handle.registerTimer(ms)
+        self.due.update((ms,))
+
+    def off(self) -> None:
+        self.due.clear()
+
+
 class VersionedLookup(StatefulProcessor):
     """Facts probe the versions of their key at fact time, then ``probes`` more times every ``step_us``.
 
@@ -304,54 +368,68 @@ class GrowingDistinct(StatefulProcessor):
 class PathCollector(StatefulProcessor):
     """Purchase paths per (user_id, channel): one row per PURCHASE with the counts of its path.
 
-    Input columns: event_type, at_us, id. Output: key columns, purchase_us, id of the purchase, length,
-    counts as map. Events wait for the watermark, so a path follows event time.
+    Input columns: user_id (text), channel, event_type, at_us, id. Output: group column, user_id, channel, purchase_us,
+    id of the purchase, length, counts as map. A group holds many users. Events wait for the watermark, so a path
+    follows event time.
     """
 
-    def __init__(self, key_columns: list[str], closing_type: str = "PURCHASE"):
-        self.key_columns, self.closing_type = key_columns, closing_type
+    WAITING = pa.schema([("user_id", pa.string()), ("channel", pa.string()), ("event_type", pa.string()), ("at_us", pa.int64()), ("id", pa.int64())])
+    COUNTS = pa.schema([("user_id", pa.string()), ("channel", pa.string()), ("event_type", pa.string()), ("n", pa.int64())])
+
+    def __init__(self, group_column: str, closing_type: str = "PURCHASE"):
+        self.group_column, self.closing_type = group_column, closing_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", "at_us bigint, id bigint, event_type string")
-        self.counts = handle.getMapState("counts", "event_type string", "n bigint")
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.counts = handle.getListState("counts", "rows binary")
+        self.timer = _OneTimer(handle)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        arrived = [(int(at), int(rid), kind) for batch in rows
-                   for kind, at, rid in zip(batch["event_type"], batch["at_us"], batch["id"])]
-        if arrived:
-            self.waiting.appendList(arrived)
-            self.handle.registerTimer(max(_due_ms(min(arrived)[0]), timerValues.getCurrentWatermarkInMs() + 1))
+        due = []
+        for batch in rows:
+            self.waiting.appendList(_packed(batch[self.WAITING.names], self.WAITING))
+            due.append(int(batch["at_us"].min()))
+        self.timer.earlier(min(due), timerValues.getCurrentWatermarkInMs())
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        waiting = sorted(self.waiting.get()) if self.waiting.exists() else []
-        ready = [w for w in waiting if _due_ms(w[0]) <= watermark]
-        if not ready:
-            return
-        counts = {k[0]: v[0] for k, v in self.counts.iterator()}
-        before, out = dict(counts), []
-        for at, rid, kind in ready:
-            counts[kind] = counts.get(kind, 0) + 1
-            if kind == self.closing_type:
-                out.append((at, rid, sum(counts.values()), counts))
-                counts = {}
-        rest = waiting[len(ready):]
-        if rest:
-            self.waiting.put(rest)
-            self.handle.registerTimer(_due_ms(rest[0][0]))
+        waiting = _unpacked(self.waiting, self.WAITING)
+        ready = (waiting["at_us"] <= timerValues.getCurrentWatermarkInMs() * 1000).to_numpy()
+        rest = waiting[~ready]
+        if len(rest):
+            self.timer.at(_due_ms(rest["at_us"].min()))
         else:
-            self.waiting.clear()
-        for kind in before.keys() - counts.keys():
-            self.counts.removeKey((kind,))
-        for kind, n in counts.items():
-            if before.get(kind) != n:
-                self.counts.updateValue((kind,), (n,))
-        if out:
-            frame = pd.DataFrame(out, columns=["purchase_us", "id", "length", "counts"])
-            for i, name in enumerate(self.key_columns):
-                frame.insert(i, name, key[i])
+            self.timer.off()
+        if not ready.any():
+            return
+        _put(self.waiting, rest, self.WAITING)
+        # the counts of a path still open stand before the events of its user
+        begun = _unpacked(self.counts, self.COUNTS).assign(at_us=np.iinfo(np.int64).min, id=0)
+        rows = pd.concat([begun, waiting[ready].assign(n=1)], ignore_index=True)
+        kinds, kind_names = pd.factorize(rows["event_type"], sort=True)
+        codes = _codes(rows["user_id"], rows["channel"])
+        order = np.lexsort((kinds, rows["id"].to_numpy(np.int64), rows["at_us"].to_numpy(np.int64), codes))
+        rows, kinds, codes = rows.iloc[order].reset_index(drop=True), kinds[order], codes[order]
+        closes = (rows["event_type"] == self.closing_type).to_numpy(bool)
+        begins = np.ones(len(rows), bool)
+        begins[1:] = closes[:-1] | (codes[1:] != codes[:-1])
+        path = np.cumsum(begins) - 1
+        # one entry per path and event type, in the order of the paths
+        entry, first, of = np.unique(path * (len(kind_names) + 1) + kinds + 1, return_index=True, return_inverse=True)
+        n = np.zeros(len(entry), np.int64)
+        np.add.at(n, of, rows["n"].to_numpy(np.int64))
+        entry_path, entry_kind = path[first], rows["event_type"].to_numpy(object)[first]
+        closed = np.zeros(path[-1] + 1, bool)
+        closed[path[closes]] = True
+        left = first[~closed[entry_path]]
+        _put(self.counts, rows.loc[left, ["user_id", "channel", "event_type"]].assign(n=n[~closed[entry_path]]), self.COUNTS)
+        if closes.any():
+            frame = rows.loc[closes, ["user_id", "channel", "at_us", "id"]].rename(columns={"at_us": "purchase_us"}).reset_index(drop=True)
+            a, b = (np.searchsorted(entry_path, path[closes], side) for side in ("left", "right"))
+            frame["length"] = [int(n[i:j].sum()) for i, j in zip(a, b)]
+            names, counts = entry_kind.tolist(), n.tolist()
+            frame["counts"] = [dict(zip(names[i:j], counts[i:j])) for i, j in zip(a.tolist(), b.tolist())]
+            frame.insert(0, self.group_column, key[0])
             yield frame
 
     def close(self) -> None:

@@ -51,15 +51,20 @@ def append_to_table(df: DataFrame, label: str, folder: str | None = None, every:
 
 
 def each_batch(df: DataFrame, label: str, work: Callable[[DataFrame, int], DataFrame], mode: str = "append",
-               folder: str | None = None, every: str | None = None) -> DataFrame | StreamingQuery:
+               folder: str | None = None, every: str | None = None, keep: bool = False) -> DataFrame | StreamingQuery:
     """Send a stream through ``work`` per micro-batch. A batch is written under its own number, so a batch that is
     replayed after a failure replaces its earlier attempt. Drains it and reads the result back, or with
-    ``every`` returns the running query."""
+    ``every`` returns the running query. ``keep`` computes a batch once for a ``work`` that reads it several times."""
     spark = df.sparkSession
     folder = folder or fresh_dir(spark, label)
 
     def write(batch: DataFrame, number: int) -> None:
-        work(batch, number).write.mode("overwrite").parquet(f"{folder}/data/batch={number}")
+        held = batch.persist() if keep else batch
+        try:
+            work(held, number).write.mode("overwrite").parquet(f"{folder}/data/batch={number}")
+        finally:
+            if keep:
+                held.unpersist()
 
     query = start(df.writeStream.outputMode(mode).foreachBatch(write), f"{folder}/checkpoint", every)
     if every:
