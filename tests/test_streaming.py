@@ -307,3 +307,23 @@ def test_purchase_paths_by_state_groups(spark, tmp_path, monkeypatch):
             del open_[user]
     assert rows(got, "user_id", "purchase_time", "purchase_path_length", "counts") == sorted(expected, key=repr)
     assert 4 <= len(os.listdir(tmp_path / "calls")) <= 4 * 5
+
+
+def test_retry_lookup_by_state_groups(spark, tmp_path, monkeypatch):
+    """A timer per group and micro-batch, not per key; null keys meet, keys beyond doubles keep their digits."""
+    (tmp_path / "calls").mkdir()
+    monkeypatch.setattr(streams, "VersionedLookup", counted(streams.VersionedLookup, str(tmp_path / "calls")))
+    made, parts = random_events(["fact", "version"])
+    src = in_slices(spark, tmp_path, parts, "event_id long, ts timestamp_ntz, user_id long, event_type string")
+    got = append_to_table(streams.versioned_lookup(
+        src.where("event_type = 'fact'"), src.where("event_type = 'version'"), "user_id", "ts", "event_id", "ts", "event_id",
+        F.lit("p"), F.col("event_id"), delay="6 hours", probes=2, salts=2, groups=4), "r")
+    expected = []
+    for rid, ts, user, kind in made:
+        if kind == "fact":
+            known = sorted((e[1], e[0]) for e in made if e[2] == user and e[3] == "version")
+            tries = [(n, [v for v in known if v[0] <= ts + n * dt.timedelta(hours=6)]) for n in range(3)]
+            hit = next(((n, v[-1][1]) for n, v in tries if v), (None, None))
+            expected.append((user, rid, "p", None if hit[1] is None else str(hit[1]), hit[0]))
+    assert rows(got.where("id >= 0"), "user_id", "id", "payload", "version", "attempt") == sorted(expected, key=repr)
+    assert 8 <= len(os.listdir(tmp_path / "calls")) <= 8 * 5

@@ -65,25 +65,38 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_time: str, r
 STATE_GROUPS = 512
 
 
+def _key_text(df: DataFrame, key: str) -> Column:
+    kind = df.schema[key].dataType.simpleString()
+    if kind in ("float", "double"):
+        return (F.col(key) + F.lit(0.0)).cast("string")  # -0.0 and 0.0 are one key
+    return F.base64(key) if kind == "binary" else F.col(key).cast("string")
+
+
+def _key_back(text: str, kind: str) -> Column:
+    return F.unbase64(text) if kind == "binary" else F.col(text).cast(kind)
+
+
 def versioned_lookup(facts: DataFrame, versions: DataFrame, key: str, time: str, fact_id: str, version_time: str,
                      version_id: str, payload: Column, value: Column, delay: str = "5 seconds", probes: int = 0,
-                     how: str = "left", salts: int = 1) -> DataFrame:
+                     how: str = "left", salts: int = 1, groups: int = STATE_GROUPS) -> DataFrame:
     """Retry lookup join (probes = retries + 1) or event-time as-of join (probes = 0) of two streams.
 
-    Both inputs need watermarks on their times. ``salts`` spreads the facts of a hot key over that many
-    state groups; versions are repeated for each.
+    Both inputs need watermarks on their times; rows without a time take no part. Keys are spread over ``groups`` state
+    groups. ``salts`` spreads the facts of a hot key over that many; versions are repeated for each.
     """
-    spread = F.pmod(F.xxhash64(fact_id), F.lit(salts)).cast("int")
-    lefts = facts.select(F.col(key), spread.alias("__salt"), F.lit(1).alias("side"), at(time).alias("at_us"),
-                         F.col(fact_id).cast("long").alias("id"), payload.cast("string").alias("payload"), F.col(time).alias("__time"))
-    rights = versions.select(F.col(key), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__salt"), F.lit(0).alias("side"),
-                             at(version_time).alias("at_us"), F.col(version_id).cast("long").alias("id"),
-                             value.cast("string").alias("payload"), F.col(version_time).alias("__time"))
+    def side(df: DataFrame, number: int, salt: Column, moment: str, row_id: str, text: Column) -> DataFrame:
+        held = _key_text(df, key)
+        return df.where(F.col(moment).isNotNull()).select(
+            F.pmod(F.xxhash64(held), F.lit(groups)).cast("int").alias("__group"), salt.alias("__salt"), held.alias("key"), F.lit(number).alias("side"),
+            at(moment).alias("at_us"), F.col(row_id).cast("long").alias("id"), text.cast("string").alias("payload"), F.col(moment).alias("__time"))
+
+    lefts = side(facts, 1, F.pmod(F.xxhash64(fact_id), F.lit(salts)).cast("int"), time, fact_id, payload)
+    rights = side(versions, 0, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))), version_time, version_id, value)
     kind = facts.schema[key].dataType.simpleString()
-    schema = f"{key} {kind}, __salt INT, id BIGINT, payload STRING, version STRING, attempt INT"
-    return (lefts.unionByName(rights).groupBy(key, "__salt")
-            .transformWithStateInPandas(VersionedLookup([key, "__salt"], micros(delay), probes, how == "left"),
-                                        schema, "Append", "EventTime").drop("__salt"))
+    found = lefts.unionByName(rights).groupBy("__group", "__salt").transformWithStateInPandas(
+        VersionedLookup(["__group", "__salt"], micros(delay), probes, how == "left"),
+        "__group INT, __salt INT, key STRING, id BIGINT, payload STRING, version STRING, attempt INT", "Append", "EventTime")
+    return found.select(_key_back("key", kind).alias(key), "id", "payload", "version", "attempt")
 
 
 def incremental_window(df: DataFrame, time: str, size: str, interval: str, key: str, amount: str) -> DataFrame:

@@ -3,13 +3,12 @@
 All of them buffer rows until the watermark passes, so results do not depend on the order in which
 files or partitions arrive. Times travel as microseconds, timers fire in milliseconds.
 
-Every state group costs several calls to the state store per micro-batch, however few rows it has. So ``PathCollector`` holds
-many keys per group, works on whole columns, and keeps its rows as packed Arrow pieces.
+Every state group costs several calls to the state store per micro-batch, however few rows it has. So ``VersionedLookup`` and
+``PathCollector`` hold many keys per group, work on whole columns, and keep their rows as packed Arrow pieces.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
 from collections.abc import Iterator
 from math import gcd
 
@@ -83,77 +82,99 @@ class _OneTimer:
         self.due.clear()
 
 
+def _latest(version_codes: np.ndarray, version_times: np.ndarray, codes: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """The place of the last version of the same code at or before each time, or -1. Versions are sorted by code and time."""
+    side = np.repeat([0, 1], [len(version_codes), len(codes)])
+    order = np.lexsort((side, np.concatenate([version_times, times]), np.concatenate([version_codes, codes])))
+    place = np.empty(len(order), np.int64)
+    place[order] = np.cumsum(side[order] == 0) - 1
+    place = place[len(version_codes):]
+    if not len(version_codes):
+        return np.full(len(codes), -1)
+    return np.where((place >= 0) & (version_codes[place] == codes), place, -1)
+
+
 class VersionedLookup(StatefulProcessor):
     """Facts probe the versions of their key at fact time, then ``probes`` more times every ``step_us``.
 
-    Input columns: side (0 version, 1 fact), at_us, id, payload (text). Output: id, payload of the fact,
-    version (text, null if padded), attempt (null if padded). Versions older than the newest one the
-    watermark has passed are forgotten.
+    Input columns: key (text), side (0 version, 1 fact), at_us, id, payload (text). Output: group columns, key, id,
+    payload of the fact, version (text, null if padded), attempt (null if padded). A group holds many keys. Versions
+    older than the newest one the watermark has passed are forgotten.
     """
 
-    def __init__(self, key_columns: list[str], step_us: int, probes: int, keep_misses: bool):
-        self.key_columns, self.step_us, self.probes, self.keep_misses = key_columns, step_us, probes, keep_misses
+    VERSIONS = pa.schema([("key", pa.string()), ("at_us", pa.int64()), ("id", pa.int64()), ("payload", pa.string())])
+    WAITING = pa.schema([("key", pa.string()), ("probe_us", pa.int64()), ("id", pa.int64()), ("payload", pa.string()), ("attempt", pa.int32())])
+
+    def __init__(self, group_columns: list[str], step_us: int, probes: int, keep_misses: bool):
+        self.group_columns, self.step_us, self.probes, self.keep_misses = group_columns, step_us, probes, keep_misses
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.versions = handle.getListState("versions", "at_us bigint, id bigint, payload string")
-        self.waiting = handle.getListState("waiting", "probe_us bigint, id bigint, payload string, attempt int")
+        self.versions = handle.getListState("versions", "rows binary")
+        self.waiting = handle.getListState("waiting", "rows binary")
+        self.timer = _OneTimer(handle)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        versions, facts = [], []
+        due, newest = [], []
         for batch in rows:
-            for side, at, rid, payload in zip(batch["side"], batch["at_us"], batch["id"], batch["payload"]):
-                if side == 0:
-                    versions.append((int(at), int(rid), payload))
-                else:
-                    facts.append((int(at), int(rid), payload, 0))
-        due = []
-        if versions:
-            self.versions.appendList(versions)
-            # also a key without facts forgets what its newest passed version has replaced
-            due.append(max(versions)[0])
-        if facts:
-            self.waiting.appendList(facts)
-            due.append(min(facts)[0])
-        for at in due:
-            self.handle.registerTimer(max(_due_ms(at), timerValues.getCurrentWatermarkInMs() + 1))
+            versions, facts = batch[batch["side"] == 0], batch[batch["side"] != 0]
+            if len(versions):
+                self.versions.appendList(_packed(versions[self.VERSIONS.names], self.VERSIONS))
+                newest.append(int(versions["at_us"].max()))
+            if len(facts):
+                facts = facts.rename(columns={"at_us": "probe_us"}).assign(attempt=0)[self.WAITING.names]
+                self.waiting.appendList(_packed(facts, self.WAITING))
+                due.append(int(facts["probe_us"].min()))
+        # also a group without facts forgets what its newest passed versions have replaced
+        self.timer.earlier(min([*due, *([max(newest)] if newest else [])]), timerValues.getCurrentWatermarkInMs())
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs()
-        waiting = list(self.waiting.get()) if self.waiting.exists() else []
-        known = sorted(self.versions.get()) if self.versions.exists() else []
-        times = [v[0] for v in known]
-        out, rest = [], []
-        for probe, rid, payload, attempt in waiting:
-            while _due_ms(probe) <= watermark:
-                found = bisect_right(times, probe)
-                if found:
-                    out.append((rid, payload, known[found - 1][2], attempt))
-                elif attempt < self.probes:
-                    probe, attempt = probe + self.step_us, attempt + 1
-                    continue
-                elif self.keep_misses:
-                    out.append((rid, payload, None, None))
-                break
-            else:
-                rest.append((probe, rid, payload, attempt))
-        if len(rest) < len(waiting) or rest != waiting:
-            if rest:
-                self.waiting.put(rest)
-            else:
-                self.waiting.clear()
-        if rest:
-            self.handle.registerTimer(_due_ms(min(rest)[0]))
-        # no row still to come or waiting probes before this moment, so only the newest version then stays
-        floor_us = min([watermark * 1000, *[w[0] for w in rest]])
-        passed = bisect_right(times, floor_us)
-        if passed > 1:
-            self.versions.put(known[passed - 1:])
-        if out:
-            frame = pd.DataFrame(out, columns=["id", "payload", "version", "attempt"])
-            frame["attempt"] = frame["attempt"].astype("Int32")
-            for i, name in enumerate(self.key_columns):
+        passed_us = timerValues.getCurrentWatermarkInMs() * 1000
+        waiting, known = _unpacked(self.waiting, self.WAITING), _unpacked(self.versions, self.VERSIONS)
+        codes = _codes(pd.concat([known["key"], waiting["key"]], ignore_index=True))
+        known_codes, codes = codes[:len(known)], codes[len(known):]
+        order = np.lexsort((pd.factorize(known["payload"], sort=True)[0], known["id"].to_numpy(np.int64), known["at_us"].to_numpy(np.int64), known_codes))
+        known, known_codes = known.iloc[order], known_codes[order]
+        times = known["at_us"].to_numpy(np.int64)
+
+        probe, attempt = waiting["probe_us"].to_numpy(np.int64).copy(), waiting["attempt"].to_numpy(np.int64).copy()
+        version, done = np.full(len(waiting), -1), np.zeros(len(waiting), bool)
+        due = np.flatnonzero(probe <= passed_us)
+        while len(due):
+            version[due] = _latest(known_codes, times, codes[due], probe[due])
+            again = (version[due] < 0) & (attempt[due] < self.probes)
+            done[due[~again]] = True
+            due = due[again]
+            probe[due] += self.step_us
+            attempt[due] += 1
+            due = due[probe[due] <= passed_us]
+        changed = done | (attempt != waiting["attempt"].to_numpy())
+        rest = waiting.assign(probe_us=probe, attempt=attempt)[~done]
+        if changed.any():
+            _put(self.waiting, rest, self.WAITING)
+
+        # no row still to come or waiting probes a key before this moment, so only the newest version then stays
+        floor = np.full(max([-1, *codes, *known_codes]) + 1, passed_us)
+        np.minimum.at(floor, codes[~done], probe[~done])
+        replaced = np.zeros(len(known), bool)
+        replaced[:-1] = (known_codes[1:] == known_codes[:-1]) & (times[1:] <= floor[known_codes[1:]])
+        if replaced.any():
+            _put(self.versions, known[~replaced], self.VERSIONS)
+        wake = [*rest["probe_us"].nsmallest(1), *([times.max()] if len(times) and times.max() > passed_us else [])]
+        if wake:
+            self.timer.at(_due_ms(min(wake)))
+        else:
+            self.timer.off()
+
+        out = np.flatnonzero(done & ((version >= 0) | self.keep_misses))
+        if len(out):
+            found = version[out] >= 0
+            frame = waiting.iloc[out][["key", "id", "payload"]].reset_index(drop=True)
+            held = known["payload"].to_numpy(object)
+            frame["version"] = np.where(found, held[np.maximum(version[out], 0)], None) if len(held) else None
+            frame["attempt"] = pd.array(attempt[out], "Int32")
+            frame.loc[~found, "attempt"] = pd.NA
+            for i, name in enumerate(self.group_columns):
                 frame.insert(i, name, key[i])
             yield frame
 
