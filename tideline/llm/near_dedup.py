@@ -39,6 +39,8 @@ MARGIN = 0.35
 #: values of the sketches that judge pairs of long lists, and five standard deviations of an estimate from them
 WIDE = 256
 WIDE_MARGIN = 0.125
+#: shingles that a task gathers before it combines them, and about as many as one part of all of them holds
+PART_SHINGLES = 500_000
 #: document ids that may be broadcast to pick texts out of a scan (16 bytes each)
 BROADCAST_IDS = 500_000
 
@@ -153,19 +155,55 @@ def _spokes(lists: DataFrame, threshold: int, long_list: int) -> DataFrame:
             .where((F.col("overlaps") >= OVERLAPS) | (F.col("n") * 4 < K * 5) | F.col("long")).select("a", "b"))
 
 
-def _can_link(members: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """(id, shared): how many shingles of a class stand in another class of ``members`` at all. A pair of
-    sizes n and m with the similarity t shares t / (1 + t) * (n + m), so this bounds what a class can link with."""
+def _gathered(size: int, parts: int):
+    """Shingles of a task's classes by hash, a row for each part: those of one class with that class, and those of several."""
+    def rows(s, ids):
+        order = np.argsort(s, kind="stable")
+        s, ids = s[order], ids[order]
+        starts = np.flatnonzero(np.append(True, s[1:] != s[:-1])[:len(s)])
+        s, ids, single = s[starts], ids[starts], np.diff(np.append(starts, len(s))) == 1
+        part = (s.view(np.uint64) % np.uint64(parts)).astype(np.int32)
+        columns = []
+        for values, of in ((s[single], part[single]), (ids[single], part[single]), (s[~single], part[~single])):
+            ends = np.concatenate([[0], np.cumsum(np.bincount(of, minlength=parts))]).astype(np.int32)
+            columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(values[np.argsort(of, kind="stable")])))
+        return pa.RecordBatch.from_arrays([pa.array(np.arange(parts, dtype=np.int32)), *columns], names=["part", "s", "id", "several"])
+
     def run(batches):
+        held, ids, n = [], [], 0
         for batch in batches:
             for p in pieces(batch.column("text"), lower=True):
-                held = list(shingle_sets(p, word_hashes(p), size))
-                ids = batch.column("id").slice(p.first, len(p))
-                yield pa.RecordBatch.from_arrays([ids.take(pa.array(np.repeat(np.arange(len(p)), [len(s) for s in held]))),
-                                                  pa.array(np.concatenate(held))], names=["id", "s"])
-    rows = texts.join(members.select("id").distinct(), "id", "left_semi").mapInArrow(run, "id long, s long")
-    often = rows.groupBy("s").agg(F.count(F.lit(1)).alias("c"), F.min("id").alias("id"))
-    alone = often.where("c = 1").groupBy("id").agg(F.count(F.lit(1)).alias("alone"))
+                sets = list(shingle_sets(p, word_hashes(p), size))
+                own = batch.column("id").slice(p.first, len(p)).to_numpy(zero_copy_only=False)
+                held += sets
+                ids.append(np.repeat(own, [len(s) for s in sets]))
+                n += len(ids[-1])
+                if n >= PART_SHINGLES:
+                    yield rows(np.concatenate(held), np.concatenate(ids))
+                    held, ids, n = [], [], 0
+        if n:
+            yield rows(np.concatenate(held), np.concatenate(ids))
+    return run
+
+
+def _alone(table: pa.Table) -> pa.Table:
+    """(id, alone): how many shingles of a part only this class has."""
+    flat = lambda name: pa.chunked_array(table.column(name).chunks, table.column(name).type).combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    s, first, c = np.unique(flat("s"), return_index=True, return_counts=True)
+    own = flat("id")[first[(c == 1) & ~np.isin(s, flat("several"))]]
+    ids, n = np.unique(own, return_counts=True)
+    return pa.table({"id": pa.array(ids, pa.int64()), "alone": pa.array(n, pa.int64())})
+
+
+def _can_link(members: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(id, shared): how many shingles of a class stand in another class of ``members`` at all. A pair of
+    sizes n and m with the similarity t shares t / (1 + t) * (n + m), so this bounds what a class can link with.
+    Shingles travel in parts by hash, each task's combined, as many parts as keep each small."""
+    ids = members.select("id", "n").distinct()
+    parts = 1 + (ids.agg(F.sum("n")).first()[0] or 0) // PART_SHINGLES
+    rows = texts.join(ids.select("id"), "id", "left_semi").mapInArrow(
+        _gathered(size, parts), "part int, s array<long>, id array<long>, several array<long>")
+    alone = rows.groupBy("part").applyInArrow(_alone, "id long, alone long").groupBy("id").agg(F.sum("alone").alias("alone"))
     return members.join(alone, "id", "left").withColumn("shared", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
 
 
