@@ -103,3 +103,83 @@ def test_odd_rows(spark, odd):
                                                         "alpha beta gamma": 120_000} and all(g[6] == n for g in got if g[0] == "en")
     assert all(r.a >= 2 for r in col.mined(odd, least=2).collect())
     assert col.mined(odd.where("false")).collect() == [] and col.mined(odd, least=10**9).collect() == []
+
+
+def _page_values(spark, df):
+    """Values of the largest page of each column of a table that was written."""
+    jvm, most = spark._jvm, {}
+    for file in df.inputFiles():
+        opened = jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(jvm.org.apache.hadoop.fs.Path(file), spark._jsc.hadoopConfiguration())
+        reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(opened)
+        columns = list(reader.getFooter().getFileMetaData().getSchema().getColumns())
+        while (group := reader.readNextRowGroup()) is not None:
+            for column in columns:
+                pages = group.getPageReader(column)
+                while (page := pages.readPage()) is not None:
+                    path = column.getPath()[0]
+                    most[path] = max(most.get(path, (0, 0)), (page.getValueCount(), page.getUncompressedSize()))
+        reader.close()
+    return most
+
+
+def test_pages_and_rows_are_bounded(spark, monkeypatch):
+    """Neither a row, nor a page, nor what a reader decodes at once grows with the text of a task."""
+    draw = random.Random(3)
+    words = [f"w{i}" for i in range(2000)]
+    text = ". ".join(" ".join(draw.choices(words, k=10)) for _ in range(80_000))
+    kept = {}
+
+    def staged(df, label, *more):
+        kept[label] = plain_staged(df, label, *more)
+        return kept[label]
+
+    plain_staged = col.staged
+    monkeypatch.setattr(col, "staged", staged)
+    df = spark.createDataFrame([(i, text, "en") for i in range(2)], SCHEMA).coalesce(1)
+    # filters as of many words: sent with 4,096 entries, in rows of some tens of KB
+    vocabulary, phrases, _ = col.frequent_phrases(df, least=1, longest=2, bucket=1 << 30, held=1 << 12, gathered=1 << 14)
+    assert vocabulary.count() == 2000 and phrases.where("size(ids) = 2").selectExpr("sum(f)").first()[0] == 2 * 80_000 * 9
+    assert kept["runs"].selectExpr("max(size(codes))").first()[0] < 2 * col.ROW and 4096 * col.ROW * 8 <= 32 << 20
+    pages = _page_values(spark, kept["runs"])
+    assert pages["codes"][0] < 600_000 and pages["codes"][1] < 2 << 20
+    pages = _page_values(spark, kept["filters"])
+    assert kept["filters"].selectExpr("sum(length(filter))").first()[0] > 3 << 20 and pages["filter"][1] < 2 << 20
+
+
+@pytest.mark.parametrize("length", [2, 4])
+def test_windows_are_made_in_steps(length):
+    """A batch of many numbers is counted whole, in memory that does not follow it."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    class Runs:
+        def mapInArrow(self, run, schema):
+            return run
+
+    class Table:
+        value = np.full(16, 2**64 - 1, np.uint64)
+
+    draw = np.random.default_rng(1)
+    codes = draw.integers(0, 4000, 3_000_000)
+    layout = col.Layout(length, 12)
+    run = col._counted(Runs(), layout, 3, None if length == 2 else Table, 1024, 1 << 15, 1 << 16)
+    offsets = np.r_[np.arange(0, len(codes), 1_000_003), len(codes)]
+    codes[offsets[1:] - 1] = 0
+    batch = pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(codes))], names=["codes"])
+    windows, got = Counter(), Counter()
+    packed = sum(codes[i:len(codes) - length + 1 + i] << 12 * (length - 1 - i) for i in range(length))
+    windows.update(packed[np.logical_and.reduce([codes[i:len(codes) - length + 1 + i] > 0 for i in range(length)])].tolist())
+    rows, most = [], 0
+    tracemalloc.start()
+    for sent in run([batch]):
+        rows += sent.to_pylist()
+        most = max(most, tracemalloc.get_traced_memory()[1])
+    tracemalloc.stop()
+    held = sum(len(r["filter"]) for r in rows)
+    for r in rows:
+        lanes, n = col.from_filter(r["filter"], r["bucket"], layout.widths, 3)
+        for key, c in zip(layout.invert(lanes)[0].tolist(), n.tolist()):
+            got[key] += c
+    assert got == windows
+    assert most < held + 3 * codes.nbytes, (most, held)

@@ -37,8 +37,13 @@ VOCABULARY = 4_000_000
 HELD, GATHERED = 1 << 19, 1 << 20
 #: windows per bucket, about; bits of the table of frequent shorter phrases, at most
 BUCKET, TABLE_BITS = 1 << 20, 1 << 28
-#: numbers written in one row, about
-ROW = 1 << 16
+#: numbers written in one row, about: readers decode some thousands of rows at once
+ROW = 1 << 10
+#: numbers whose windows a task makes at once
+STEP = 1 << 17
+#: Rows of many KB: a page is closed by its bytes from the first row on, not after 100 rows at least. Readers and writers keep
+#: buffers outside the heap as large as the largest page.
+PAGES = {"parquet.page.size.row.check.min": "1"}
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 ODD = 0x9E3779B97F4A7C15
 
@@ -167,15 +172,14 @@ def _coded(docs: DataFrame, vocabulary: DataFrame, n_words: int, shared: dict, h
         def again(batches, before=before, last=last, sent=sent):
             held, _ = sent.value
             for batch in batches:
-                for i in range(batch.num_rows):
-                    codes, hashes = (np.array(batch.column(c)[i].values) for c in ("codes", "hashes"))
-                    codes = _looked_up(codes, hashes, held, before)
-                    if last:
-                        codes[codes == -1] = 0
-                    yield _rows_of(codes, None if last else hashes)
+                codes, hashes = (np.array(batch.column(c).flatten()) for c in ("codes", "hashes"))
+                codes = _looked_up(codes, hashes, held, before)
+                if last:
+                    codes[codes == -1] = 0
+                yield _rows_of(codes, None if last else hashes)
 
         schema = "codes array<long>" if last else "codes array<long>, hashes array<long>"
-        table = staged(docs.mapInArrow(from_text, schema) if table is None else table.mapInArrow(again, schema), "runs")
+        table = staged(docs.mapInArrow(from_text, schema) if table is None else table.mapInArrow(again, schema), "runs", PAGES)
     return table
 
 
@@ -237,13 +241,18 @@ class Layout:
 
 
 def summed(lanes: list[np.ndarray], counts: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """Entries in order, equal ones added up."""
+    """Entries in order, equal ones added up. The list of lanes is taken over, so that each goes as soon as it is in order."""
     if not len(counts):
         return lanes, counts
     order = np.argsort(lanes[0], kind="stable") if len(lanes) == 1 else np.lexsort(lanes[::-1])
-    lanes = [x[order] for x in lanes]
+    for i in range(len(lanes)):
+        lanes[i] = lanes[i][order]
+    counts = counts[order]
+    del order
     begins = np.flatnonzero(np.r_[True, np.logical_or.reduce([x[1:] != x[:-1] for x in lanes])])
-    return [x[begins] for x in lanes], np.add.reduceat(counts[order], begins)
+    for i in range(len(lanes)):
+        lanes[i] = lanes[i][begins]
+    return lanes, np.add.reduceat(counts, begins)
 
 
 def _shifted(x: np.ndarray, by: int) -> np.ndarray:
@@ -317,35 +326,37 @@ def _counted(runs: DataFrame, layout: Layout, bucket_bits: int, table, table_bit
         waiting, many = [], 0
 
         def merged():
+            nonlocal entries, waiting, many
             lanes = [np.concatenate([entries[0][i], *[w[i] for w in waiting]]) for i in range(len(widths))]
-            return summed(lanes, np.concatenate([entries[1], np.ones(many, np.int64)]))
+            counts = np.concatenate([entries[1], np.ones(many, np.int64)])
+            entries, waiting, many = None, [], 0
+            return summed(lanes, counts)
 
         for batch in batches:
             column = batch.column("codes")
-            codes = np.asarray(column.flatten())
             # rows end with a break or where no window may go on
-            row_ends = np.cumsum(np.asarray(column.value_lengths()))[:-1]
-            codes = np.insert(codes, row_ends, 0)
-            good = codes > 0
-            if allowed is not None:
-                # windows one word shorter that may be frequent
-                ok = np.logical_and.reduce([good[i:len(good) - length + 2 + i] for i in range(length - 1)]) if len(good) >= length - 1 else np.zeros(0, bool)
-                at = np.flatnonzero(ok)
-                place = _places([codes[at + i] for i in range(length - 1)], table_bits)
-                ok[at] = (allowed[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
-                start = np.flatnonzero(ok[:-1] & ok[1:])
-            else:
-                start = np.flatnonzero(good[:-1] & good[1:])
-            if not len(start):
-                continue
-            waiting.append(layout.permute(layout.pack([codes[start + i] for i in range(length)])))
-            many += len(start)
-            if many >= gathered:
-                entries = merged()
-                waiting, many = [], 0
-                if len(entries[1]) >= held:
-                    yield send(*entries)
-                    entries = [np.zeros(0, np.uint64) for _ in widths], np.zeros(0, np.int64)
+            whole = np.insert(np.asarray(column.flatten()), np.cumsum(np.asarray(column.value_lengths()))[:-1], 0)
+            for first in range(0, len(whole) - length + 1, STEP):
+                codes = whole[first:first + STEP + length - 1]
+                good = codes > 0
+                if allowed is not None:
+                    # windows one word shorter that may be frequent
+                    ok = np.logical_and.reduce([good[i:len(good) - length + 2 + i] for i in range(length - 1)])
+                    at = np.flatnonzero(ok)
+                    place = _places([codes[at + i] for i in range(length - 1)], table_bits)
+                    ok[at] = (allowed[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) > 0
+                    start = np.flatnonzero(ok[:-1] & ok[1:])
+                else:
+                    start = np.flatnonzero(good[:-1] & good[1:])
+                if not len(start):
+                    continue
+                waiting.append(layout.permute(layout.pack([codes[start + i] for i in range(length)])))
+                many += len(start)
+                if many >= gathered:
+                    entries = merged()
+                    if len(entries[1]) >= held:
+                        yield send(*entries)
+                        entries = [np.zeros(0, np.uint64) for _ in widths], np.zeros(0, np.int64)
         entries = merged()
         if len(entries[1]):
             yield send(*entries)
@@ -359,7 +370,9 @@ def _merged(filters: DataFrame, layout: Layout, bucket_bits: int, least: int) ->
 
     def merge(key, table):
         parts = [from_filter(f.as_buffer(), key[0].as_py(), widths, bucket_bits) for f in table.column("filter")]
-        lanes, counts = summed([np.concatenate([p[0][i] for p in parts]) for i in range(len(widths))], np.concatenate([p[1] for p in parts]))
+        lanes, counts = [np.concatenate([p[0][i] for p in parts]) for i in range(len(widths))], np.concatenate([p[1] for p in parts])
+        del parts
+        lanes, counts = summed(lanes, counts)
         often = counts >= least
         words = layout.unpack(layout.invert([x[often] for x in lanes]))
         ids = np.stack(words, axis=1).astype(np.int64).ravel() - 1
@@ -415,7 +428,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
             layout = Layout(length, bits)
             bucket_bits = min(max(0, (n_frequent // bucket).bit_length()), layout.widths[0], 40)
             sent = None if table is None else spark.sparkContext.broadcast(table)
-            filters = staged(_counted(runs, layout, bucket_bits, sent, size, held, gathered), "filters")
+            filters = staged(_counted(runs, layout, bucket_bits, sent, size, held, gathered), "filters", PAGES)
             found = staged(_merged(filters, layout, bucket_bits, least), "phrases")
             n_found = found.count()
             if not n_found:

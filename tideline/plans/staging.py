@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from ..session import fresh_dir
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, options: dict[str, str] | None = None) -> DataFrame:
     path = fresh_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
